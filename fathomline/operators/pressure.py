@@ -246,6 +246,6 @@ def ais_speed_bands(fact: DataFrame) -> DataFrame:
     )
     low, high = SPEED_BANDS
     band = F.when(F.col("kn") < low, "below 1").when(F.col("kn") < high, "1 to 5").otherwise("5 and more")
-    whole = counted.groupBy("large").agg(F.sum("n").alias("all_n"), F.percentile("kn", 0.5, "n").alias("median_kn"))
+    whole = counted.groupBy("large").agg(F.sum("n").alias("all_n"), F.percentile("kn", 0.5, F.col("n")).alias("median_kn"))
     bands = counted.groupBy("large", band.alias("band")).agg(F.sum("n").alias("n"))
     return bands.join(whole, "large").select("large", "band", "n", (F.col("n") / F.col("all_n")).alias("share"), "median_kn")

@@ -68,6 +68,12 @@ def publish_hotspots(hot: DataFrame, p: Params) -> DataFrame:
         "peak_month")
 
 
+def number_hotspots(hot: DataFrame) -> DataFrame:
+    """Add the 1-based ``position``; the table holds only the top few cells."""
+    order = [F.desc("on_meadow"), F.desc(F.coalesce("density", F.lit(-1.0))), F.asc("cell")]
+    return hot.withColumn("position", F.row_number().over(W.orderBy(*order)))
+
+
 def publish_hexes(hexes: DataFrame) -> DataFrame:
     return hexes.withColumns({"density": num(F.col("density"), 4), "meadow_km2": num(F.col("meadow_km2"), 3)})
 

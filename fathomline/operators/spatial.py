@@ -89,14 +89,13 @@ def _span(low: Column, high: Column) -> Column:
     return F.explode(F.when(low <= high, F.sequence(low, high)))
 
 
-def _clamped(t: Column, otherwise: float) -> Column:
-    return F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(1.0), t)), F.lit(otherwise))
-
-
 def _share_between(start: Column, delta: Column, low: Column, high: Column) -> tuple[Column, Column]:
     """Parameters at which ``start + t * delta`` meets low and high, within 0..1; the whole range when delta is 0."""
-    safe = F.when(delta != 0, delta)
-    return _clamped((low - start) / safe, 0.0), _clamped((high - start) / safe, 1.0)
+    def at(level: Column, whole: float) -> Column:
+        t = (level - start) / F.when(delta != 0, delta)
+        return F.when(delta != 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), t))).otherwise(F.lit(whole))
+
+    return at(low, 0.0), at(high, 1.0)
 
 
 def build_index(edges: DataFrame, bin_size: float, reach: float = 0.0, attrs: Sequence[str] = (),
@@ -227,16 +226,19 @@ def _lattice(index: PolygonIndex, step_x: Column, step_y: Column, shift_x: Calla
 
 
 def cells_with_centre_inside(index: PolygonIndex, side: float = geo.CELL_SIDE_M) -> DataFrame:
+    """(pid, cell) of the hexagons whose centre is in a polygon. Every bin looks at the centres in it."""
     width = side * 3**0.5
     lattice = _lattice(index, F.lit(width), F.lit(1.5 * side), lambda j: j * F.lit(width / 2))
-    hit = lattice.where(F.exists("_polys", lambda g: inside(g, F.col("_px"), F.col("_py"))))
-    return hit.select(geo.cell_id(F.col("_i"), F.col("_j")).alias("cell"))
+    hit = F.filter("_polys", lambda g: inside(g, F.col("_px"), F.col("_py")))
+    rows = lattice.select("_i", "_j", F.explode(F.transform(hit, lambda g: g.pid)).alias("pid"))
+    return rows.select("pid", geo.cell_id(F.col("_i"), F.col("_j")).alias("cell"))
 
 
 def _point_to_segment2(px: Column, py: Column, ax: Column, ay: Column, bx: Column, by: Column) -> Column:
     dx, dy = bx - ax, by - ay
     n = dx * dx + dy * dy
-    t = F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((px - ax) * dx + (py - ay) * dy) / F.when(n > 0, n))), F.lit(0.0))
+    # a segment of no length has t = NULL, which least() skips: the distance to its only point
+    t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((px - ax) * dx + (py - ay) * dy) / F.when(n > 0, n)))
     return F.pow(px - ax - t * dx, F.lit(2)) + F.pow(py - ay - t * dy, F.lit(2))
 
 
@@ -245,7 +247,7 @@ def _side_of(ax, ay, bx, by, px, py) -> Column:
 
 
 def cells_near_edges(edges: DataFrame, buffer_m: float, side: float = geo.CELL_SIDE_M) -> DataFrame:
-    """Cells within ``buffer_m`` of an edge: an end lies in the hexagon, or one of its six sides is that close."""
+    """(pid, cell) of the cells within ``buffer_m`` of an edge: an end lies in the hexagon, or one of its six sides is that close."""
     x1, y1, x2, y2 = (F.col(c) for c in ("x1", "y1", "x2", "y2"))
     width, height, reach = side * 3**0.5, 1.5 * side, side + buffer_m
     rows = edges.withColumn("r", _span(F.ceil((F.least(y1, y2) - reach) / height), F.floor((F.greatest(y1, y2) + reach) / height)))
@@ -269,16 +271,21 @@ def cells_near_edges(edges: DataFrame, buffer_m: float, side: float = geo.CELL_S
     close = F.least(
         _point_to_segment2(x1, y1, ax, ay, bx, by), _point_to_segment2(x2, y2, ax, ay, bx, by),
         _point_to_segment2(ax, ay, x1, y1, x2, y2), _point_to_segment2(bx, by, x1, y1, x2, y2)) <= buffer_m * buffer_m
-    by_side = s.where(meets | close).select(geo.cell_id(F.col("q"), F.col("r")).alias("cell"))
-    by_end = edges.select(geo.cell_of(x1, y1, side).alias("cell"))
-    return by_side.unionByName(by_end).distinct()
+    by_side = s.where(meets | close).select("pid", geo.cell_id(F.col("q"), F.col("r")).alias("cell"))
+    by_end = edges.select("pid", geo.cell_of(x1, y1, side).alias("cell"))
+    return by_side.unionByName(by_end)
 
 
-def cells_touching_polygons(edges: DataFrame, index: PolygonIndex, buffer_m: float, side: float = geo.CELL_SIDE_M) -> DataFrame:
-    """All cells that overlap the polygons grown by ``buffer_m``."""
+def cells_covering(edges: DataFrame, index: PolygonIndex, buffer_m: float, side: float = geo.CELL_SIDE_M) -> DataFrame:
+    """(pid, cell): the cells that overlap each polygon grown by ``buffer_m``; the smallest one has the cell it lies in."""
     return cells_near_edges(edges, buffer_m, side).unionByName(cells_with_centre_inside(index, side)).distinct()
 
 
+def cells_touching_polygons(edges: DataFrame, index: PolygonIndex, buffer_m: float, side: float = geo.CELL_SIDE_M) -> DataFrame:
+    """All cells that overlap any of the polygons grown by ``buffer_m``."""
+    return cells_near_edges(edges, buffer_m, side).unionByName(cells_with_centre_inside(index, side)).select("cell").distinct()
+
+
 def cell_area(index: PolygonIndex, step_m: float = 100.0, side: float = geo.CELL_SIDE_M) -> DataFrame:
     """km2 of the polygons' union per cell, by counting lattice points ``step_m`` apart.
 

@@ -23,7 +23,7 @@ def session(app: str = "fathomline", master: str | None = None, shuffle_partitio
         .config("spark.sql.parquet.compression.codec", "zstd")
     )
     if master:
-        b = b.master(master).config("spark.ui.enabled", "false")
+        b = b.master(master).config("spark.ui.enabled", "false").config("spark.driver.memory", "12g")
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return b.getOrCreate()

@@ -124,8 +124,11 @@ def columnar(df: DataFrame, index: str, chunk_rows: int = 100_000) -> DataFrame:
     values = [c for c in df.columns if c != index]
     groups = df.groupBy(F.floor(F.col(index) / chunk_rows).alias("chunk")).agg(
         F.array_sort(F.collect_list(F.struct(index, *values))).alias("_rows"))
-    return groups.select("chunk", F.size("_rows").alias("rows"),
-                         *[F.transform("_rows", lambda r, c=c: r[c]).alias(c) for c in values])
+
+    def array_of(name: str) -> Column:
+        return F.transform("_rows", lambda r: r[name]).alias(name)
+
+    return groups.select("chunk", F.size("_rows").alias("rows"), *map(array_of, values))
 
 
 def write_columnar_json(df: DataFrame, index: str, path: str, chunk_rows: int = 100_000) -> None:
