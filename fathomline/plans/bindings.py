@@ -196,8 +196,8 @@ class Tables:
     def overpass_raw(self) -> DataFrame:
         supplier = self.raw("supplier")
         x, y = geo.to_metric(*[F.expr(e) for e in centre("s_suppkey")])
-        q, r = geo.axial(x, y)
-        harbours = supplier.select("s_suppkey", q.alias("q"), r.alias("r"))
+        q, r = geo.axial(F.col("x"), F.col("y"))
+        harbours = supplier.select("s_suppkey", x.alias("x"), y.alias("y")).select("s_suppkey", q.alias("q"), r.alias("r"))
         ring = F.array(*[F.struct(F.lit(dq).alias("dq"), F.lit(dr).alias("dr")) for dq, dr in geo.RING1])
         n = supplier.agg(F.count(F.lit(1))).scalar()
         rows = self.raw("orders").withColumn("s_suppkey", F.col("o_custkey") % n).join(harbours, "s_suppkey")

@@ -123,7 +123,7 @@ def _(t):
     string_agg(CAST(on_meadow AS VARCHAR), ',' ORDER BY i) AS counts FROM hexes JOIN cidx USING (cell) GROUP BY i // 100""")
 def _(t):
     out = scratch_path(t.spark, "json")
-    files.write_columnar_json(ranking.cell_index(t.hexes), "i", out, chunk_rows=100)
+    files.write_columnar_json(ranking.cell_index(cut_lineage(t.hexes)), "i", out, chunk_rows=100)
     back = t.spark.read.schema("chunk bigint, cell array<string>, on_meadow array<bigint>").json(out)
     return back.select("chunk", F.size("cell").cast("bigint").alias("rows"), F.array_join("cell", ",").alias("cells"),
                        F.array_join(F.transform("on_meadow", lambda v: v.cast("string")), ",").alias("counts"))
@@ -528,7 +528,8 @@ def _breaks_sql(source: str, is_count: bool) -> str:
 @query("quantile_breaks", f"""SELECT 'count' AS metric, brk FROM {_breaks_sql('(SELECT on_meadow AS v FROM hexes)', True)} UNION ALL
     SELECT 'density', brk FROM {_breaks_sql('(SELECT density AS v FROM hexes)', False)}""")
 def _(t):
-    parts = [ranking.quantile_breaks(t.hexes, c, n == "count").select(F.lit(n).alias("metric"), F.explode("breaks").alias("brk"))
+    hexes = cut_lineage(t.hexes.select("on_meadow", "density"))
+    parts = [ranking.quantile_breaks(hexes, c, n == "count").select(F.lit(n).alias("metric"), F.explode("breaks").alias("brk"))
              for n, c in (("count", "on_meadow"), ("density", "density"))]
     return parts[0].unionByName(parts[1])
 
@@ -536,7 +537,7 @@ def _(t):
 @query("class_of", f"""SELECT cell, on_meadow, CAST(CASE WHEN on_meadow > 0 THEN (SELECT count(*) FROM {_breaks_sql('(SELECT on_meadow AS v FROM hexes)', True)} WHERE brk <= on_meadow)
     ELSE -1 END AS INT) AS class FROM hexes""")
 def _(t):
-    hexes = t.hexes.select("cell", "on_meadow")
+    hexes = cut_lineage(t.hexes.select("cell", "on_meadow"))
     return ranking.class_of(hexes, "on_meadow", ranking.quantile_breaks(hexes, "on_meadow", True))
 
 
