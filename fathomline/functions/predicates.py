@@ -21,9 +21,16 @@ def in_box(lon: Column, lat: Column, box: Box) -> Column:
     return lon.between(box[0], box[2]) & lat.between(box[1], box[3])
 
 
+def region_rules(lon: Column, lat: Column, p: Params) -> Column:
+    """In the study box and in none of the excluded boxes (which are inclusive too); NULL for missing coordinates.
+
+    The form for filters: nothing is wrapped around the comparisons, so a scan can use them.
+    """
+    return all_of([in_box(lon, lat, p.bbox), *[~in_box(lon, lat, b) for b in p.exclude_boxes]])
+
+
 def in_region(lon: Column, lat: Column, p: Params) -> Column:
-    """In the study box and in none of the excluded boxes (which are inclusive too)."""
-    return holds(all_of([in_box(lon, lat, p.bbox), *[~in_box(lon, lat, b) for b in p.exclude_boxes]]))
+    return holds(region_rules(lon, lat, p))
 
 
 def score_rules(p: Params) -> Column:

@@ -115,4 +115,4 @@ def country_names(eez: DataFrame) -> DataFrame:
 
 
 def all_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions, F.lit(True))
+    return reduce(lambda a, b: a & b, conditions) if conditions else F.lit(True)

@@ -10,7 +10,7 @@ from pyspark.sql.window import Window as W
 
 from ..config import Params
 from ..functions import geo
-from ..functions.predicates import anchored, has_mmsi, in_region, is_large, with_ais
+from ..functions.predicates import anchored, has_mmsi, is_large, region_rules, with_ais
 from ..functions.scalars import widened
 from .spatial import PolygonIndex, points_in_polygons
 
@@ -49,7 +49,7 @@ def near_region(df: DataFrame, p: Params) -> DataFrame:
         p,
         bbox=(p.bbox[0] - m, p.bbox[1] - m, p.bbox[2] + m, p.bbox[3] + m),
         exclude_boxes=tuple((b[0] + m, b[1] + m, b[2] - m, b[3] - m) for b in p.exclude_boxes))
-    return df.where(in_region(F.col("lon"), F.col("lat"), grown))
+    return df.where(region_rules(F.col("lon"), F.col("lat"), grown))
 
 
 def anchored_in_region(det: DataFrame, p: Params) -> DataFrame:
@@ -58,7 +58,7 @@ def anchored_in_region(det: DataFrame, p: Params) -> DataFrame:
     Quality is judged after the dedupe: a poor version that wins takes its detection with it.
     """
     rows = dedupe_detections(near_region(det, p))
-    rows = rows.where(in_region(F.col("lon"), F.col("lat"), p)).where(anchored(rows, p))
+    rows = rows.where(region_rules(F.col("lon"), F.col("lat"), p)).where(anchored(rows, p))
     x, y = geo.to_metric(F.col("lon"), F.col("lat"))
     return rows.withColumns({"x": x, "y": y})
 

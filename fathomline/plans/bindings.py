@@ -16,7 +16,7 @@ from ..functions import geo
 from ..operators import pressure, releases
 from ..operators.country import ZoneIndex, index_zones, normalise_zones
 from ..operators.spatial import PolygonIndex
-from ..runtime import cut_lineage
+from ..runtime import cut_lineage, scratch_path
 from . import build
 
 
@@ -143,6 +143,13 @@ class Tables:
     # ------------------------------------------------------------------------------------------------------ detections
     @cached_property
     def detections(self) -> DataFrame:
+        """Stored as parquet first, like ingested releases, so that filters reach the scan."""
+        path = scratch_path(self.spark, "detections")
+        self.derived_detections.write.parquet(path)
+        return self.spark.read.parquet(path)
+
+    @cached_property
+    def derived_detections(self) -> DataFrame:
         versions = F.when(F.expr(REPROCESSED), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
         rows = self.raw("lineitem").withColumn("version", F.explode(versions))
         return rows.selectExpr(*select(DETECTION_COLUMNS)).selectExpr("*", f"{MONTH} as month")

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ..config import Params
 from ..functions import geo
-from ..functions.predicates import holds, in_box
+from ..functions.predicates import in_box
 from ..functions.scalars import month_of
 from ..operators.ranking import _with_offsets
 from ..schema import DETECTIONS, OVERPASSES, conform
@@ -30,7 +30,7 @@ def scan_detections_csv(spark: SparkSession, paths: Paths) -> DataFrame:
 
 def detections_in_bbox(det: DataFrame, p: Params) -> DataFrame:
     """Rows of the study box with their month."""
-    return det.where(holds(in_box(F.col("lon"), F.col("lat"), p.bbox))).withColumn("month", month_of(F.col("detect_timestamp")))
+    return det.where(in_box(F.col("lon"), F.col("lat"), p.bbox)).withColumn("month", month_of(F.col("detect_timestamp")))
 
 
 def overpasses_of_cells(overpass: DataFrame, cells: DataFrame) -> DataFrame:
