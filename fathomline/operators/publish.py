@@ -49,7 +49,10 @@ def publish_timeseries(totals: DataFrame, ais_totals: DataFrame) -> DataFrame:
 
 
 def publish_countries(fact: DataFrame, calendar: DataFrame, names: DataFrame) -> DataFrame:
-    """Per country its name, rank by total, and the two monthly series as arrays in calendar order."""
+    """Per country its name, rank by total, and the two monthly series as arrays in calendar order.
+
+    There are some 250 countries with twelve values a year each, so numbering them in one task is bounded.
+    """
     series = country_series(fact, calendar)
     ranked = country_order(series).withColumn("position", F.row_number().over(W.orderBy(F.desc("total"), "country")))
     in_order = lambda c: F.transform(F.array_sort(F.collect_list(F.struct("month", c))), lambda s: s[c])

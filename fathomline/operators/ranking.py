@@ -31,7 +31,7 @@ def country_order(series: DataFrame) -> DataFrame:
     return series.groupBy("country").agg(F.sum("anchored_on_meadow").alias("total")).orderBy(F.desc("total"), "country")
 
 
-def _with_offsets(df: DataFrame, bucket: Column, weight: Column) -> DataFrame:
+def with_offsets(df: DataFrame, bucket: Column, weight: Column) -> DataFrame:
     """Rows with the weight of all lower buckets (``_before``) and of the whole table (``_all``).
 
     The running sum is taken over one row per bucket; callers use bucketings with a fixed number of buckets.
@@ -51,7 +51,7 @@ def cell_index(cells: DataFrame, prefix: int = 3) -> DataFrame:
     Ids are numbered within their prefix and shifted by the sizes of lower prefixes. Three characters of an id are
     digits, a sign or the separator: at most 12^3 prefixes.
     """
-    rows = _with_offsets(cells, F.substring("cell", 1, prefix), F.lit(1))
+    rows = with_offsets(cells, F.substring("cell", 1, prefix), F.lit(1))
     within = F.row_number().over(W.partitionBy("_bucket").orderBy("cell"))
     return rows.withColumn("i", F.col("_before") + within - 1).drop("_bucket", "_before", "_all")
 
@@ -83,7 +83,7 @@ def quantile_breaks(df: DataFrame, column: str, is_count: bool) -> DataFrame:
     v = F.col("v")
     hist = df.select(F.col(column).cast("double").alias("v")).where((v > 0) & (v < float("inf"))).groupBy("v").agg(
         F.count(F.lit(1)).alias("n"))
-    rows = _with_offsets(hist, F.floor(F.log2(v) * BUCKETS_PER_DOUBLING), F.col("n"))
+    rows = with_offsets(hist, F.floor(F.log2(v) * BUCKETS_PER_DOUBLING), F.col("n"))
     upto = W.partitionBy("_bucket").orderBy("v").rowsBetween(W.unboundedPreceding, 0)
     rows = rows.withColumn("_upto", F.col("_before") + F.sum("n").over(upto))
     at = [F.least(F.col("_all") - 1, F.floor(F.lit(q) * F.col("_all"))) for q in QUANTILES]

@@ -23,8 +23,8 @@ from ..functions import geo
 from ..runtime import BROADCAST_ELEMENTS, cut_lineage, elements
 from .joins import lookup_join
 
-#: shift of the bin grid, so that round coordinates do not fall on bin sides
-SHIFT = 0.2718281828
+#: shifts of the bin grid in shares of a bin, so that round coordinates and diagonals do not meet bin corners
+SHIFT_X, SHIFT_Y = 0.2718281828, 0.5772156649
 TINY = 1e-6
 
 
@@ -77,11 +77,13 @@ class PolygonIndex:
     reach: float
     small: bool
 
-    def key(self, v: Column) -> Column:
-        return F.floor((v - F.lit(SHIFT * self.bin_size)) / F.lit(self.bin_size))
+    def key(self, x: Column, y: Column) -> tuple[Column, Column]:
+        b = self.bin_size
+        return F.floor((x - F.lit(SHIFT_X * b)) / F.lit(b)), F.floor((y - F.lit(SHIFT_Y * b)) / F.lit(b))
 
-    def low(self, b: Column) -> Column:
-        return b * F.lit(self.bin_size) + F.lit(SHIFT * self.bin_size)
+    def low(self, bx: Column, by: Column) -> tuple[Column, Column]:
+        b = self.bin_size
+        return bx * F.lit(b) + F.lit(SHIFT_X * b), by * F.lit(b) + F.lit(SHIFT_Y * b)
 
 
 def _span(low: Column, high: Column) -> Column:
@@ -101,7 +103,7 @@ def _share_between(start: Column, delta: Column, low: Column, high: Column) -> t
 def build_index(edges: DataFrame, bin_size: float, reach: float = 0.0, attrs: Sequence[str] = (),
                 limit: int = BROADCAST_ELEMENTS) -> PolygonIndex:
     """Index planar edges (pid, x1, y1, x2, y2 and per-polygon ``attrs``)."""
-    b, shift = F.lit(bin_size), F.lit(SHIFT * bin_size)
+    b, sx, sy = F.lit(bin_size), F.lit(SHIFT_X * bin_size), F.lit(SHIFT_Y * bin_size)
     ids = ["pid", *attrs]
     x1, y1, x2, y2 = (F.col(c) for c in ("x1", "y1", "x2", "y2"))
     dx, dy = x2 - x1, y2 - y1
@@ -109,18 +111,23 @@ def build_index(edges: DataFrame, bin_size: float, reach: float = 0.0, attrs: Se
     edges = edges.select(*ids, "x1", "y1", "x2", "y2")
 
     # bins an edge comes near: first the rows of bins, then within a row only the part of the edge that is in it
-    row = lambda v: F.floor((v - shift) / b)
-    banded = edges.withColumn("_by", _span(row(F.least(y1, y2) - pad), row(F.greatest(y1, y2) + pad)))
-    low = F.col("_by") * b + shift - pad
+    at = lambda v, shift: F.floor((v - shift) / b)
+    banded = edges.withColumn("_by", _span(at(F.least(y1, y2) - pad, sy), at(F.greatest(y1, y2) + pad, sy)))
+    low = F.col("_by") * b + sy - pad
     ta, tb = _share_between(y1, dy, low, low + b + 2 * pad)
     banded = banded.withColumns({"_xa": x1 + ta * dx, "_xb": x1 + tb * dx})
-    placed = banded.withColumn("_bx", _span(row(F.least("_xa", "_xb") - pad), row(F.greatest("_xa", "_xb") + pad)))
+    placed = banded.withColumn("_bx", _span(at(F.least("_xa", "_xb") - pad, sx), at(F.greatest("_xa", "_xb") + pad, sx)))
 
-    placed = placed.withColumns({"_x0": F.col("_bx") * b + shift, "_y0": F.col("_by") * b + shift})
+    placed = placed.withColumns({"_x0": F.col("_bx") * b + sx, "_y0": F.col("_by") * b + sy})
     x0, y0, tiny = F.col("_x0"), F.col("_y0"), F.lit(TINY * bin_size)
     crosses = (x1 > x0) != (x2 > x0)
-    placed = placed.withColumns({
-        "_yc": F.when(crosses, y1 + (x0 - x1) * (dy / F.when(dx != 0, dx))),
+    # whether an edge passes the corner above or below is decided once, by the bin where it crosses the lower grid line
+    first_bin = lambda level: F.ceil((x1 + (level - y1) * (dx / F.when(dy != 0, dy)) - sx) / b)
+    left_of_corner = first_bin(y0) <= F.col("_bx")
+    above = F.when((y1 > y0) != (y2 > y0), left_of_corner == (dx * dy > 0)).otherwise(F.least(y1, y2) > y0)
+    side_y = y1 + (x0 - x1) * (dy / F.when(dx != 0, dx))
+    placed = placed.withColumn("_above", above).withColumns({
+        "_yc": F.when(crosses, F.when(F.col("_above"), F.greatest(side_y, y0)).otherwise(F.least(side_y, y0))),
         "_near": (F.least(x1, x2) <= x0 + b + tiny) & (F.greatest(x1, x2) > x0)
         & (F.least(y1, y2) <= y0 + b + tiny) & (F.greatest(y1, y2) >= y0 - tiny),
     })
@@ -134,15 +141,14 @@ def build_index(edges: DataFrame, bin_size: float, reach: float = 0.0, attrs: Se
                    F.coalesce(1 / F.when(length2 > 0, length2), F.lit(0.0)).alias("inv"))
     pieces = placed.select(
         *ids, "_bx", "_by", F.lit(False).alias("corner"),
-        F.when(F.col("_near") & (yc > y0) & (yc <= y0 + b), yc).alias("side"),
+        F.when(F.col("_near") & F.col("_above") & (yc <= y0 + b), yc).alias("side"),
         F.when(F.col("_near") & (dy != 0), wall).alias("wall"),
         (rim if reach > 0 else F.lit(None).cast("struct<x:double,y:double,dx:double,dy:double,inv:double>")).alias("rim"))
 
     # corners: along each grid line, bins between an odd and the next crossing have their corner inside
-    on_line = edges.where(y1 != y2).withColumn("_by", _span(row(F.least(y1, y2)), row(F.greatest(y1, y2)) + 1))
-    line = F.col("_by") * b + shift
-    on_line = on_line.where((y1 > line) != (y2 > line)).withColumn(
-        "_from", F.ceil((x1 + (line - y1) * (dx / dy) - shift) / b))
+    on_line = edges.where(y1 != y2).withColumn("_by", _span(at(F.least(y1, y2), sy), at(F.greatest(y1, y2), sy) + 1))
+    line = F.col("_by") * b + sy
+    on_line = on_line.where((y1 > line) != (y2 > line)).withColumn("_from", first_bin(line))
     w = W.partitionBy(*ids, "_by").orderBy("_from")
     runs = on_line.groupBy(*ids, "_by", "_from").agg(F.count(F.lit(1)).alias("_n")).select(
         *ids, "_by", "_from", F.sum("_n").over(w).alias("_total"), (F.lead("_from").over(w) - 1).alias("_to"))
@@ -193,7 +199,7 @@ def lookup(points: DataFrame, index: PolygonIndex, x: Column, y: Column, name: s
 
     Points for which ``only`` is false are not looked up.
     """
-    kx, ky = index.key(F.col("_px")), index.key(F.col("_py"))
+    kx, ky = index.key(F.col("_px"), F.col("_py"))
     p = points.withColumns({"_px": x, "_py": y})
     if only is not None:
         kx, ky = F.when(only, kx), F.when(only, ky)
@@ -217,7 +223,7 @@ def points_in_polygons(points: DataFrame, index: PolygonIndex | None, x: Column,
 # ------------------------------------------------------------------------------------------------------------- cells
 def _lattice(index: PolygonIndex, step_x: Column, step_y: Column, shift_x: Callable[[Column], Column]) -> DataFrame:
     """Lattice points of every bin: rows j at j * step_y, columns i at i * step_x + shift_x(j). Each lies in one bin."""
-    x0, y0 = index.low(F.col("_bx")), index.low(F.col("_by"))
+    x0, y0 = index.low(F.col("_bx"), F.col("_by"))
     size = F.lit(index.bin_size)
     rows = index.bins.withColumn("_j", _span(F.ceil(y0 / step_y), F.ceil((y0 + size) / step_y) - 1))
     off = shift_x(F.col("_j"))

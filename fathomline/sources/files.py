@@ -7,12 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window as W
 
 from ..config import Params
 from ..functions import geo
 from ..functions.predicates import in_box
 from ..functions.scalars import month_of
-from ..operators.ranking import _with_offsets
+from ..operators.ranking import with_offsets
 from ..schema import DETECTIONS, OVERPASSES, conform
 
 Paths = str | Sequence[str]
@@ -106,11 +107,15 @@ def polygons_from_geojson(features: DataFrame, order_by: str, p: Params, attribu
     return number_polygons(rows.where(overlaps), order_by).select("pid", *attributes, "rings")
 
 
-def number_polygons(rows: DataFrame, order_by: str, per_bucket: int = 100_000) -> DataFrame:
-    """Add ``pid``, the 0-based position by a unique whole-number attribute. Only ids are sorted, a bucket at a time."""
-    from pyspark.sql.window import Window as W
+def number_polygons(rows: DataFrame, order_by: str, buckets: int = 1024) -> DataFrame:
+    """Add ``pid``, the 0-based position by a unique whole-number attribute.
 
-    ids = _with_offsets(rows.select(order_by), F.floor(F.col(order_by) / per_bucket), F.lit(1))
+    Only ids are sorted, one of ``buckets`` equal ranges of them at a time.
+    """
+    ids = rows.select(order_by)
+    low = ids.agg(F.min(order_by).cast("double")).scalar()
+    width = ids.agg((F.max(order_by) - F.min(order_by) + 1).cast("double")).scalar()
+    ids = with_offsets(ids, F.floor((F.col(order_by).cast("double") - low) * buckets / width), F.lit(1))
     within = F.row_number().over(W.partitionBy("_bucket").orderBy(order_by))
     return rows.join(ids.select(order_by, (F.col("_before") + within - 1).cast("int").alias("pid")), order_by)
 

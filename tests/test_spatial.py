@@ -75,6 +75,19 @@ def test_points_in_polygons_and_buffer_match_brute_force(spark, shapes, bin_size
         assert got[i] == (hit, grown), (i, x, y)
 
 
+def test_edges_through_bin_corners(spark):
+    # edges of slope 1, -1 and 2 that run exactly through corners of the bin grid
+    b = 8.0
+    cx, cy = 3 * b + spatial.SHIFT_X * b, 2 * b + spatial.SHIFT_Y * b
+    shapes = {i: [[(cx - 4 * b, cy - 4 * b * m), (cx + 4 * b, cy + 4 * b * m), (cx + 5 * b, cy - 7 * b), (cx - 4 * b, cy - 9 * b)]] for i, m in enumerate((1.0, -1.0, 2.0, 0.0))}
+    rng = np.random.default_rng(2)
+    for pid, rings in shapes.items():
+        pts = [(float(x), float(y)) for x, y in rng.uniform((cx - 6 * b, cy - 10 * b), (cx + 6 * b, cy + 10 * b), (500, 2))]
+        index = spatial.build_index(frame(spark, {pid: rings}), b)
+        out = spatial.points_in_polygons(spark.createDataFrame(pts, "x double, y double"), index, F.col("x"), F.col("y"), 0.0, "hit")
+        assert all(r.hit == odd(rings, r.x, r.y) for r in out.collect())
+
+
 def test_nearest_distance_matches_brute_force(spark, shapes):
     rng = np.random.default_rng(5)
     pts = [(i, float(x), float(y)) for i, (x, y) in enumerate(rng.uniform(-30, 130, (300, 2)))]
