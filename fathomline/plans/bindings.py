@@ -16,7 +16,7 @@ from ..functions import geo
 from ..operators import pressure, releases
 from ..operators.country import ZoneIndex, index_zones, normalise_zones
 from ..operators.spatial import PolygonIndex
-from ..runtime import cut_lineage, scratch_path
+from ..runtime import cut_lineage
 from . import build
 
 
@@ -144,9 +144,7 @@ class Tables:
     @cached_property
     def detections(self) -> DataFrame:
         """Stored as parquet first, like ingested releases, so that filters reach the scan."""
-        path = scratch_path(self.spark, "detections")
-        self.derived_detections.write.parquet(path)
-        return self.spark.read.parquet(path)
+        return cut_lineage(self.derived_detections, "detections")
 
     @cached_property
     def derived_detections(self) -> DataFrame:

@@ -46,13 +46,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably in the shared folder, so a lost executor does not recompute its history."""
-    spark = df.sparkSession
-    path = shared_dir(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(path)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it back.
+
+    A lost executor then re-reads files instead of recomputing the history; readers get column pruning, filters in the
+    scan, and a known size for choosing joins. The tables stay until the folder is cleared.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def elements(df: DataFrame, weight: Column | None = None) -> int:
