@@ -301,8 +301,8 @@ def hexes_of(cells: str) -> str:
 
 
 cte("hexes", hexes_of("cells"))
-# an older cell table that lacks some cells
-cte("old_cells", "SELECT * FROM cells WHERE abs(CAST(split_part(cell, '_', 1) AS BIGINT)) % 3 <> 0")
+# a cell table from a coarser survey, which misses the cells with little meadow
+cte("old_cells", "SELECT * FROM cells WHERE meadow_km2 > 0.505e0")
 cte("totals", """SELECT k.month, coalesce(a, 0) AS anchored_total, coalesce(o, 0) AS anchored_on_meadow, coalesce(l, 0) AS large_on_meadow FROM cal k
     LEFT JOIN (SELECT month, count(*) AS a, count(*) FILTER (WHERE on_meadow) AS o, count(*) FILTER (WHERE on_meadow AND large) AS l FROM fact GROUP BY month) USING (month)""")
 _TOT = list(zip(("ais", "ais_large", "ais_st", "ais_st_large", "ais_mv"), (

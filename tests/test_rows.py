@@ -1,7 +1,6 @@
 """Predicates, dedupe and scalar rules on literal rows."""
 
 import pytest
-from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from fathomline.config import DEFAULTS, Params
@@ -91,14 +90,11 @@ def test_dedupe_orders_an_unmatched_confidence_too_and_missing_last(spark):
 
 def test_quality_is_judged_after_the_dedupe(spark):
     # the matched version is cloudy: it wins and takes the good unmatched one with it
-    base = {"scene_id": "s", "lat": 40.0, "lon": 5.0, "detect_timestamp": "2025-07-01 10:30:05", **GOOD, "length_m_inferred": 10.0,
-            "ais_speed_kn_before": None, "ais_speed_kn_after": None, "ais_length_m": None}
-    data = [{**base, "mmsi": None, "matching_confidence": None}, {**base, "mmsi": "247000001", "matching_confidence": 0.9, "cloud_score": 0.9}]
-    df = with_optional(spark.createDataFrame([Row(**{k: d[k] for k in d if d[k] is not None or k == "mmsi"}) for d in data[1:]])
-                       , *DETECTIONS.fields)
-    both = conform(df, DETECTIONS).unionByName(conform(with_optional(spark.createDataFrame([Row(**{k: v for k, v in data[0].items() if v is not None})]), *DETECTIONS.fields), DETECTIONS))
-    assert detections.anchored_in_region(both, DEFAULTS).count() == 0
-    assert detections.anchored_in_region(both.where("mmsi is null"), DEFAULTS).count() == 1
+    good = rows(spark, {}).withColumns({"scene_id": F.lit("s"), "lat": F.lit(40.0), "lon": F.lit(5.0), "detect_timestamp": F.lit("2025-07-01 10:30:05")})
+    cloudy = good.withColumns({"cloud_score": F.lit(0.9), "mmsi": F.lit("247000001")})
+    good, cloudy = (conform(with_optional(df, *DETECTIONS.fields), DETECTIONS) for df in (good, cloudy))
+    assert detections.anchored_in_region(good, DEFAULTS).count() == 1
+    assert detections.anchored_in_region(good.unionByName(cloudy), DEFAULTS).count() == 0
 
 
 AIS = "mmsi string, matching_confidence float, ais_speed_kn_before float, ais_speed_kn_after float"
