@@ -15,7 +15,6 @@ from ..runtime import cut_lineage, scratch_path
 from ..schema import AIS_COUNTERS, COUNTERS, DETECTIONS, OVERPASSES, SEASONS
 from ..sources import files
 from ..streaming import incremental
-from . import bindings as b
 from . import build
 from . import oracle as o
 from .bindings import Tables
@@ -88,9 +87,6 @@ def _(t):
     return files.read_partitions(t.spark, out).select(*KEY, "month")
 
 
-_SHIFTED = "CASE WHEN s_suppkey%9 = 0 THEN 100e0 ELSE 0e0 END"
-
-
 @query("polygons_from_geojson", f"""SELECT CAST(row_number() OVER (ORDER BY objectid) - 1 AS INT) AS pid, objectid, parts, vertices FROM (
     SELECT s_suppkey AS objectid, 1 + CAST(s_suppkey%5 = 0 AS INT) + CAST(s_suppkey%4 = 1 AS INT) AS parts,
            9 + 5*CAST(s_suppkey%5 = 0 AS INT) + 9*CAST(s_suppkey%4 = 1 AS INT) AS vertices
