@@ -53,7 +53,7 @@ def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
     scan, and a known size for choosing joins. The tables stay until the folder is cleared.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
