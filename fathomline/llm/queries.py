@@ -7,12 +7,33 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, embeddings, exact, mixing, packing, warc
+from . import chat, embeddings, exact, jaccard, mixing, packing, substring, warc
 from .common import table
 
 _WS = r"[\x20\x09-\x0D]"
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substring.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+OP1 = r"""
+WITH w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+win AS (
+  SELECT doc_id, i AS start, hash(array_to_string(words[i:i + 19], ' ')) AS h
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS i FROM w)),
+later AS (
+  SELECT doc_id, start FROM (SELECT doc_id, start, row_number() OVER (PARTITION BY h ORDER BY doc_id, start) AS nth FROM win) WHERE nth > 1),
+gone AS (SELECT doc_id, list_distinct(flatten(list(range(start, start + 20)))) AS pos FROM later GROUP BY 1),
+kept AS (
+  SELECT w.doc_id, len(words) AS n_words, coalesce(len(pos), 0) AS n_removed,
+         CASE WHEN pos IS NULL THEN words ELSE list_select(words, list_filter(range(1, len(words) + 1), lambda i: NOT list_contains(pos, i))) END AS k
+  FROM w LEFT JOIN gone USING (doc_id))
+SELECT doc_id, n_words, n_removed, sha256(array_to_string(k, ' ')) AS kept_sha256 FROM kept"""
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     batch, snapshot = exact.split_snapshot(table(spark, sf_dir, "documents").select("doc_id", "text"))
     found = exact.deduplicate(batch, snapshot)
@@ -39,6 +60,24 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN first < page_id THEN 'r
        CASE WHEN first < page_id THEN first END AS refers_to FROM p LEFT JOIN g USING (payload_digest)"""
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+OP6 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                   '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+s AS (
+  SELECT doc_id, hash(array_to_string(words[i:i + 2], ' ')) AS h FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 1, 2))) AS i FROM w WHERE len(words) > 0) GROUP BY ALL),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.h = b.h AND a.doc_id <> b.doc_id GROUP BY ALL),
+pairs AS (SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 90 * (x.n + y.n - c)),
+reach(id, low) AS (SELECT doc_id, doc_id FROM documents UNION SELECT p.b, r.low FROM reach r JOIN pairs p ON p.a = r.id)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, low AS component_id FROM documents d LEFT JOIN n USING (doc_id)
+JOIN (SELECT id, min(low) AS low FROM reach GROUP BY 1) m ON m.id = d.doc_id"""
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     own = spark.createDataFrame([(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")],
@@ -90,5 +129,5 @@ def with_quality(spark: SparkSession, docs: DataFrame, sf_dir: str):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_exact_dedup, op3_warc_normalise, op7_chat_format, op8_embedding_dedup, op9_packing, op10_mixing)}
-ORACLE: dict[str, str] = {"op2_exact_dedup": OP2, "op3_warc_normalise": OP3, "op8_embedding_dedup": OP8}
+    f.__name__: f for f in (op1_substring_dedup, op2_exact_dedup, op3_warc_normalise, op6_ngram_jaccard, op7_chat_format, op8_embedding_dedup, op9_packing, op10_mixing)}
+ORACLE: dict[str, str] = {"op1_substring_dedup": OP1, "op6_ngram_jaccard": OP6, "op2_exact_dedup": OP2, "op3_warc_normalise": OP3, "op8_embedding_dedup": OP8}
