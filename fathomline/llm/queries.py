@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, embeddings, exact, jaccard, mixing, packing, substring, toxicity, warc
+from . import chat, embeddings, exact, html, jaccard, mixing, packing, substring, toxicity, warc
 from .common import table
 
 _WS = r"[\x20\x09-\x0D]"
@@ -64,6 +64,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -133,5 +137,5 @@ def with_quality(spark: SparkSession, docs: DataFrame, sf_dir: str):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op2_exact_dedup, op3_warc_normalise, op4_toxicity, op6_ngram_jaccard, op7_chat_format, op8_embedding_dedup, op9_packing, op10_mixing)}
+    f.__name__: f for f in (op1_substring_dedup, op2_exact_dedup, op3_warc_normalise, op4_toxicity, op5_html_extract, op6_ngram_jaccard, op7_chat_format, op8_embedding_dedup, op9_packing, op10_mixing)}
 ORACLE: dict[str, str] = {"op1_substring_dedup": OP1, "op6_ngram_jaccard": OP6, "op2_exact_dedup": OP2, "op3_warc_normalise": OP3, "op8_embedding_dedup": OP8}
