@@ -5,13 +5,15 @@ set links only within its band or with the next; for each band the most shingles
 The universe of shingles is hashed into m = H + 1 segments, the band's scheme; linked sets then agree in one segment at least.
 Every set indexes its segments under the schemes of its own band and the one below.
 
-Cost-based allocation. The cost of a segment is the number of sets it is expected to bring together; it falls with the shingles the
-segment holds, and only an empty segment, which tells nothing about its set, is dearer than the alternative: to skip it and index
-one-deletion neighbourhoods of the other segments. Let a linked pair agree in h segments only, all of them empty. Its other m - h
-segments hold at most m - 1 differences, at least one each, so at most h - 1 of them hold more than one. Of the rest, a segment
-that is empty on one side has one shingle on the other. Hence, with p the segments of a set that hold one shingle or none, a
-segment that is filled on both sides and differs by one shingle exists whenever 2 p <= m. So: a set indexes all filled segments; if
-it has empty ones, also the one-deletion neighbourhood of every filled segment; and the empty ones themselves only if 2 p > m.
+Cost-based allocation. The cost of indexing a segment is the number of sets it is expected to bring together, which falls with the
+shingles it holds. Thin segments, of one shingle or none, cost more than the alternative: to skip them and index one-deletion
+neighbourhoods of a few richer segments. Let a linked pair agree in h segments only, all of them thin. Its other m - h segments
+hold at most m - 1 differences, at least one each, so at most h - 1 of them hold more than one. Among any h segments in which one of
+the sets has three shingles or more (these are not the thin ones), some segment therefore differs by exactly one shingle, and the
+other set has two or more in it. So: a set indexes its segments that are not thin; if it has t > 0 thin ones, also the
+one-deletion neighbourhoods of its first segments, as many as hold t with three shingles or more; if it has not so many,
+those of all, and the thin segments themselves. Of two sets the one that covers fewer first segments decides, and the other
+covers those too.
 
 Sets that share an index entry are candidates. Candidates form clusters (components of the candidate graph, from the smallest member
 of every entry); all links lie within clusters. A cluster is verified in blocks of bounded size, on the shingles themselves, not
@@ -19,7 +21,7 @@ on hashes: all pairs of a block that are not yet known to be connected. Blocks a
 connects more; then what still lies in several components is compared block by block, only across components. So a family of many
 near copies costs a few linear rounds, and pairs within a group are never written out.
 
-Equal sets fall together before all this. Defined cases: a text of one or two words has its whole sequence as its only shingle; an
+Equal sets fall together before all this. Defined cases: a text of fewer words than a shingle has its whole sequence as its only shingle; an
 empty or null text has none, links with nothing and is its own component. A null id links with nothing and has no component. Rows that
 share an id are one node. An empty table gives an empty result.
 """
@@ -74,20 +76,26 @@ def index_entries(shingles: np.ndarray, schemes: list[tuple[int, int]]) -> np.nd
         np.add.at(total, seg, value)
         held = np.bincount(seg, minlength=m)
         place = (np.arange(m, dtype=np.uint64) << U(1)) + U(scheme << 40)
-        filled = held > 0
-        out.append(mix(total[filled] ^ mix(place[filled], 51), 61))
-        if filled.all():
+        thin = held <= 1
+        out.append(mix(total[~thin] ^ mix(place[~thin], 51), 61))
+        skipped = int(thin.sum())
+        if not skipped:
             continue
-        near = place + U(1)  # entries of deletion neighbourhoods are a space of their own
-        out.append(mix(total[filled] ^ mix(near[filled], 51), 61))
-        some = held[seg] > 1
+        rich = np.cumsum(held >= 3)
+        if rich[-1] >= skipped:
+            covered = int(np.searchsorted(rich, skipped)) + 1
+        else:
+            covered = m
+            out.append(mix(total[thin] ^ mix(place[thin], 51), 61))
+        near = place[:covered] + U(1)  # entries of deletion neighbourhoods are a space of their own
+        whole = held[:covered] >= 2
+        out.append(mix(total[:covered][whole] ^ mix(near[whole], 51), 61))
+        some = (seg < covered) & (held[seg] >= 3)
         out.append(mix((total[seg[some]] - value[some]) ^ mix(near[seg[some]], 51), 61))
-        if 2 * int((held <= 1).sum()) > m:
-            out.append(mix(total[~filled] ^ mix(place[~filled], 51), 61))
     return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
 
 
-def _sets(num: int, den: int):
+def _sets(num: int, den: int, shingle: int):
     schemes = Schemes(num, den)
     schema = arrow_schema(doc_id=pa.int64(), n=pa.int64(), d1=pa.int64(), d2=pa.int64(), entries=pa.list_(pa.int64()))
 
@@ -96,7 +104,7 @@ def _sets(num: int, den: int):
             for first, data, bounds in text_chunks(b.column(1)):
                 starts, ends, words = word_spans(data, bounds)
                 h = word_hashes(data, starts, ends, lower=True)
-                grams = sequence_hashes(h, SHINGLE)
+                grams = sequence_hashes(h, shingle)
                 rows = len(bounds) - 1
                 n, d1, d2 = (np.zeros(rows, dtype=np.int64) for _ in range(3))
                 lists, sizes = [], np.zeros(rows + 1, dtype=np.int32)
@@ -104,7 +112,7 @@ def _sets(num: int, den: int):
                     a, z = int(words[i]), int(words[i + 1])
                     if a == z:
                         continue
-                    s = np.unique(grams[a: z - SHINGLE + 1] if z - a >= SHINGLE else sequence_hashes(h[a:z], z - a))
+                    s = np.unique(grams[a: z - shingle + 1] if z - a >= shingle else sequence_hashes(h[a:z], z - a))
                     n[i] = len(s)
                     d1[i] = np.add.reduce(mix(s, 21)).view(np.int64)
                     d2[i] = np.bitwise_xor.reduce(mix(s, 22)).view(np.int64)
@@ -135,18 +143,21 @@ def _lowest_of_entry(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBat
             yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
 
 
-def shingles_of(text: str) -> set[tuple[bytes, ...]]:
+def shingles_of(text: str, shingle: int = SHINGLE) -> set[tuple[bytes, ...]]:
     """The shingles themselves, of the text with A-Z in lower case."""
     w = text.encode().lower().split()
-    if len(w) < SHINGLE:
+    if len(w) < shingle:
         return {tuple(w)} if w else set()
-    return set(zip(*(w[i:] for i in range(SHINGLE))))
+    return set(zip(*(w[i:] for i in range(shingle))))
+
 
+def links(texts: list[str], labels: list[int], sides: list[int], num: int, den: int, shingle: int = SHINGLE) -> list[tuple[int, int]]:
+    """Positions of linked texts, enough of them to connect all that links connect.
 
-def links(texts: list[str], labels: list[int], num: int, den: int) -> list[tuple[int, int]]:
-    """Positions of linked texts, enough of them to connect all that links connect, leaving out pairs of equal label."""
+    Texts of equal label are connected already; with more than one side, only texts of different sides are compared.
+    """
     ids: dict[tuple[bytes, ...], int] = {}
-    sets = [np.fromiter((ids.setdefault(s, len(ids)) for s in shingles_of(t)), dtype=np.int64) for t in texts]
+    sets = [np.fromiter((ids.setdefault(s, len(ids)) for s in shingles_of(t, shingle)), dtype=np.int64) for t in texts]
     size = np.array([len(s) for s in sets], dtype=np.int64)
     flat = np.concatenate(sets) if sets else np.zeros(0, dtype=np.int64)
     begin = np.cumsum(size) - size
@@ -164,10 +175,14 @@ def links(texts: list[str], labels: list[int], num: int, den: int) -> list[tuple
     out = []
     mark = np.zeros(len(ids) + 1, dtype=np.int64)
     filled = np.flatnonzero(size)
+    side = np.array(sides, dtype=np.int64)
+    across = len(side) > 0 and bool((side != side[0]).any())
     for k, i in enumerate(filled.tolist()):
         others = filled[:k]
         # only sets of a size that allows a link, and not yet connected with this one
         others = others[(den * np.minimum(size[others], size[i]) >= num * np.maximum(size[others], size[i]))]
+        if across:
+            others = others[side[others] != side[i]]
         mine = find(i)
         others = np.array([j for j in others.tolist() if find(j) != mine], dtype=np.int64)
         if not len(others):
@@ -187,40 +202,39 @@ def links(texts: list[str], labels: list[int], num: int, den: int) -> list[tuple
     return out
 
 
-def _verify(num: int, den: int, n_keys: int):
-    """Over rows (keys..., label, rep, text) in order of the keys: links within each group of equal keys."""
+def _verify(num: int, den: int, shingle: int, n_keys: int):
+    """Over rows (keys..., side, label, rep, text) in order of the keys: links within each group of equal keys."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, labels, reps, texts = None, [], [], []
+        key, sides, labels, reps, texts = None, [], [], [], []
 
         def finish() -> pa.RecordBatch | None:
-            found = links(texts, labels, num, den) if len(texts) > 1 else []
+            found = links(texts, labels, sides, num, den, shingle) if len(texts) > 1 else []
             if not found:
                 return None
             return pa.RecordBatch.from_arrays([pa.array([reps[i] for i, _ in found], pa.int64()), pa.array([reps[j] for _, j in found], pa.int64())],
                                               names=["a", "b"])
 
         for b in batches:
-            cols = [c.to_pylist() for c in b.columns]
-            for row in zip(*cols):
+            for row in zip(*(c.to_pylist() for c in b.columns)):
                 if row[:n_keys] != key:
                     if key is not None and (got := finish()) is not None:
                         yield got
-                    key, labels, reps, texts = row[:n_keys], [], [], []
-                labels.append(row[n_keys])
-                reps.append(row[n_keys + 1])
-                texts.append(row[n_keys + 2])
+                    key, sides, labels, reps, texts = row[:n_keys], [], [], [], []
+                for into, value in zip((sides, labels, reps, texts), row[n_keys:]):
+                    into.append(value)
         if key is not None and (got := finish()) is not None:
             yield got
 
     return run
 
 
-def similar_groups(docs: DataFrame, num: int = NUM, den: int = DEN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def similar_groups(docs: DataFrame, num: int = NUM, den: int = DEN, shingle: int = SHINGLE, id_col: str = "doc_id",
+                   text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row: the size of its set and the smallest id reachable by links."""
     spark = docs.sparkSession
     ship(spark)
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    sets = cut_lineage(texts.mapInArrow(_sets(num, den), "doc_id bigint, n bigint, d1 bigint, d2 bigint, entries array<bigint>"), "sets")
+    sets = cut_lineage(texts.mapInArrow(_sets(num, den, shingle), "doc_id bigint, n bigint, d1 bigint, d2 bigint, entries array<bigint>"), "sets")
     filled = sets.where("n > 0 and doc_id is not null")
     reps = cut_lineage(filled.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep")), "reps")
     entries = filled.join(reps.select("rep"), filled["doc_id"] == F.col("rep"), "left_semi").select(
@@ -228,47 +242,70 @@ def similar_groups(docs: DataFrame, num: int = NUM, den: int = DEN, id_col: str
     entries = entries.repartition("entry").sortWithinPartitions("entry", "rep")
     candidates = cut_lineage(entries.mapInArrow(_lowest_of_entry, "a bigint, b bigint").distinct(), "candidates")
     clusters = cut_lineage(components(candidates), "clusters")
-    edges = _verified(spark, texts, reps, clusters, num, den)
-    comp = components(edges)
+    edges = _verified(spark, texts, reps, clusters, num, den, shingle)
+    comp = cut_lineage(components(edges), "components")
     named = sets.select("doc_id", "n", "d1", "d2").join(reps, ["d1", "d2", "n"], "left").join(comp, F.col("rep") == F.col("node"), "left")
     known = F.coalesce(F.col("component"), F.col("rep"), F.col("doc_id"))
     # rows that share an id are one node: their smallest component holds for all of them
     return named.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), known).alias("component_id"))
 
 
-def _verified(spark, texts: DataFrame, reps: DataFrame, clusters: DataFrame, num: int, den: int) -> DataFrame:
-    sized = clusters.join(reps, clusters["node"] == reps["rep"]).select("rep", "n", F.col("component").alias("cluster"))
-    loads = sized.groupBy("cluster").agg(F.sum("n").alias("load"), F.count(F.lit(1)).alias("members"))
-    blocks = F.greatest(F.ceil(F.col("load") / BLOCK_SHINGLES), F.ceil(F.col("members") / BLOCK_SETS)).cast("int")
-    plan = sized.join(loads.withColumn("blocks", blocks).select("cluster", "blocks"), "cluster")
-    plan = plan.groupBy("rep").agg(F.min("cluster").alias("cluster"), F.max("blocks").alias("blocks"))
-    members = cut_lineage(texts.join(plan, texts["doc_id"] == plan["rep"]).select("cluster", "blocks", "rep", "text"), "members")
-
-    def dealt(rows: DataFrame, seed: int) -> DataFrame:
-        block = F.pmod(F.xxhash64("rep", F.lit(seed)), F.col("blocks")).cast("int").alias("block")
-        return rows.select("cluster", block, "label", "rep", "text").repartition("cluster", "block").sortWithinPartitions("cluster", "block", "rep")
+def _verified(spark, texts: DataFrame, reps: DataFrame, clusters: DataFrame, num: int, den: int, shingle: int) -> DataFrame:
+    """Edges that connect what links connect within the clusters.
 
-    edges = cut_lineage(dealt(members.withColumn("label", F.col("rep")), 0).mapInArrow(_verify(num, den, 2), "a bigint, b bigint"), "links")
+    A small cluster is one block. A large one is dealt by size band and hash, as sets link only within a band or with the next; in
+    later rounds two neighbouring bands are dealt together.
+    """
+    lows = [int(x) for x in Schemes(num, den).lows]
+    band = F.size(F.filter(F.lit(lows), lambda x: x <= F.col("n")))
+    sized = clusters.join(reps, clusters["node"] == reps["rep"]).select("rep", "n", F.col("component").alias("cluster"))
+    sized = sized.groupBy("rep").agg(F.min("cluster").alias("cluster"), F.max("n").alias("n")).withColumn("band", band)
+    need = F.greatest(F.ceil(F.sum("n") / BLOCK_SHINGLES), F.ceil(F.count(F.lit(1)) / BLOCK_SETS)).cast("int")
+    whole = sized.groupBy("cluster").agg(need.alias("blocks"))
+    parts = sized.groupBy("cluster", "band").agg(need.alias("in_band"))
+    plan = sized.join(whole, "cluster").join(parts, ["cluster", "band"]).drop("n")
+    members = texts.join(plan.withColumnRenamed("rep", "_rep"), texts["doc_id"] == F.col("_rep"))
+    members = cut_lineage(members.select("cluster", "blocks", "band", "in_band", F.col("doc_id").alias("rep"), "text"), "members")
+
+    def dealt(rows: DataFrame, turn: int) -> DataFrame:
+        group = F.floor((F.col("band") + turn) / 2) if turn else F.col("band")
+        block = F.when(F.col("blocks") > 1, F.pmod(F.xxhash64("rep", F.lit(turn)), F.col("in_band"))).otherwise(0).cast("int")
+        rows = rows.select("cluster", F.when(F.col("blocks") > 1, group).otherwise(0).cast("int").alias("group"), block.alias("block"),
+                           F.lit(0).alias("side"), "label", "rep", "text")
+        return rows.repartition("cluster", "group", "block").sortWithinPartitions("cluster", "group", "block", "rep")
+
+    edges = cut_lineage(dealt(members.withColumn("label", F.col("rep")), 0).mapInArrow(_verify(num, den, shingle, 3), "a bigint, b bigint"), "links")
     large = members.where("blocks > 1")
     if not large.limit(1).count():
         return edges
     found = [edges]
-    for seed in range(1, ROUNDS + 1):
+    for turn in range(1, ROUNDS + 1):
         open_ones = _open(spark, large, _union(found))
         if not open_ones.limit(1).count():
             return _union(found)
-        more = cut_lineage(dealt(open_ones, seed).mapInArrow(_verify(num, den, 2), "a bigint, b bigint"), "links")
-        if not more.limit(1).count():
-            break
+        more = cut_lineage(dealt(open_ones, turn).mapInArrow(_verify(num, den, shingle, 3), "a bigint, b bigint"), "links")
         found.append(more)
-    open_ones = _open(spark, large, _union(found))
-    block = F.pmod(F.xxhash64("rep", F.lit(0)), F.col("blocks")).cast("int")
-    rows = open_ones.withColumn("block", block)
-    other = F.explode(F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: k != F.col("block")))
-    pairs = rows.withColumn("_other", other).select("cluster", F.least("block", "_other").alias("i"), F.greatest("block", "_other").alias("j"),
-                                                    "label", "rep", "text")
-    pairs = pairs.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "rep")
-    found.append(cut_lineage(pairs.mapInArrow(_verify(num, den, 3), "a bigint, b bigint"), "links"))
+        if turn > 1 and not more.limit(1).count():
+            break
+    open_ones = cut_lineage(_open(spark, large, _union(found)).withColumn("block", F.pmod(F.xxhash64("rep", F.lit(0)), F.col("in_band")).cast("int")), "open")
+    # every block meets the later blocks of its band and all blocks of the next; and itself, for what it held apart
+    blocks = open_ones.select("cluster", "band", "in_band").distinct()
+    later = blocks.select("cluster", (F.col("band") - 1).alias("band"), F.col("in_band").alias("_next"))
+    rows = open_ones.join(later, ["cluster", "band"], "left").withColumn("_next", F.coalesce("_next", F.lit(0)))
+    own = F.transform(F.filter(F.sequence(F.lit(0), F.col("in_band") - 1), lambda k: k != F.col("block")), lambda k: F.struct(
+        F.col("band").alias("g"), F.least(F.col("block"), k).alias("i"), F.lit(0).alias("up"), F.greatest(F.col("block"), k).alias("j"),
+        (F.col("block") > k).cast("int").alias("side")))
+    up = F.transform(F.filter(F.sequence(F.lit(0), F.col("_next")), lambda k: k < F.col("_next")), lambda k: F.struct(
+        F.col("band").alias("g"), F.col("block").alias("i"), F.lit(1).alias("up"), k.alias("j"), F.lit(0).alias("side")))
+    below = blocks.select("cluster", (F.col("band") + 1).alias("band"), F.col("in_band").alias("_below"))
+    rows = rows.join(below, ["cluster", "band"], "left").withColumn("_below", F.coalesce("_below", F.lit(0)))
+    down = F.transform(F.filter(F.sequence(F.lit(0), F.col("_below")), lambda k: k < F.col("_below")), lambda k: F.struct(
+        (F.col("band") - 1).alias("g"), k.alias("i"), F.lit(1).alias("up"), F.col("block").alias("j"), F.lit(1).alias("side")))
+    pairs = rows.withColumn("_p", F.explode(F.concat(own, up, down))).select(
+        "cluster", "_p.g", "_p.i", "_p.up", "_p.j", "_p.side", "label", "rep", "text")
+    keys = ["cluster", "g", "i", "up", "j"]
+    pairs = pairs.repartition(*keys).sortWithinPartitions(*keys, "rep")
+    found.append(cut_lineage(pairs.mapInArrow(_verify(num, den, shingle, 5), "a bigint, b bigint"), "links"))
     return _union(found)
 
 
@@ -282,16 +319,16 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 def _open(spark, members: DataFrame, edges: DataFrame) -> DataFrame:
     """The members of clusters that links do not yet connect in full, with their component as label."""
     comp = components(edges)
-    own = members.select("cluster", "blocks", "rep", "text").join(comp, members["rep"] == comp["node"], "left").withColumn(
+    own = members.join(comp, members["rep"] == comp["node"], "left").withColumn(
         "label", F.coalesce("component", "rep")).drop("node", "component")
     own = cut_lineage(own, "labelled")
     apart = own.groupBy("cluster").agg(F.min("label").alias("_l"), F.max("label").alias("_h")).where("_l < _h").select("cluster")
     return own.join(apart, "cluster", "left_semi")
 
 
-def keep_one(docs: DataFrame, num: int = NUM, den: int = DEN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, num: int = NUM, den: int = DEN, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: of each component the document of the smallest id."""
-    groups = similar_groups(docs, num, den, id_col, text_col)
+    groups = similar_groups(docs, num, den, shingle, id_col, text_col)
     gone, = fresh(docs, "_gone")
     drop = groups.where("doc_id <> component_id").select(F.col("doc_id").alias(gone)).distinct()
     return docs.join(drop, docs[id_col] == drop[gone], "left_anti")
