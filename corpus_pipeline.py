@@ -17,6 +17,8 @@ from fathomline.llm import exact, jaccard, mixing, packing, toxicity
 from fathomline.llm.common import fresh, table
 from fathomline.runtime import cut_lineage
 
+#: near copies share this many in a hundred of the shingles of so many words
+SIMILAR = (80, 100, 5)
 #: the vocabulary that documents are packed with, and the id that ends a document
 TOKENIZER, END_ID = "word_bpe_49k.json", 2
 
@@ -33,7 +35,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that links of similarity connect the one of the smallest id."""
-    return jaccard.keep_one(docs)
+    return jaccard.keep_one(docs, *SIMILAR)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +44,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").groupBy(F.col("doc_id").alias(key)).agg(F.max("quality").alias(weight))
     rated = docs.join(labels, docs["doc_id"] == labels[key], "left").drop(key)
     quality = F.when(F.col(weight) == 1, 2.0).when(F.col(weight) == 0, 0.5).otherwise(1.0)
-    return mixing.mix(rated, quality).select(*docs.columns)
+    mixed = mixing.mix(rated, quality).select(*docs.columns)
+    return mixed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else mixed
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
