@@ -54,14 +54,22 @@ def exponential_key(seed: int, weight: Column, *identity: Column) -> Column:
     return -F.log(u) / F.when(good, weight).otherwise(F.lit(1.0))
 
 
-def take(docs: DataFrame, quality: Column | None = None, seed: int = 17, weights: Sequence[float] = WEIGHTS,
+def take(docs: DataFrame, quality: DataFrame | None = None, seed: int = 17, weights: Sequence[float] = WEIGHTS,
          max_epochs: int = MAX_EPOCHS, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """(doc_id, mark, size, source, source_size, target, taken) of every document. ``mark`` is a hash of the text."""
-    weight = (quality if quality is not None else F.lit(1.0)).cast("double")
+    """(doc_id, mark, size, source, source_size, target, taken) of every document. ``mark`` is a hash of the text.
+
+    ``quality`` has the weight of documents, (id, weight); of several rows of an id the largest weight counts. It joins the
+    documents' sizes, so texts are read once and never moved.
+    """
     mark = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    sized = cut_lineage(docs.select(
-        F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), mark.alias("mark"),
-        words_in(F.col(text_col)).alias("size"), exponential_key(seed, weight, F.col(id_col), mark).alias("key")), "sizes")
+    plain = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), mark.alias("mark"),
+                        words_in(F.col(text_col)).alias("size"))
+    weight = F.lit(1.0)
+    if quality is not None:
+        rated = quality.groupBy(F.col("id").alias("_id")).agg(F.max("weight").cast("double").alias("_weight"))
+        plain = cut_lineage(plain, "plain").join(rated, F.col("doc_id") == F.col("_id"), "left")
+        weight = F.col("_weight")
+    sized = cut_lineage(plain.select("doc_id", "source", "mark", "size", exponential_key(seed, weight, F.col("doc_id"), F.col("mark")).alias("key")), "sizes")
     sizes = {r[0]: int(r[1]) for r in sized.groupBy("source").agg(F.sum("size")).collect()}  # one row per source
     asked = targets(sizes, weights, max_epochs)
     spark = docs.sparkSession
@@ -80,7 +88,7 @@ def take(docs: DataFrame, quality: Column | None = None, seed: int = 17, weights
     return both.select("doc_id", "mark", "size", "source", "source_size", "target", (F.col("epochs") * F.col("size") + part).alias("taken"))
 
 
-def mix(docs: DataFrame, quality: Column | None = None, **options) -> DataFrame:
+def mix(docs: DataFrame, quality: DataFrame | None = None, **options) -> DataFrame:
     """The mixed table itself, with the columns of ``docs``: a document stands as often as it is taken, cut where it is cut."""
     t = take(docs, quality, **options)
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")

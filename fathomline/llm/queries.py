@@ -124,16 +124,13 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, quality = with_quality(spark, table(spark, sf_dir, "documents"), sf_dir)
-    return mixing.take(docs, quality).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.take(table(spark, sf_dir, "documents"), quality_weights(table(spark, sf_dir, "labels"))).select(
+        "doc_id", "size", "source_size", "target", "taken")
 
 
-def with_quality(spark: SparkSession, docs: DataFrame, sf_dir: str):
-    """The documents with the quality weight that ``labels`` gives them: good 2, poor 0.5, unlabelled 1."""
-    labels = table(spark, sf_dir, "labels").groupBy(F.col("doc_id").alias("_labelled")).agg(F.max("quality").alias("_quality"))
-    slim = docs.select("doc_id", "text", "source")
-    both = slim.join(labels, slim["doc_id"] == labels["_labelled"], "left")
-    return both, F.when(F.col("_quality") == 1, 2.0).when(F.col("_quality") == 0, 0.5).otherwise(1.0)
+def quality_weights(labels: DataFrame) -> DataFrame:
+    """Quality weights from labels: good 2, poor 0.5; documents without a label weigh 1."""
+    return labels.where("quality in (0, 1)").select(F.col("doc_id").alias("id"), F.when(F.col("quality") == 1, 2.0).otherwise(0.5).alias("weight"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
