@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fathomline.llm import exact, jaccard, mixing, packing, toxicity
-from fathomline.llm.common import fresh, table
+from fathomline.llm.common import table
+from fathomline.llm.queries import quality_weights
 from fathomline.runtime import cut_lineage
 
 #: near copies share this many in a hundred of the shingles of so many words
@@ -40,11 +41,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
-    key, weight = fresh(docs, "_labelled", "_quality")
-    labels = table(spark, sf_dir, "labels").groupBy(F.col("doc_id").alias(key)).agg(F.max("quality").alias(weight))
-    rated = docs.join(labels, docs["doc_id"] == labels[key], "left").drop(key)
-    quality = F.when(F.col(weight) == 1, 2.0).when(F.col(weight) == 0, 0.5).otherwise(1.0)
-    mixed = mixing.mix(rated, quality).select(*docs.columns)
+    mixed = mixing.mix(docs, quality_weights(table(spark, sf_dir, "labels")))
     return mixed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else mixed
 
 
