@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..runtime import cut_lineage
-from .common import arrow_schema, fresh, ship
+from .common import arrow_schema, fresh, remove, ship
 from .graph import components
 from .wordhash import U, mix, sequence_hashes, text_chunks, word_hashes, word_spans
 
@@ -95,33 +95,46 @@ def index_entries(shingles: np.ndarray, schemes: list[tuple[int, int]]) -> np.nd
     return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
 
 
-def _sets(num: int, den: int, shingle: int):
+def _shingle_sets(column: pa.Array, shingle: int) -> Iterator[tuple[int, int, list[np.ndarray]]]:
+    """Distinct shingle hashes of every text, in pieces of the column: first row, rows, one array per row."""
+    for first, data, bounds in text_chunks(column):
+        starts, ends, words = word_spans(data, bounds)
+        h = word_hashes(data, starts, ends, lower=True)
+        grams = sequence_hashes(h, shingle)
+        sets = []
+        for a, z in zip(words[:-1].tolist(), words[1:].tolist()):
+            own = grams[a: z - shingle + 1] if z - a >= shingle else sequence_hashes(h[a:z], z - a) if z > a else grams[:0]
+            sets.append(np.unique(own))
+        yield first, len(sets), sets
+
+
+def _digests(shingle: int):
+    """(doc_id, n, d1, d2) from (doc_id, text): size of the set and two sums over it that equal sets share."""
+    schema = arrow_schema(doc_id=pa.int64(), n=pa.int64(), d1=pa.int64(), d2=pa.int64())
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for first, rows, sets in _shingle_sets(b.column(1), shingle):
+                d1 = np.array([np.add.reduce(mix(s, 21)) for s in sets], dtype=np.uint64)
+                d2 = np.array([np.bitwise_xor.reduce(mix(s, 22)) for s in sets], dtype=np.uint64)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(first, rows), pa.array([len(s) for s in sets], pa.int64()),
+                                                  pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64))], schema=schema)
+
+    return run
+
+
+def _entries(num: int, den: int, shingle: int):
+    """(rep, entries) from (doc_id, text)."""
     schemes = Schemes(num, den)
-    schema = arrow_schema(doc_id=pa.int64(), n=pa.int64(), d1=pa.int64(), d2=pa.int64(), entries=pa.list_(pa.int64()))
+    schema = arrow_schema(rep=pa.int64(), entries=pa.list_(pa.int64()))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for first, data, bounds in text_chunks(b.column(1)):
-                starts, ends, words = word_spans(data, bounds)
-                h = word_hashes(data, starts, ends, lower=True)
-                grams = sequence_hashes(h, shingle)
-                rows = len(bounds) - 1
-                n, d1, d2 = (np.zeros(rows, dtype=np.int64) for _ in range(3))
-                lists, sizes = [], np.zeros(rows + 1, dtype=np.int32)
-                for i in range(rows):
-                    a, z = int(words[i]), int(words[i + 1])
-                    if a == z:
-                        continue
-                    s = np.unique(grams[a: z - shingle + 1] if z - a >= shingle else sequence_hashes(h[a:z], z - a))
-                    n[i] = len(s)
-                    d1[i] = np.add.reduce(mix(s, 21)).view(np.int64)
-                    d2[i] = np.bitwise_xor.reduce(mix(s, 22)).view(np.int64)
-                    e = index_entries(s, schemes.of(len(s)))
-                    lists.append(e)
-                    sizes[i + 1] = len(e)
-                flat = np.concatenate(lists) if lists else np.zeros(0, dtype=np.uint64)
-                entries = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes, dtype=np.int32)), pa.array(flat.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(first, rows), pa.array(n), pa.array(d1), pa.array(d2), entries], schema=schema)
+            for first, rows, sets in _shingle_sets(b.column(1), shingle):
+                found = [index_entries(s, schemes.of(len(s))) if len(s) else s for s in sets]
+                at = np.cumsum([0, *map(len, found)], dtype=np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(found).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(first, rows), lists], schema=schema)
 
     return run
 
@@ -234,24 +247,26 @@ def similar_groups(docs: DataFrame, num: int = NUM, den: int = DEN, shingle: int
     spark = docs.sparkSession
     ship(spark)
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    sets = cut_lineage(texts.mapInArrow(_sets(num, den, shingle), "doc_id bigint, n bigint, d1 bigint, d2 bigint, entries array<bigint>"), "sets")
+    sets = cut_lineage(texts.mapInArrow(_digests(shingle), "doc_id bigint, n bigint, d1 bigint, d2 bigint"), "sets")
     filled = sets.where("n > 0 and doc_id is not null")
     reps = cut_lineage(filled.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep")), "reps")
-    entries = filled.join(reps.select("rep"), filled["doc_id"] == F.col("rep"), "left_semi").select(
-        F.explode("entries").alias("entry"), F.col("doc_id").alias("rep"))
+    # texts are hashed again rather than all index entries stored: they would outweigh the texts
+    entries = texts.where("doc_id is not null").mapInArrow(_entries(num, den, shingle), "rep bigint, entries array<bigint>").where("size(entries) > 0")
+    entries = entries.join(reps.select("rep"), "rep", "left_semi").select(F.explode("entries").alias("entry"), "rep")
     entries = entries.repartition("entry").sortWithinPartitions("entry", "rep")
     candidates = cut_lineage(entries.mapInArrow(_lowest_of_entry, "a bigint, b bigint").distinct(), "candidates")
     clusters = cut_lineage(components(candidates), "clusters")
-    edges = _verified(spark, texts, reps, clusters, num, den, shingle)
-    comp = cut_lineage(components(edges), "components")
+    edges, scratch = _verified(spark, texts, reps, clusters, num, den, shingle)
+    comp = cut_lineage(components(_union(edges)), "components")
+    remove(spark, candidates, clusters, *scratch, *edges)
     named = sets.select("doc_id", "n", "d1", "d2").join(reps, ["d1", "d2", "n"], "left").join(comp, F.col("rep") == F.col("node"), "left")
     known = F.coalesce(F.col("component"), F.col("rep"), F.col("doc_id"))
     # rows that share an id are one node: their smallest component holds for all of them
     return named.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), known).alias("component_id"))
 
 
-def _verified(spark, texts: DataFrame, reps: DataFrame, clusters: DataFrame, num: int, den: int, shingle: int) -> DataFrame:
-    """Edges that connect what links connect within the clusters.
+def _verified(spark, texts: DataFrame, reps: DataFrame, clusters: DataFrame, num: int, den: int, shingle: int) -> tuple[list[DataFrame], list[DataFrame]]:
+    """Edges that connect what links connect within the clusters, and other tables written on the way.
 
     A small cluster is one block. A large one is dealt by size band and hash, as sets link only within a band or with the next; in
     later rounds two neighbouring bands are dealt together.
@@ -277,17 +292,20 @@ def _verified(spark, texts: DataFrame, reps: DataFrame, clusters: DataFrame, num
     edges = cut_lineage(dealt(members.withColumn("label", F.col("rep")), 0).mapInArrow(_verify(num, den, shingle, 3), "a bigint, b bigint"), "links")
     large = members.where("blocks > 1")
     if not large.limit(1).count():
-        return edges
-    found = [edges]
+        return [edges], [members]
+    found, scratch = [edges], [members]
     for turn in range(1, ROUNDS + 1):
-        open_ones = _open(spark, large, _union(found))
+        labelled, open_ones = _open(large, _union(found))
+        scratch.append(labelled)
         if not open_ones.limit(1).count():
-            return _union(found)
+            return found, scratch
         more = cut_lineage(dealt(open_ones, turn).mapInArrow(_verify(num, den, shingle, 3), "a bigint, b bigint"), "links")
         found.append(more)
         if turn > 1 and not more.limit(1).count():
             break
-    open_ones = cut_lineage(_open(spark, large, _union(found)).withColumn("block", F.pmod(F.xxhash64("rep", F.lit(0)), F.col("in_band")).cast("int")), "open")
+    labelled, open_ones = _open(large, _union(found))
+    open_ones = cut_lineage(open_ones.withColumn("block", F.pmod(F.xxhash64("rep", F.lit(0)), F.col("in_band")).cast("int")), "open")
+    scratch += [labelled, open_ones]
     # every block meets the later blocks of its band and all blocks of the next; and itself, for what it held apart
     blocks = open_ones.select("cluster", "band", "in_band").distinct()
     later = blocks.select("cluster", (F.col("band") - 1).alias("band"), F.col("in_band").alias("_next"))
@@ -306,7 +324,7 @@ def _verified(spark, texts: DataFrame, reps: DataFrame, clusters: DataFrame, num
     keys = ["cluster", "g", "i", "up", "j"]
     pairs = pairs.repartition(*keys).sortWithinPartitions(*keys, "rep")
     found.append(cut_lineage(pairs.mapInArrow(_verify(num, den, shingle, 5), "a bigint, b bigint"), "links"))
-    return _union(found)
+    return found, scratch
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -316,14 +334,13 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def _open(spark, members: DataFrame, edges: DataFrame) -> DataFrame:
-    """The members of clusters that links do not yet connect in full, with their component as label."""
+def _open(members: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All members with their component as label, written; and those of clusters that links do not yet connect in full."""
     comp = components(edges)
-    own = members.join(comp, members["rep"] == comp["node"], "left").withColumn(
-        "label", F.coalesce("component", "rep")).drop("node", "component")
+    own = members.join(comp, members["rep"] == comp["node"], "left").withColumn("label", F.coalesce("component", "rep")).drop("node", "component")
     own = cut_lineage(own, "labelled")
     apart = own.groupBy("cluster").agg(F.min("label").alias("_l"), F.max("label").alias("_h")).where("_l < _h").select("cluster")
-    return own.join(apart, "cluster", "left_semi")
+    return own, own.join(apart, "cluster", "left_semi")
 
 
 def keep_one(docs: DataFrame, num: int = NUM, den: int = DEN, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
