@@ -30,7 +30,8 @@ class Params:
     length_m_min: float | None = 0.0
     exclude_infrastructure: bool = True
     exclude_ice: bool = True
-    points_cap: int = 200_000
+    #: newest points to publish; None publishes all
+    points_cap: int | None = None
     hotspots_n: int = 50
     coord_decimals: int = 5
     length_step_m: int = 5

@@ -26,10 +26,10 @@ def flag_lookup(df: DataFrame, mids: DataFrame, mmsi: str = "mmsi", name: str =
 
 
 def publish_points(fact: DataFrame, calendar: DataFrame, mids: DataFrame, p: Params) -> DataFrame:
-    """Newest on-meadow detections as published.
+    """On-meadow detections as published: all, or the newest ``p.points_cap``.
 
-    The confidence is given for every match, rounded down; speed, length (in steps) and flag only for confident matches,
-    because an uncertain match may be another boat. The MMSI is never published.
+    Whoever is matched has a confidence, cut to two decimals. What identifies a boat further (speed, length in steps, flag) is
+    left out below the confident class; the ship's number itself never leaves the fact table.
     """
     rows = flag_lookup(points_most_recent(fact, calendar, p.points_cap), mids)
     matched, confident = F.col("ais_matched"), F.col("ais_confident")
@@ -90,19 +90,22 @@ def meta_row(calendar: DataFrame, p: Params) -> DataFrame:
 
 
 def display_vertices(polygons: DataFrame, tolerance_m: float) -> DataFrame:
-    """Ring vertices snapped to a grid of ``tolerance_m``, without consecutive repeats: pid, ring, k, gx, gy.
+    """Ring vertices snapped to a grid of ``tolerance_m``, without consecutive repeats: pid, ring, k, x, y, in metres.
 
-    This thins outlines evenly; it is not a Douglas-Peucker simplification. Rings left with fewer than four vertices
-    (the closing one included) are dropped.
+    This thins outlines evenly; it is not a Douglas-Peucker simplification. A ring that snapping would leave with fewer
+    than four vertices (the closing one included) keeps its own vertices, so no polygon is lost.
     """
     closed = closed_vertices(polygons)
     x, y = geo.to_metric(F.col("lon"), F.col("lat"))
-    snap = lambda v: F.floor(v / F.lit(float(tolerance_m)) + 0.5)
-    v = closed.select("pid", "ring", "k", snap(x).alias("gx"), snap(y).alias("gy"))
+    step = F.lit(float(tolerance_m))
+    snap = lambda v: F.floor(v / step + 0.5)
+    v = closed.select("pid", "ring", "k", x.alias("x"), y.alias("y")).withColumns({"gx": snap(F.col("x")), "gy": snap(F.col("y"))})
     w = W.partitionBy("pid", "ring")
     same = (F.lag("gx").over(w.orderBy("k")) == F.col("gx")) & (F.lag("gy").over(w.orderBy("k")) == F.col("gy"))
-    kept = v.withColumn("_same", F.coalesce(same, F.lit(False))).where("not _same").drop("_same")
-    return kept.withColumn("_n", F.count(F.lit(1)).over(w)).where("_n >= 4").drop("_n")
+    v = v.withColumn("_new", F.coalesce(~same, F.lit(True))).withColumn("_thin", F.count_if("_new").over(w) >= 4)
+    return v.where("_new or not _thin").select(
+        "pid", "ring", "k", F.when(F.col("_thin"), F.col("gx") * step).otherwise(F.col("x")).alias("x"),
+        F.when(F.col("_thin"), F.col("gy") * step).otherwise(F.col("y")).alias("y"))
 
 
 def closed_vertices(polygons: DataFrame) -> DataFrame:
@@ -115,7 +118,7 @@ def closed_vertices(polygons: DataFrame) -> DataFrame:
 
 def polygon_display_layer(polygons: DataFrame, tolerance_m: float, decimals: int = 5) -> DataFrame:
     """Thinned polygons: id, type and rings of (lon, lat) on a 10^-decimals degree grid."""
-    lon, lat = geo.to_lonlat(F.col("gx") * F.lit(float(tolerance_m)), F.col("gy") * F.lit(float(tolerance_m)))
+    lon, lat = geo.to_lonlat(F.col("x"), F.col("y"))
     v = display_vertices(polygons, tolerance_m).select(
         "pid", "ring", "k", F.bround(lon, decimals).alias("lon"), F.bround(lat, decimals).alias("lat"))
     drop_k = lambda a: F.transform(a, lambda s: F.struct(s.lon.alias("lon"), s.lat.alias("lat")))

@@ -21,10 +21,35 @@ def rank_in_country(hot: DataFrame) -> DataFrame:
     return hot.withColumn("nth", F.row_number().over(W.partitionBy("country").orderBy(*order)))
 
 
-def points_most_recent(fact: DataFrame, calendar: DataFrame, cap: int) -> DataFrame:
-    """On-meadow rows of the calendar, newest first, at most ``cap``."""
+def points_most_recent(fact: DataFrame, calendar: DataFrame, cap: int | None) -> DataFrame:
+    """On-meadow rows of the calendar, the newest ``cap`` of them, or all.
+
+    Where the cap falls is found from counts, per month and then per day of the deciding month; only rows from that day
+    on are ranked, so no task sees more than the cap and one day. Rows come in no particular order.
+    """
     rows = fact.where("on_meadow").join(calendar.select("month"), "month", "left_semi")
-    return rows.orderBy(F.desc("detect_timestamp"), *[F.asc(c) for c in ("lon", "lat", "scene_id")]).limit(cap)
+    if cap is None:
+        return rows
+    day = F.substring("detect_timestamp", 1, 10)
+    per_month = rows.groupBy("month").count().orderBy(F.desc("month")).collect()  # twelve rows a year
+    total, deciding = 0, None
+    for r in per_month:
+        if total + r["count"] > cap:
+            deciding = r["month"]
+            break
+        total += r["count"]
+    if deciding is None:
+        return rows
+    for r in rows.where(F.col("month") == deciding).groupBy(day.alias("day")).count().orderBy(F.desc("day")).collect():
+        first_day = r["day"]
+        if total + r["count"] > cap:
+            break
+        total += r["count"]
+    # months are those of the timestamps, so later months lie after the deciding day
+    later = rows.where((F.col("month") > deciding) | ((F.col("month") == deciding) & (day > first_day)))
+    edge = rows.where((F.col("month") == deciding) & (day == first_day))
+    last = edge.orderBy(F.desc("detect_timestamp"), *[F.asc(c) for c in ("lon", "lat", "scene_id")]).limit(cap - total)
+    return later.unionByName(last)
 
 
 def country_order(series: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from the annual one.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
@@ -49,10 +49,25 @@ def parse_releases(records: DataFrame, files_url: str) -> DataFrame:
     ).where("period is not null")
 
 
+def flatten_records(records: DataFrame) -> DataFrame:
+    """Source records as delivered -> (id, title, published, files).
+
+    Title and date are below ``metadata``; a record without a publication date has that of its creation. A file's address is
+    its ``links.self``.
+    """
+    file = lambda f: F.struct(f.key.alias("key"), f.links["self"].alias("link"), f.size.cast("bigint").alias("size"))
+    published = F.when(F.length("metadata.publication_date") > 0, F.col("metadata.publication_date"))
+    return records.select("id", F.coalesce("metadata.title", F.lit("")).alias("title"),
+                          F.coalesce(published, F.col("created"), F.lit("")).alias("published"), F.transform("files", file).alias("files"))
+
+
 def complete_releases(releases: DataFrame) -> DataFrame:
-    """Both files are there; an overpass file of size 0 does not count, one of unknown size does."""
+    """Both files are there. An overpass file counts whatever its size; only a negative one marks it as missing.
+
+    A size of 0 is what a source gives that does not know it.
+    """
     return releases.where(
-        (F.length("detections_url") > 0) & (F.length("overpass_url") > 0) & (F.coalesce("overpass_size", F.lit(1)) > 0))
+        (F.length("detections_url") > 0) & (F.length("overpass_url") > 0) & (F.coalesce("overpass_size", F.lit(0)) >= 0))
 
 
 def latest_release_per_period(releases: DataFrame) -> DataFrame:
@@ -95,6 +110,43 @@ def keeps_overpass(releases: DataFrame, ledger: DataFrame) -> DataFrame:
         "_record", "_rows", "_files")
 
 
+NOTES = "period string, record_id bigint, published string, part string, rows bigint, detections_schema int, noted_at timestamp"
+
+
+def note(spark: SparkSession, path: str, period: str, record_id: int, published: str, part: str, rows: int, schema: int | None = None) -> None:
+    """Add to the notes that a period's ``part`` (detections or overpass) was taken in. Notes are only ever added."""
+    row = spark.createDataFrame([(period, record_id, published, part, rows, schema)], NOTES.rsplit(",", 1)[0])
+    row.withColumn("noted_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(path)
+
+
+def noted(spark: SparkSession, path: str, part: str | None = None, schema: int | None = None) -> DataFrame:
+    """The newest note of each period and part; only those of one part, and of one schema version, if asked."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        return spark.createDataFrame([], NOTES)
+    rows = spark.read.schema(NOTES).parquet(path)
+    if part is not None:
+        rows = rows.where(F.col("part") == part)
+    if schema is not None:
+        rows = rows.where(F.col("detections_schema") == schema)
+    newest = W.partitionBy("period", "part").orderBy(F.desc("published"), F.desc("record_id"), F.desc("noted_at"))
+    return rows.withColumn("_n", F.row_number().over(newest)).where("_n = 1").drop("_n")
+
+
+def ledger(spark: SparkSession, path: str) -> DataFrame:
+    """The ledger that the other operators read, one row per period, from the notes of ingestion.
+
+    A period has its files when both parts were taken in from one record; ``overpass_rows`` is null until then.
+    """
+    notes = noted(spark, path)
+    det = notes.where("part = 'detections'").select("period", "record_id", "published", "detections_schema", F.col("rows").alias("detections_rows"))
+    ovp = notes.where("part = 'overpass'").select("period", F.col("record_id").alias("_record"), F.col("rows").alias("overpass_rows"))
+    both = det.join(ovp, "period", "full")
+    same = F.col("record_id").eqNullSafe(F.col("_record"))
+    return both.select("period", F.coalesce("record_id", "_record").alias("record_id"), "published", "detections_schema", "detections_rows",
+                       F.when(same, F.col("overpass_rows")).alias("overpass_rows"), same.alias("has_files"))
+
+
 def releases_to_fetch(latest: DataFrame, ledger: DataFrame, p: Params, since: str | None = None) -> DataFrame:
     """What an update has to ingest, newest period first."""
     wanted = since_year(latest, since)
@@ -145,9 +197,9 @@ class StaleRelease(ValueError):
 
 def usable_periods(ledger: DataFrame, p: Params, since: str | None = None) -> DataFrame:
     """Periods a build reads; refuses to go on while a stale one is needed."""
-    stale = [r[0] for r in stale_releases(ledger, p, since).orderBy("period").limit(100).collect()]
+    stale = sorted(r[0] for r in stale_releases(ledger, p, since).collect())  # at most some hundred months
     if stale:
-        raise StaleRelease(f"ingest these periods again first: {', '.join(stale)}")
+        raise StaleRelease(f"ingest these {len(stale)} periods again first: {', '.join(stale)}")
     return ledger_status(ledger, p, since).where("status = 'use'").select("period")
 
 

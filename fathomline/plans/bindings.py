@@ -99,7 +99,7 @@ RECORD_COLUMNS = {
     "det_size": "cast(1000 + kind as bigint)",
     "ovp_key": "case when kind = 2 then 'readme.txt' else 'sentinel2_overpass_' || period || '.csv' end",
     "ovp_link": "'https://files.example/' || period || '/overpass'",
-    "ovp_size": "cast(case when cast(period as bigint)%11 = 3 then null else 500 + kind end as bigint)",
+    "ovp_size": "cast(case when cast(period as bigint)%11 = 3 then null when cast(period as bigint)%11 = 4 then 0 when cast(period as bigint)%11 = 5 then -1 else 500 + kind end as bigint)",
 }
 FILES_URL = "https://files.example/records/{id}/{key}"
 #: newest releases -> ledger of ingested periods
@@ -119,7 +119,6 @@ MONTHLY_PERIOD = "case when scene_id like '%-7' then '199812' else replace(month
 
 MID_COLUMNS = {"mid": "cast(201 + s_suppkey%575 as string)",
                "iso2": "chr(cast(65 + s_suppkey%26 as int)) || chr(cast(65 + (s_suppkey*7)%26 as int))"}
-MID_FILTER = "s_suppkey%13 <> 5 and s_suppkey < 575"
 
 
 def select(columns: dict[str, str]) -> list[str]:
@@ -249,7 +248,8 @@ class Tables:
 
     @cached_property
     def mids(self) -> DataFrame:
-        return self.raw("supplier").where(MID_FILTER).selectExpr(*select(MID_COLUMNS))
+        rows = self.raw("supplier").selectExpr("s_suppkey", *select(MID_COLUMNS))
+        return rows.groupBy("mid").agg(F.min_by("iso2", "s_suppkey").alias("iso2"))
 
     # -------------------------------------------------------------------------------------------------------- releases
     @cached_property

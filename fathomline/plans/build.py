@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from ..config import Params
 from ..functions import geo
@@ -14,7 +16,7 @@ from ..operators import checks, pressure, publish, ranking
 from ..operators.country import ZoneIndex, assign_country, index_zones
 from ..operators.detections import classify
 from ..operators.spatial import PolygonIndex, build_index, cell_area, cells_touching_polygons, planar_edges, polygon_edges
-from ..runtime import cut_lineage
+from ..runtime import cut_lineage, replace_folder
 from ..sources.files import write_columnar_json, write_geojson
 
 #: side of the bins meadow polygons are indexed by, in metres
@@ -41,7 +43,7 @@ def meadow_cells(meadows: DataFrame, index: PolygonIndex, zones: ZoneIndex | Non
 
 
 def overpass_cells(cells: DataFrame) -> DataFrame:
-    """Cells to keep overpasses of: the meadow cells and their neighbours, so small polygon changes need no new ingest."""
+    """Cells to keep overpasses of: the meadow cells and their neighbours, so a meadow whose outline moves a little is still covered."""
     return cells.select(F.explode(geo.neighbours(F.col("cell"))).alias("cell")).distinct()
 
 
@@ -94,14 +96,48 @@ def build(det: DataFrame, overpass: DataFrame, meadows: DataFrame, zones: DataFr
         checks.enforce(
             checks.check_timeseries(timeseries, series, calendar), checks.check_hexes(hexes),
             checks.check_hex_monthly(rows, clear, hexes, calendar), checks.check_points(out.points, calendar, p),
-            checks.check_polygons(out.layer), checks.check_totals_reconcile(ais, rows))
+            checks.check_polygons(out.layer), checks.check_totals_reconcile(ais, rows),
+            checks.check_hotspots(publish.number_hotspots(out.hotspots), p))
     return out
 
 
-def write_published(out: Published, path: str, chunk_rows: int = 100_000) -> None:
-    """Tables as parquet; the cell and point tables as columnar JSON as well."""
-    for name in ("meta", "timeseries", "countries", "hexes", "hex_monthly", "clear", "points", "hotspots", "summary"):
-        getattr(out, name).write.mode("overwrite").parquet(f"{path}/{name}")
-    write_geojson(out.layer, f"{path}/meadows")
-    cells = ranking.cell_index(out.hexes)
-    write_columnar_json(cells, "i", f"{path}/hexes_json", chunk_rows)
+TABLES = ("meta", "timeseries", "countries", "hexes", "hex_monthly", "clear", "points", "hotspots", "summary")
+
+
+def write_published(out: Published, path: str, p: Params, chunk_rows: int = 100_000) -> None:
+    """Write all tables beside ``path``, check the files written, and only then put them in place.
+
+    Tables are parquet; cells, monthly cell counts (coded by cell and month position), clear overpasses, points, time series and
+    hotspots are columnar JSON as well, the meadows GeoJSON.
+    """
+    spark = out.hexes.sparkSession
+    beside = f"{path.rstrip('/')}.new-{uuid.uuid4().hex[:8]}"
+    for name in TABLES:
+        getattr(out, name).write.parquet(f"{beside}/{name}")
+    read = {name: spark.read.schema(getattr(out, name).schema).parquet(f"{beside}/{name}") for name in TABLES}
+    cells = ranking.cell_index(read["hexes"])
+    months = read["timeseries"].select("month")
+    coded = {"hexes": (cells, "i"), "timeseries": (ranking.with_month_index(read["timeseries"], months), "m"),
+             "hex_monthly": (_numbered(ranking.index_lookup(read["hex_monthly"], read["hexes"], months), "i", "m"), "row"),
+             "clear": (_numbered(ranking.index_lookup(read["clear"], read["hexes"], months), "i", "m"), "row"),
+             "points": (_numbered(read["points"], *read["points"].columns), "row"),
+             "hotspots": (publish.number_hotspots(read["hotspots"]), "position")}
+    for name, (table, index) in coded.items():
+        write_columnar_json(table, index, f"{beside}/{name}_json", chunk_rows)
+    write_geojson(out.layer, f"{beside}/meadows")
+    ais = read["timeseries"].select("month", *pressure.AIS_TOTALS)
+    checks.enforce(
+        checks.check_hexes(read["hexes"]), checks.check_hex_monthly(read["hex_monthly"], read["clear"], read["hexes"], months),
+        checks.check_points(read["points"], months, p), checks.check_hotspots(publish.number_hotspots(read["hotspots"]), p),
+        checks.check_totals_reconcile(ais, read["hex_monthly"]))
+    replace_folder(spark, beside, path)
+
+
+def _numbered(df: DataFrame, *order: str) -> DataFrame:
+    """Rows with their position in the given order, as ``row``: numbered by range partition, partitions one after the other."""
+    dealt = cut_lineage(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()))
+    within = F.row_number().over(W.partitionBy("_part").orderBy(*order))
+    sizes = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    rows = dealt.withColumn("_at", within).join(sizes.select("_part", before.alias("_before")), "_part")
+    return rows.withColumn("row", F.col("_before") + F.col("_at") - 1).drop("_part", "_at", "_before")

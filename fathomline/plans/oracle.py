@@ -319,9 +319,12 @@ cte("cidx", "SELECT cell, row_number() OVER (ORDER BY cell) - 1 AS i FROM cells"
 cte("calendar", """SELECT row_number() OVER (ORDER BY d) - 1 AS c, strftime(d, '%Y-%m') AS month, coalesce(m, -1) AS idx FROM (
     SELECT unnest(generate_series(CAST((SELECT min(month) FROM known_months) || '-01' AS DATE), CAST((SELECT max(month) FROM known_months) || '-01' AS DATE), INTERVAL 1 MONTH)) AS d)
     LEFT JOIN (SELECT month, row_number() OVER (ORDER BY month) - 1 AS m FROM known_months) k ON k.month = strftime(d, '%Y-%m')""")
-# months with data, with gaps: one month of every year is missing
-cte("known_months", "SELECT DISTINCT month FROM det WHERE substr(month, 6, 2) <> '09'")
-cte("mids", f"SELECT {columns(b.MID_COLUMNS)} FROM supplier WHERE {b.MID_FILTER}")
+# months that releases supply: of annual ones up to 1997, then those of the monthly ones
+cte("known_months", """SELECT DISTINCT month FROM (
+    SELECT substr(period, 1, 4) || '-' || substr(period, 5, 2) AS month FROM latest WHERE length(period) = 6 UNION ALL
+    SELECT period || '-' || lpad(CAST(mm AS VARCHAR), 2, '0') FROM latest, (VALUES (1), (2), (3), (4), (5), (6), (7), (8), (9), (10), (11), (12)) AS t(mm)
+    WHERE length(period) = 4 AND period < '1998')""")
+cte("mids", f"SELECT mid, arg_min(iso2, s_suppkey) AS iso2 FROM (SELECT s_suppkey, {columns(b.MID_COLUMNS)} FROM supplier) GROUP BY mid")
 
 # ------------------------------------------------------------------------------------------------------------- releases
 _OM = "substr(CAST(o_orderdate AS VARCHAR), 1, 7)"
@@ -335,7 +338,7 @@ cte("releases", """SELECT CAST(id AS BIGINT) AS record_id, coalesce(nullif(regex
     coalesce(det_link, 'https://files.example/records/' || CAST(id AS VARCHAR) || '/' || det_key) AS detections_url, det_key AS detections_name, det_size AS detections_size,
     CASE WHEN ovp_key LIKE 'sentinel2_overpass%' THEN ovp_link END AS overpass_url, CASE WHEN ovp_key LIKE 'sentinel2_overpass%' THEN ovp_key END AS overpass_name,
     CASE WHEN ovp_key LIKE 'sentinel2_overpass%' THEN ovp_size END AS overpass_size FROM records""")
-cte("complete", "SELECT * FROM releases WHERE detections_url IS NOT NULL AND overpass_url IS NOT NULL AND coalesce(overpass_size, 1) > 0")
+cte("complete", "SELECT * FROM releases WHERE detections_url IS NOT NULL AND overpass_url IS NOT NULL AND coalesce(overpass_size, 0) >= 0")
 cte("latest", "SELECT * EXCLUDE (rk) FROM (SELECT *, row_number() OVER (PARTITION BY period ORDER BY published DESC, record_id DESC) AS rk FROM complete) WHERE rk = 1")
 cte("ledger", f"SELECT {columns(b.LEDGER_COLUMNS)} FROM latest WHERE {b.LEDGER_FILTER}")
 cte("requests", f"""SELECT DISTINCT unnest([month, substr(month, 1, 4), CAST(CAST(substr(month, 1, 4) AS INT) + 5 AS VARCHAR) || substr(month, 5, 3),
@@ -352,6 +355,7 @@ def superseded(source: str, monthly: str | None = None) -> str:
 
 cte("delivered", f"""SELECT *, {b.ANNUAL_PERIOD} AS period FROM det WHERE {b.ANNUAL_ROWS} UNION ALL
     SELECT *, {b.MONTHLY_PERIOD} AS period FROM det WHERE {b.MONTHLY_ROWS}""")
+cte("to_fetch", f"SELECT period FROM latest WHERE period NOT IN ({superseded('latest')})")
 cte("monthly_months", "SELECT DISTINCT substr(period, 1, 4) || '-' || substr(period, 5, 2) AS mm FROM delivered WHERE length(period) = 6")
 
 COUNTRY_CASE = "CASE iso3 " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in COUNTRY_NAMES.items()) + " END"

@@ -57,6 +57,21 @@ def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def replace_folder(spark: SparkSession, new: str, path: str) -> None:
+    """Put the folder ``new`` in the place of ``path``. The old folder is moved aside first and deleted last."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    target, source = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(new)
+    fs = target.getFileSystem(conf)
+    aside = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.old-{uuid.uuid4().hex[:8]}")
+    had = fs.exists(target)
+    if had and not fs.rename(target, aside):
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(source, target):
+        raise OSError(f"cannot put {new} in the place of {path}")
+    if had:
+        fs.delete(aside, True)
+
+
 def elements(df: DataFrame, weight: Column | None = None) -> int:
     """Rows of a dimension table, or the sum of a per-row weight such as an array's length."""
     total = df.agg(F.sum(weight if weight is not None else F.lit(1))).first()[0]

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +15,7 @@ from ..config import Params
 from ..functions import geo
 from ..functions.predicates import in_box
 from ..functions.scalars import month_of
-from ..operators.ranking import with_offsets
+from ..runtime import cut_lineage
 from ..schema import DETECTIONS, OVERPASSES, conform
 
 Paths = str | Sequence[str]
@@ -21,8 +23,21 @@ Paths = str | Sequence[str]
 
 # -------------------------------------------------------------------------------------------------------------- tables
 def scan_csv(spark: SparkSession, paths: Paths, schema: T.StructType) -> DataFrame:
-    """CSV files with a header, columns taken by name whatever their order, typed as ``schema``."""
-    return conform(spark.read.option("header", True).csv(paths if isinstance(paths, str) else list(paths)), schema)
+    """CSV files with a header, columns taken by name whatever their order, typed as ``schema``.
+
+    Files are read together with those of the same header: a reader goes by position within what it reads. A file that lacks
+    a column is an error; one without any line has no rows.
+    """
+    reader = spark.read.option("header", True)
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for f in spark.read.text(paths if isinstance(paths, str) else list(paths)).inputFiles():
+        file = unquote(f)
+        columns = tuple(reader.csv(file).columns)  # reads the first line
+        if columns:
+            by_header.setdefault(columns, []).append(file)
+    if not by_header:
+        return spark.createDataFrame([], schema)
+    return reduce(DataFrame.unionByName, [conform(reader.csv(fs), schema) for fs in by_header.values()])
 
 
 def scan_detections_csv(spark: SparkSession, paths: Paths) -> DataFrame:
@@ -41,18 +56,45 @@ def overpasses_of_cells(overpass: DataFrame, cells: DataFrame) -> DataFrame:
 
 
 def write_by_month(df: DataFrame, path: str, keys: Sequence[str] = ("month",)) -> None:
-    """Parquet partitioned by ``keys``; only the partitions in ``df`` are replaced."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
+    """Parquet partitioned by ``keys``; only the partitions in ``df`` are replaced. Rows of a partition are brought together
+    first, in as many files as their size asks for."""
+    (df.hint("rebalance", *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
      .partitionBy(*keys).parquet(path))
 
 
-def ingest_detections(spark: SparkSession, paths: Paths, out: str, p: Params) -> None:
-    """Filter while scanning and store by month; the files' global rows are never kept."""
-    write_by_month(detections_in_bbox(scan_detections_csv(spark, paths), p), out)
+def write_period(rows: DataFrame, path: str, period: str) -> None:
+    """Store all rows of one uploaded period below ``path``, by (period, month), and nothing else of that period.
+
+    Whatever an earlier upload of the period left is gone, even months that the new one has no row of; other periods are not
+    touched. Rows of months outside the period stay with it, ``releases.merge_periods`` leaves them out.
+    """
+    cols = [c for c in rows.columns if c not in ("month", "period")]
+    (rows.select(*cols, "month").hint("rebalance", "month").write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .option("compression", "zstd").partitionBy("month").parquet(f"{path.rstrip('/')}/period={period}"))
+
+
+def ingest_detections(spark: SparkSession, uploads: Mapping[str, Paths], out: str, p: Params) -> None:
+    """Store the detection files of each uploaded period, all its files together; filtered while scanning, so the files' global
+    rows are never kept."""
+    for period, paths in sorted(uploads.items()):
+        write_period(detections_in_bbox(scan_detections_csv(spark, paths), p), out, period)
 
 
-def ingest_overpasses(spark: SparkSession, paths: Paths, cells: DataFrame, out: str) -> None:
-    write_by_month(overpasses_of_cells(scan_csv(spark, paths, OVERPASSES), cells), out)
+def ingest_overpasses(spark: SparkSession, uploads: Mapping[str, Paths], cells: DataFrame, out: str) -> None:
+    for period, paths in sorted(uploads.items()):
+        write_period(overpasses_of_cells(scan_csv(spark, paths, OVERPASSES), cells), out, period)
+
+
+def read_stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """What ``write_period`` has stored: the columns of ``schema`` with month and period. A store whose periods are all empty,
+    or that does not exist yet, has no rows."""
+    keys = [T.StructField("month", T.StringType()), T.StructField("period", T.StringType())]
+    fields = [f for f in schema.fields if f.name not in ("month", "period")]
+    full = T.StructType([*fields, *keys])
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).option("basePath", path).parquet(path)
 
 
 def read_partitions(spark: SparkSession, path: str, months: Sequence[str] | None = None) -> DataFrame:
@@ -73,7 +115,8 @@ def read_geojson(spark: SparkSession, paths: Paths, properties: T.StructType, se
 
     A collection is a single JSON document and cannot be split; large layers should come one feature per line.
     """
-    geometry = T.StructType([T.StructField("type", T.StringType()), T.StructField("coordinates", T.StringType())])
+    part = T.StructType([T.StructField("type", T.StringType()), T.StructField("coordinates", T.StringType())])
+    geometry = T.StructType([*part.fields, T.StructField("geometries", T.ArrayType(part))])
     feature = T.StructType([T.StructField("properties", properties), T.StructField("geometry", geometry)])
     if sequence:
         return spark.read.schema(feature).json(paths)
@@ -81,24 +124,32 @@ def read_geojson(spark: SparkSession, paths: Paths, properties: T.StructType, se
     return spark.read.schema(whole).option("multiLine", True).json(paths).select(F.explode("features").alias("f")).select("f.*")
 
 
+def _rings(geometry: Column) -> Column:
+    """The rings of a polygonal geometry, none for any other."""
+    text = geometry["coordinates"]
+    rings = F.when(geometry["type"] == "Polygon", F.from_json(text, _COORDS2)).when(
+        geometry["type"] == "MultiPolygon", F.flatten(F.from_json(text, _COORDS3)))
+    return F.coalesce(rings, F.array().cast(_COORDS2))
+
+
 def polygons_from_geojson(features: DataFrame, order_by: str, p: Params, attributes: Sequence[str] = (),
                           mercator: bool = False) -> DataFrame:
     """Polygon rows (pid, attributes, rings) of the features that overlap the study box.
 
-    Anything but polygons is dropped. The parts of a multi-polygon become rings of one row: crossing counts treat outer
-    rings and holes alike. ``pid`` numbers the kept features by their ``order_by`` property. ``mercator`` tells that the
+    Anything but polygons is dropped, also inside a geometry collection. The parts of a multi-polygon become rings of one
+    row: crossing counts treat outer rings and holes alike. ``pid`` numbers the kept features by their ``order_by`` property;
+    features without it come last, and equal ones stand in the order of their coordinates. ``mercator`` tells that the
     coordinates are web-mercator metres.
     """
-    text = F.col("geometry.coordinates")
-    parts = F.when(F.col("geometry.type") == "Polygon", F.from_json(text, _COORDS2)).when(
-        F.col("geometry.type") == "MultiPolygon", F.flatten(F.from_json(text, _COORDS3)))
+    inner = F.flatten(F.transform(F.coalesce("geometry.geometries", F.array().cast("array<struct<type:string,coordinates:string>>")), _rings))
+    parts = F.concat(_rings(F.col("geometry")), inner)
 
     def vertex(c: Column) -> Column:
         lon, lat = geo.from_web_mercator(c[0], c[1]) if mercator else (c[0], c[1])
         return F.struct(lon.alias("lon"), lat.alias("lat"))
 
     attributes = list(dict.fromkeys([order_by, *attributes]))
-    rows = features.select(*[F.col(f"properties.{a}").alias(a) for a in attributes], parts.alias("_parts"))
+    rows = features.select(*[F.col(f"properties.{a}").alias(a) for a in attributes], F.filter(parts, lambda r: F.size(r) > 0).alias("_parts"))
     rows = rows.where(F.size("_parts") > 0).withColumn("rings", F.transform("_parts", lambda r: F.transform(r, vertex)))
     lons = F.flatten(F.transform("rings", lambda r: F.transform(r, lambda v: v.lon)))
     lats = F.flatten(F.transform("rings", lambda r: F.transform(r, lambda v: v.lat)))
@@ -107,25 +158,26 @@ def polygons_from_geojson(features: DataFrame, order_by: str, p: Params, attribu
     return number_polygons(rows.where(overlaps), order_by).select("pid", *attributes, "rings")
 
 
-def number_polygons(rows: DataFrame, order_by: str, buckets: int = 1024) -> DataFrame:
-    """Add ``pid``, the 0-based position by a unique whole-number attribute.
+def number_polygons(rows: DataFrame, order_by: str) -> DataFrame:
+    """Add ``pid``, the 0-based position by a whole-number attribute, absent ones last, ties by a hash of the rings.
 
-    Only ids are sorted, one of ``buckets`` equal ranges of them at a time.
+    Rows are dealt by range of the order and numbered within a partition; the partitions' sizes, one number each, are summed.
     """
-    ids = rows.select(order_by)
-    low = ids.agg(F.min(order_by).cast("double")).scalar()
-    width = ids.agg((F.max(order_by) - F.min(order_by) + 1).cast("double")).scalar()
-    ids = with_offsets(ids, F.floor((F.col(order_by).cast("double") - low) * buckets / width), F.lit(1))
-    within = F.row_number().over(W.partitionBy("_bucket").orderBy(order_by))
-    return rows.join(ids.select(order_by, (F.col("_before") + within - 1).cast("int").alias("pid")), order_by)
+    tie = F.xxhash64("rings")
+    order = [F.col(order_by).asc_nulls_last(), F.col("_tie").asc()]
+    dealt = rows.withColumn("_tie", tie).repartitionByRange(*order).sortWithinPartitions(*order)
+    dealt = cut_lineage(dealt.withColumn("_part", F.spark_partition_id()), "polygons")
+    within = F.row_number().over(W.partitionBy("_part").orderBy(*order))
+    sizes = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    numbered = dealt.withColumn("_at", within).join(sizes.select("_part", before.alias("_before")), "_part")
+    return numbered.withColumn("pid", (F.col("_before") + F.col("_at") - 1).cast("int")).drop("_part", "_at", "_before", "_tie")
 
 
 # ----------------------------------------------------------------------------------------------------- published tables
 def columnar(df: DataFrame, index: str, chunk_rows: int = 100_000) -> DataFrame:
-    """Rows as objects of equal-length arrays in ``index`` order, one object per ``chunk_rows`` positions.
-
-    A table below the chunk size becomes the single published object; larger ones stay several bounded ones.
-    """
+    """Rows as objects of equal-length arrays in ``index`` order, one object per ``chunk_rows`` positions, however many
+    there are: readers always take a list of chunks."""
     values = [c for c in df.columns if c != index]
     groups = df.groupBy(F.floor(F.col(index) / chunk_rows).alias("chunk")).agg(
         F.array_sort(F.collect_list(F.struct(index, *values))).alias("_rows"))

@@ -1,69 +1,106 @@
 """Ingesting new release files as they arrive.
 
-The file source's checkpoint is the ledger of files already read, so a run picks up only what is new and stops. Every
-file is one period; reading a period again replaces it, which is how a corrected upload takes effect.
+A stream over file names tells which uploads have new files; its checkpoint is the list of names already seen, so a run takes up
+only what is new and stops. Of every upload named, all files present are read together, by column name, through the same
+writer as batch ingestion: the upload's period is replaced as a whole, also by an upload that has no row left. Which of several
+uploads of a period counts is decided by (publication date, record number), in this run and against the ledger of earlier
+ones: an old upload that arrives late changes nothing. Every period taken up is noted in the ledger.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..config import Params
-from ..schema import DETECTIONS, OVERPASSES, conform
-from ..sources.files import detections_in_bbox, overpasses_of_cells, write_by_month
+from ..operators import releases
+from ..schema import DETECTIONS, OVERPASSES
+from ..sources import files
 
-#: a release is a file ending in its period, or a folder that does
-FILE_PERIOD = r"_(\d{6}|\d{4})(?=\.csv$|/[^/]*$)"
+#: an upload is a file, or a folder of files, named ``[<published>_<record>_]..._<period>[.csv]``
+UPLOAD = re.compile(r"^(.*?/)?(?:[^/=]*=)?(?:(\d{4}-\d{2}-\d{2})_(\d+)_)?(?:[^/]*_)?(\d{6}|\d{4})(?:\.csv$|/[^/]*$)")
 
 
-def _stream(spark: SparkSession, folder: str, header: list[str], schema: T.StructType, files_per_batch: int | None) -> DataFrame:
-    """Rows of new CSV files. ``header`` names all columns of the files, in file order: streamed CSV is positional.
+@dataclass(frozen=True, order=True)
+class Upload:
+    """One delivery of a period. Uploads compare by what decides between them."""
+
+    published: str
+    record_id: int
+    written: float
+    period: str
+    path: str
+
+
+def upload_of(file: str, written: float) -> Upload | None:
+    """The upload a file belongs to; None for names without a period. Without a date and number the time of writing counts."""
+    m = UPLOAD.match(file)
+    if m is None:
+        return None
+    path = file if file.endswith(f"{m[4]}.csv") else file.rsplit("/", 1)[0]
+    return Upload(m[2] or "", int(m[3] or 0), written, m[4], path)
+
+
+def newest(uploads: Iterable[Upload]) -> dict[str, Upload]:
+    """Of each period's uploads the one that counts."""
+    found: dict[str, Upload] = {}
+    for u in uploads:
+        if u.period not in found or (u.published, u.record_id, u.written, u.path) > (
+                found[u.period].published, found[u.period].record_id, found[u.period].written, found[u.period].path):
+            found[u.period] = u
+    return found
+
+
+def _run(spark: SparkSession, folder: str, checkpoint: str, take: Callable[[Upload], None], known: Callable[[], DataFrame]) -> None:
+    """Hand every period's counting upload with new files to ``take``, oldest first."""
+    names = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length bigint, content binary").option(
+        "recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(folder).select(
+        "path", F.col("modificationTime").cast("double").alias("written"))  # names only, no content is read
 
-    The files of one release have to arrive in one batch; without ``files_per_batch`` a run is a single batch.
-    """
-    text = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    reader = spark.readStream.schema(text).option("header", True).option("recursiveFileLookup", True)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    path = F.col("_metadata.file_path")
-    raw = reader.csv(folder).select(
-        "*", F.regexp_extract(path, FILE_PERIOD, 1).alias("period"),
-        F.regexp_extract(path, "^(.*)" + FILE_PERIOD, 0).alias("_upload"),
-        F.col("_metadata.file_modification_time").alias("_written"))
-    extra = [T.StructField("period", T.StringType()), T.StructField("_upload", T.StringType()),
-             T.StructField("_written", T.TimestampType())]
-    return conform(raw, T.StructType([*schema.fields, *extra])).where("period <> ''")
-
-
-def newest_upload(rows: DataFrame) -> DataFrame:
-    """Of several uploads of a period in one batch, the one written last."""
-    newest = rows.groupBy("period").agg(F.max(F.struct("_written", "_upload"))["_upload"].alias("_upload"))
-    return rows.join(newest, ["period", "_upload"], "left_semi")
-
-
-def _run(stream: DataFrame, prepare: Callable[[DataFrame], DataFrame], out: str, checkpoint: str) -> None:
     def store(batch: DataFrame, _id: int) -> None:
-        write_by_month(prepare(newest_upload(batch)).drop("_upload", "_written"), out, ("period",))
+        # one row per new file; an upload's newest file dates it
+        found = [u for r in batch.collect() if (u := upload_of(r["path"], r["written"] or 0.0))]
+        held = {r["period"]: (r["published"] or "", int(r["record_id"] or 0)) for r in known().collect()}
+        for u in sorted(newest(found).values()):
+            if u.period not in held or (u.published, u.record_id) >= held[u.period]:
+                take(u)
 
-    stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    names.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-def ingest_new_detections(spark: SparkSession, folder: str, out: str, checkpoint: str, header: list[str], p: Params,
-                          files_per_batch: int | None = None) -> None:
-    """Store the new detection files of ``folder`` below ``out``, one partition per period.
+def ingest_new_detections(spark: SparkSession, folder: str, out: str, checkpoint: str, p: Params) -> None:
+    """Store the new detection uploads of ``folder`` below ``out``/detections and note them in ``out``/ledger.
 
-    The ledger is ``checkpoint`` plus the schema version, so a version change reads all detection files again and leaves
-    the overpasses, which have a ledger of their own, as they are.
+    The list of seen names belongs to the schema version: a new version reads all detection files again and leaves the
+    overpasses as they are.
     """
-    stream = _stream(spark, folder, header, DETECTIONS, files_per_batch)
-    _run(stream, lambda b: detections_in_bbox(b, p), out, f"{checkpoint}/detections-v{p.schema_version}")
+    ledger = f"{out}/ledger"
+
+    def take(u: Upload) -> None:
+        files.ingest_detections(spark, {u.period: u.path}, f"{out}/detections", p)
+        n = files.read_stored(spark, f"{out}/detections", DETECTIONS).where(F.col("period") == u.period).count()
+        releases.note(spark, ledger, u.period, u.record_id, u.published, "detections", n, schema=p.schema_version)
+
+    _run(spark, folder, f"{checkpoint}/detections-v{p.schema_version}", take, lambda: releases.noted(spark, ledger, "detections", p.schema_version))
+
+
+def ingest_new_overpasses(spark: SparkSession, folder: str, cells: DataFrame, out: str, checkpoint: str) -> None:
+    """Store the new overpass uploads below ``out``/overpass and note them, with the cells that were asked for."""
+    ledger = f"{out}/ledger"
+
+    def take(u: Upload) -> None:
+        files.ingest_overpasses(spark, {u.period: u.path}, cells, f"{out}/overpass")
+        n = files.read_stored(spark, f"{out}/overpass", OVERPASSES).where(F.col("period") == u.period).count()
+        releases.note(spark, ledger, u.period, u.record_id, u.published, "overpass", n)
+        cells.select("cell").distinct().write.mode("overwrite").parquet(f"{out}/requested/period={u.period}")
+
+    _run(spark, folder, f"{checkpoint}/overpasses", take, lambda: releases.noted(spark, ledger, "overpass"))
 
 
-def ingest_new_overpasses(spark: SparkSession, folder: str, cells: DataFrame, out: str, checkpoint: str, header: list[str],
-                          files_per_batch: int | None = None) -> None:
-    stream = _stream(spark, folder, header, OVERPASSES, files_per_batch)
-    _run(stream, lambda b: overpasses_of_cells(b, cells), out, f"{checkpoint}/overpasses")
+def requested_cells(spark: SparkSession, out: str) -> DataFrame:
+    """(period, cell): the cells overpasses were asked for, whether or not the files had rows of them."""
+    return spark.read.schema("cell string, period string").parquet(f"{out}/requested")

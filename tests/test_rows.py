@@ -1,4 +1,4 @@
-"""Predicates, dedupe and scalar rules on literal rows."""
+"""Row rules: what counts as an anchored vessel, which version of a detection stays, how values are published."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,181 +8,196 @@ from fathomline.functions import predicates, scalars
 from fathomline.operators import detections, publish
 from fathomline.schema import DETECTIONS, conform, with_optional
 
-GOOD = {"presence_score": 0.9, "nonvessel_score": 0.1, "cloud_score": 0.1, "speed_kn_inferred": 0.2,
-        "likely_infrastructure": False, "potential_ice": False}
-TYPES = ("id int, presence_score double, nonvessel_score double, cloud_score double, speed_kn_inferred double, "
-         "likely_infrastructure boolean, potential_ice boolean")
+#: a detection that every rule lets through, with a vessel at rest off Palma
+BASE = {"scene_id": "A", "lat": 39.52, "lon": 2.61, "detect_timestamp": "2023-06-14 10:41:07", "speed_kn_inferred": 0.35,
+        "presence_score": 0.62, "nonvessel_score": 0.4, "cloud_score": 0.21, "likely_infrastructure": False, "potential_ice": False,
+        "length_m_inferred": 17.5}
 
 
-def rows(spark, *changes):
-    return spark.createDataFrame([{"id": i, **GOOD, **c} for i, c in enumerate(changes)], TYPES)
+def table(spark, **cases):
+    """One detection per case; a case gives the values that differ. The scene is the case's name."""
+    rows = [{**BASE, "scene_id": name, **change} for name, change in cases.items()]
+    text = spark.createDataFrame([{k: None if v is None else str(v) for k, v in r.items()} for r in rows],
+                                 ", ".join(f"{k} string" for k in dict.fromkeys(k for r in rows for k in r)))
+    return conform(with_optional(text, *DETECTIONS.fields), DETECTIONS)
 
 
-def kept(df, condition):
-    return [r.id for r in df.where(condition).orderBy("id").collect()]
+def passing(df, rule):
+    return {r.scene_id for r in df.where(rule).collect()}
 
 
-def column(spark, values, kind, f):
-    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, v {kind}")
-    return [r[0] for r in df.orderBy("i").select(f(F.col("v"))).collect()]
+def values(spark, kind, given, f):
+    df = spark.createDataFrame([(n, v) for n, v in enumerate(given)], f"n int, v {kind}")
+    return [r.out for r in df.select("n", f(F.col("v")).alias("out")).orderBy("n").collect()]
 
 
-def test_december_is_winter(spark):
-    assert column(spark, ["2025-12", "2025-01", "2025-03", "2025-07", "2025-11"], "string", scalars.season_of) == ["DJF", "DJF", "MAM", "JJA", "SON"]
+# ----------------------------------------------------------------------------------------------------------- rules
+@pytest.mark.parametrize(("column", "inside", "outside"), [
+    ("presence_score", 0.31, 0.29), ("nonvessel_score", 0.94, 0.96), ("cloud_score", 0.49, 0.51)])
+def test_a_score_counts_on_its_own_side_of_the_limit(spark, column, inside, outside):
+    df = table(spark, near={column: inside}, past={column: outside})
+    assert passing(df, predicates.quality(df, DEFAULTS)) == {"near"}
 
 
-def test_region_box_and_excluded_box_are_inclusive(spark):
-    p = Params(bbox=(0, 0, 10, 10), exclude_boxes=((8, 8, 10, 10),))
-    df = spark.createDataFrame([(5.0, 5.0), (11.0, 5.0), (9.0, 9.0), (10.0, 0.0), (8.0, 8.0), (None, 5.0)], "lon double, lat double")
-    got = [r[0] for r in df.select(predicates.in_region(F.col("lon"), F.col("lat"), p)).collect()]
-    assert got == [True, False, False, True, False, False]
+def test_limits_themselves_are_allowed(spark):
+    p = Params(presence_score_min=0.25, nonvessel_score_max=0.75, cloud_score_max=0.125)
+    df = table(spark, edge={"presence_score": 0.25, "nonvessel_score": 0.75, "cloud_score": 0.125})
+    assert passing(df, predicates.quality(df, p)) == {"edge"}
 
 
-def test_each_quality_rule_drops(spark):
-    df = rows(spark, {}, {"presence_score": 0.2}, {"nonvessel_score": 0.99}, {"cloud_score": 0.8}, {"likely_infrastructure": True},
-              {"potential_ice": True}, {"presence_score": 0.3, "nonvessel_score": 0.95, "cloud_score": 0.5})
-    assert kept(df, predicates.quality(df, DEFAULTS)) == [0, 6]
+def test_only_presence_has_to_be_known(spark):
+    unknown = {c: None for c in ("nonvessel_score", "cloud_score", "likely_infrastructure", "potential_ice")}
+    df = table(spark, bare=unknown, blind={"presence_score": None})
+    assert passing(df, predicates.quality(df, DEFAULTS)) == {"bare"}
 
 
-def test_missing_scores_and_flags_keep_but_missing_presence_drops(spark):
-    df = rows(spark, {"cloud_score": None, "nonvessel_score": None, "potential_ice": None, "likely_infrastructure": None}, {"presence_score": None})
-    assert kept(df, predicates.quality(df, DEFAULTS)) == [0]
-    bare = df.drop("likely_infrastructure", "potential_ice")
-    assert kept(bare, predicates.quality(bare, DEFAULTS)) == [0]
+def test_flags_drop_and_absent_flag_columns_do_not(spark):
+    df = table(spark, rig={"likely_infrastructure": True}, floe={"potential_ice": True}, boat={})
+    assert passing(df, predicates.quality(df, DEFAULTS)) == {"boat"}
+    assert passing(df, predicates.quality(df, Params(exclude_ice=False))) == {"boat", "floe"}
+    narrow = df.drop("potential_ice")
+    assert passing(narrow, predicates.quality(narrow, DEFAULTS)) == {"boat", "floe"}
 
 
-def test_rules_can_be_switched_off(spark):
-    df = rows(spark, {"presence_score": None, "likely_infrastructure": True})
-    p = Params(presence_score_min=None, exclude_infrastructure=False)
-    assert kept(df, predicates.quality(df, p)) == [0]
+def test_rules_set_to_none_are_off(spark):
+    p = Params(presence_score_min=None, cloud_score_max=None, nonvessel_score_max=None)
+    df = table(spark, poor={"presence_score": 0.0, "cloud_score": 1.0, "nonvessel_score": 1.0}, blank={"presence_score": None})
+    assert passing(df, predicates.quality(df, p)) == {"poor", "blank"}
 
 
-def test_length_rule_of_zero_is_off(spark):
-    df = rows(spark, {}, {}).withColumn("length_m_inferred", F.when(F.col("id") == 1, 30.0))
-    assert kept(df, predicates.quality(df, DEFAULTS)) == [0, 1]
-    assert kept(df, predicates.quality(df, Params(length_m_min=10.0))) == [1]
+def test_a_least_length_drops_short_and_unmeasured_vessels(spark):
+    df = table(spark, long={"length_m_inferred": 12.25}, short={"length_m_inferred": 12.0}, unmeasured={"length_m_inferred": None})
+    assert passing(df, predicates.quality(df, Params(length_m_min=12.25))) == {"long"}
+    assert len(passing(df, predicates.quality(df, DEFAULTS))) == 3
 
 
-def test_anchored_is_strictly_below_the_speed_limit(spark):
-    df = rows(spark, *({"speed_kn_inferred": v} for v in (0.0, 0.99, 1.0, 5.0, None)))
-    assert kept(df, predicates.anchored(df, DEFAULTS)) == [0, 1]
+def test_a_vessel_at_the_speed_limit_is_under_way(spark):
+    df = table(spark, rest={"speed_kn_inferred": 0.0}, slow={"speed_kn_inferred": 0.75}, limit={"speed_kn_inferred": 1.0}, unknown={"speed_kn_inferred": None})
+    assert passing(df, predicates.anchored(df, DEFAULTS)) == {"rest", "slow"}
 
 
-def test_dedupe_joins_versions_of_the_same_place_and_minute(spark):
-    df = spark.createDataFrame([(43.12341, 7.1, "2025-07-01 10:30:05"), (43.12339, 7.1, "2025-07-01 10:30:59"), (43.2, 7.1, "2025-07-01 10:30:05"),
-                                (43.2, 7.1, "2025-07-01 10:31:05")], "lat double, lon double, detect_timestamp string")
-    assert detections.dedupe_detections(df).count() == 3
+def test_corners_of_boxes_belong_to_them(spark):
+    p = Params(bbox=(-2.0, 50.0, 2.0, 52.0), exclude_boxes=((-2.0, 51.5, -1.0, 52.0), (1.5, 50.0, 2.0, 50.25)))
+    spots = {"west edge": (-2.0, 50.5, True), "north east corner": (2.0, 52.0, True), "outside": (2.001, 51.0, False), "cut corner": (-1.0, 51.5, False),
+             "second cut": (1.75, 50.1, False), "beside a cut": (1.49, 50.1, True), "nowhere": (None, 51.0, False)}
+    df = spark.createDataFrame([(k, x, y) for k, (x, y, _) in spots.items()], "k string, lon double, lat double")
+    got = {r.k: r.inside for r in df.select("k", predicates.in_region(F.col("lon"), F.col("lat"), p).alias("inside")).collect()}
+    assert got == {k: v[2] for k, v in spots.items()}
 
 
-def test_dedupe_keeps_the_matched_and_most_confident_version(spark):
-    df = spark.createDataFrame(
-        [(0, 43.1, None, None), (1, 43.1, "247000001", 0.5), (2, 43.1, "247000001", 0.95), (3, 43.2, None, None), (4, 43.1, " ", 0.99)],
-        "id int, lat double, mmsi string, matching_confidence float").withColumns({"lon": F.lit(7.1), "detect_timestamp": F.lit("2025-07-01 10:30:05")})
-    out = detections.dedupe_detections(df, ("id",)).orderBy("id").collect()
-    assert [r.id for r in out] == [2, 3]
+# -------------------------------------------------------------------------------------------------------- versions
+def versions(spark, **cases):
+    """Scenes left by the dedupe."""
+    return {r.scene_id for r in detections.dedupe_detections(table(spark, **cases)).collect()}
 
 
-def test_dedupe_orders_an_unmatched_confidence_too_and_missing_last(spark):
-    df = spark.createDataFrame([(0, None), (1, 0.2), (2, 0.7)], "id int, matching_confidence double").withColumns(
-        {"lat": F.lit(1.0), "lon": F.lit(2.0), "detect_timestamp": F.lit("2025-07-01 10:30"), "mmsi": F.lit(None).cast("string")})
-    assert [r.id for r in detections.dedupe_detections(df, ("id",)).collect()] == [2]
+def test_versions_share_a_place_to_four_decimals_and_a_minute(spark):
+    assert len(versions(spark, one={"lat": 39.52004}, two={"lat": 39.51998, "detect_timestamp": "2023-06-14 10:41:58"})) == 1
+    assert len(versions(spark, one={}, other_minute={"detect_timestamp": "2023-06-14 10:42:07"}, other_place={"lon": 2.6103})) == 3
 
 
-def test_quality_is_judged_after_the_dedupe(spark):
-    # the matched version is cloudy: it wins and takes the good unmatched one with it
-    good = rows(spark, {}).withColumns({"scene_id": F.lit("s"), "lat": F.lit(40.0), "lon": F.lit(5.0), "detect_timestamp": F.lit("2025-07-01 10:30:05")})
-    cloudy = good.withColumns({"cloud_score": F.lit(0.9), "mmsi": F.lit("247000001")})
-    good, cloudy = (conform(with_optional(df, *DETECTIONS.fields), DETECTIONS) for df in (good, cloudy))
-    assert detections.anchored_in_region(good, DEFAULTS).count() == 1
-    assert detections.anchored_in_region(good.unionByName(cloudy), DEFAULTS).count() == 0
+def test_a_known_ship_beats_any_confidence(spark):
+    assert versions(spark, ship={"mmsi": "224000111", "matching_confidence": 0.1}, blank={"mmsi": "   ", "matching_confidence": 0.99}, none={"matching_confidence": 1.0}) == {"ship"}
 
 
-AIS = "mmsi string, matching_confidence float, ais_speed_kn_before float, ais_speed_kn_after float"
+def test_among_equals_the_higher_confidence_stays_and_none_is_lowest(spark):
+    assert versions(spark, a={"mmsi": "224000111", "matching_confidence": 0.4}, b={"mmsi": "224000112", "matching_confidence": 0.6}, c={"mmsi": "224000113"}) == {"b"}
+    assert versions(spark, a={}, b={"matching_confidence": 0.05}) == {"b"}
 
 
-def ais(spark, data):
-    df = spark.createDataFrame([(i, *r) for i, r in enumerate(data)], f"i int, {AIS}")
-    return predicates.with_ais(df, DEFAULTS).orderBy("i").collect()
+def test_a_poor_version_that_wins_takes_its_detection_along(spark):
+    df = table(spark, clear={}, cloudy={"cloud_score": 0.77, "mmsi": "224000111"}, elsewhere={"lon": 2.7})
+    assert {r.scene_id for r in detections.anchored_in_region(df, DEFAULTS).collect()} == {"elsewhere"}
 
 
-def test_ais_stationary_needs_a_confident_match_and_both_speeds(spark):
-    got = ais(spark, [("227000001", 0.95, 0.2, 0.4), ("247000002", 0.95, 6.0, 7.0), ("3", 0.5, 0.1, 0.1), (None, 0.99, 0.1, 0.1),
-                      ("", 0.99, 0.1, 0.1), ("306000006", 0.95, None, 0.3), ("\t", 0.95, 0.1, 0.1)])
-    assert [r.ais_matched for r in got] == [True, True, True, False, False, True, False]
-    assert [r.ais_confident for r in got] == [True, True, False, False, False, True, False]
-    assert [r.ais_stationary for r in got] == [True, False, False, False, False, False, False]
-    assert [r.ais_moving for r in got] == [False, True, False, False, False, False, False]
-    assert got[1].ais_speed_kn == 6.5 and got[3].ais_speed_kn is None and got[5].ais_speed_kn is None
+# -------------------------------------------------------------------------------------------------------------- AIS
+def judged(spark, **cases):
+    """(matched, confident, stationary, moving, mean speed) per case of (mmsi, confidence, speed before, speed after)."""
+    names = ("mmsi", "matching_confidence", "ais_speed_kn_before", "ais_speed_kn_after")
+    df = predicates.with_ais(table(spark, **{k: dict(zip(names, v)) for k, v in cases.items()}), DEFAULTS)
+    return {r.scene_id: (r.ais_matched, r.ais_confident, r.ais_stationary, r.ais_moving, None if r.ais_speed_kn is None else round(r.ais_speed_kn, 4)) for r in df.collect()}
 
 
-def test_a_match_without_confidence_is_uncertain(spark):
-    (r,) = ais(spark, [("227000009", None, 0.1, 0.1)])
-    assert (r.ais_matched, r.ais_confident, r.ais_stationary, r.ais_moving) == (True, False, False, False)
+def test_a_ship_is_judged_by_its_mean_speed(spark):
+    got = judged(spark, still=("224000111", 0.92, 0.5, 1.25), under_way=("224000112", 0.92, 0.5, 1.75), half_known=("224000113", 0.92, 0.5, None))
+    assert got["still"] == (True, True, True, False, 0.875)
+    assert got["under_way"] == (True, True, False, True, 1.125)
+    assert got["half_known"] == (True, True, False, False, None)
 
 
-def test_32_bit_values_are_compared_at_their_decimal_value(spark):
-    got = ais(spark, [("227000001", 0.9, 0.3, 0.3), ("227000002", 0.95, 1.1, 0.9)])
-    assert [r.ais_confident for r in got] == [True, True]
-    assert [r.ais_stationary for r in got] == [True, False] and [r.ais_moving for r in got] == [False, True]
+def test_uncertain_matches_are_neither_at_rest_nor_moving(spark):
+    got = judged(spark, weak=("224000111", 0.75, 0.0, 0.0), unsaid=("224000112", None, 0.0, 0.0), nobody=(None, 0.99, 0.0, 0.0), spaces=(" \t ", 0.99, 0.0, 0.0))
+    assert {k: v[:4] for k, v in got.items()} == {
+        "weak": (True, False, False, False), "unsaid": (True, False, False, False), "nobody": (False,) * 4, "spaces": (False,) * 4}
 
 
-def test_tables_without_ais_columns_have_no_match(spark):
-    df = with_optional(spark.createDataFrame([(1,)], "i int"), *DETECTIONS.fields)
-    r = predicates.with_ais(df, DEFAULTS).first()
-    assert not (r.ais_matched or r.ais_confident or r.ais_stationary or r.ais_moving)
-    assert not spark.createDataFrame([(1,)], "i int").select(predicates.has_mmsi(spark.createDataFrame([(1,)], "i int"))).first()[0]
+def test_limits_hold_for_values_stored_in_32_bits(spark):
+    # 0.9 and 0.7 + 1.3 are not exact in 32 bits; the limits mean their decimal values
+    got = judged(spark, edge=("224000111", 0.9, 0.7, 1.3), below=("224000112", 0.9, 0.7, 1.2))
+    assert got["edge"][1:4] == (True, False, True) and got["below"][1:4] == (True, True, False)
 
 
-def test_nan_becomes_missing_at_ingest(spark):
-    text = spark.createDataFrame([("nan", "0.4", "TRUE", "x")], "cloud_score string, presence_score string, potential_ice string, likely_infrastructure string")
-    r = conform(with_optional(text, *DETECTIONS.fields), DETECTIONS).first()
-    assert r.cloud_score is None and r.potential_ice is True and r.likely_infrastructure is None
-    assert r.presence_score == pytest.approx(0.4)
+def test_without_ship_columns_nothing_is_matched(spark):
+    bare = with_optional(spark.createDataFrame([("x",)], "scene_id string"), *DETECTIONS.fields)
+    r = predicates.with_ais(bare, DEFAULTS).first()
+    assert [r.ais_matched, r.ais_confident, r.ais_stationary, r.ais_moving] == [False] * 4
 
 
-def test_num(spark):
-    assert column(spark, [2.345678, float("nan"), None], "double", lambda c: scalars.num(c, 2)) == [2.35, None, None]
-    assert column(spark, [2.6, 2.5], "double", lambda c: scalars.num(c, 0)) == [3, 2]
-    assert column(spark, [1.5], "float", scalars.num) == [1.5]
+# ---------------------------------------------------------------------------------------------------------- values
+def test_text_that_is_no_value_is_missing(spark):
+    r = table(spark, odd={"cloud_score": "NaN", "presence_score": "high", "likely_infrastructure": "maybe", "potential_ice": "TRUE"}).first()
+    assert (r.cloud_score, r.presence_score, r.likely_infrastructure, r.potential_ice) == (None, None, None, True)
 
 
-def test_step_round(spark):
-    assert column(spark, [54.3, 52.4, 2.0, 33.0, 12.5, 7.5, None, float("nan")], "float", lambda c: scalars.step_round(c, 5)) == [55, 50, 0, 35, 10, 10, None, None]
+def test_seasons_of_all_months(spark):
+    given = [f"1999-{m:02d}" for m in range(1, 13)]
+    assert values(spark, "string", given, scalars.season_of) == ["DJF"] * 2 + ["MAM"] * 3 + ["JJA"] * 3 + ["SON"] * 3 + ["DJF"]
 
 
-def test_floor_rounds_down_but_not_below_the_32_bit_value(spark):
-    assert column(spark, [0.896, 0.899999, 1.0, None], "double", lambda c: scalars.floor_nd(c, 2)) == [0.89, 0.89, 1.0, None]
-    assert column(spark, [0.9, 0.57, float("nan")], "float", lambda c: scalars.floor_nd(c, 2)) == [0.9, 0.57, None]
+def test_published_decimals(spark):
+    assert values(spark, "double", [41.23456789, -0.000004, float("nan"), None], lambda c: scalars.num(c, 5)) == [41.23457, -0.0, None, None]
+    assert values(spark, "double", [3.5, 4.5, 4.51], lambda c: scalars.num(c, 0)) == [4, 4, 5]
 
 
-def test_flags_come_from_nine_digit_ship_numbers_only(spark):
-    mids = spark.createDataFrame([("247", "IT"), ("227", "FR"), ("970", "XX")], "mid string, iso2 string")
-    df = spark.createDataFrame([(i, m) for i, m in enumerate(
-        ["247123456", " 227123456", "970123456", "24712345", None, "", "306000006", "247123456\n", "2471234567"])], "i int, mmsi string")
-    got = [r.flag for r in publish.flag_lookup(df, mids).orderBy("i").collect()]
-    assert got == ["IT", "FR", None, None, None, None, None, "IT", None]
+def test_lengths_go_to_the_nearest_step(spark):
+    assert values(spark, "float", [61.0, 62.4, 63.0, 22.5, 1.0, None, float("nan")], lambda c: scalars.step_round(c, 5)) == [60, 60, 65, 20, 0, None, None]
 
 
-def test_month_label_and_period_months(spark):
-    assert column(spark, ["2025-08", "soon", None], "string", scalars.month_label) == ["Aug 2025", "soon", None]
-    got = column(spark, ["2024", "202502"], "string", scalars.period_months)
-    assert got[0][0] == "2024-01" and len(got[0]) == 12 and got[1] == ["2025-02"]
+def test_cut_decimals_never_round_up_and_respect_32_bits(spark):
+    assert values(spark, "double", [0.999, 0.1289, 0.5, None], lambda c: scalars.floor_nd(c, 2)) == [0.99, 0.12, 0.5, None]
+    # the 32-bit values of 0.29 and 0.58 lie a little off the decimals they stand for
+    assert values(spark, "float", [0.29, 0.58, float("nan")], lambda c: scalars.floor_nd(c, 2)) == [0.29, 0.58, None]
 
 
-def test_country_display_prefers_names_in_the_data(spark):
-    df = spark.createDataFrame([("FRA", "La France"), ("FRA", None), ("XYZ", None), (None, None), ("ESP", "")], "c string, n string")
-    got = [r[0] for r in df.select(scalars.country_display(F.col("c"), F.col("n"))).collect()]
-    assert got == ["La France", "France", "XYZ", "Unknown", "Spain"]
+def test_flags_of_ship_numbers(spark):
+    mids = spark.createDataFrame([("224", "ES"), ("655", "MW"), ("111", "??")], "mid string, iso2 string")
+    cases = {"224000111": "ES", "655123456 ": "MW", "111123456": None, "22400011": None, "2240001112": None, "224O00111": None, "777123456": None, None: None}
+    df = spark.createDataFrame([(m,) for m in cases], "mmsi string")
+    assert {r.mmsi: r.flag for r in publish.flag_lookup(df, mids).collect()} == cases
 
 
-def test_decode_shows_vessel_values_of_confident_matches_only(spark):
-    df = spark.createDataFrame([(c, 0.5, 0.1, 35, "FR") for c in (None, 0, 1, 2, 3)], "c int, conf double, kn double, len int, flag string")
-    got = [tuple(r) for r in df.select(*scalars.decode_ais(*(F.col(x) for x in ("c", "conf", "kn", "len", "flag")))).collect()]
-    assert got == [(None,) * 6, (0, None, None, None, None, None), (0, 0, 0.5, None, None, None), (1, 0, None, 0.1, 35, "FR"), (1, 1, None, 0.1, 35, "FR")]
+def test_labels_and_months_of_periods(spark):
+    assert values(spark, "string", ["1997-03", "never", None], scalars.month_label) == ["Mar 1997", "never", None]
+    year, month = values(spark, "string", ["2021", "202110"], scalars.period_months)
+    assert (year[0], year[-1], len(year), month) == ("2021-01", "2021-12", 12, ["2021-10"])
 
 
-def test_parameters_default_what_a_mapping_leaves_out():
-    assert Params.from_mapping({"speed_kn_max": 1.0}).ais_confidence_min == 0.9
-    assert Params.from_mapping({"ais_confidence_min": 0.8, "bbox": [0, 0, 1, 1]}).ais_confidence_min == 0.8
-    with pytest.raises(KeyError):
-        Params.from_mapping({"speed": 1})
+def test_country_names_come_from_the_data_first(spark):
+    df = spark.createDataFrame([("GRC", "Hellas"), ("GRC", None), ("QQQ", None), (None, "x")], "iso string, name string")
+    got = [r[0] for r in df.select(scalars.country_display(F.col("iso"), F.col("name"))).collect()]
+    assert got[:3] == ["Hellas", "Greece", "QQQ"]
+
+
+def test_vessel_values_are_decoded_for_confident_classes_only(spark):
+    df = spark.createDataFrame([(k, 0.91, 1.5, 40, "ES") for k in range(4)] + [(None, 0.91, 1.5, 40, "ES")], "k int, conf double, kn double, len int, flag string")
+    got = {r[0]: tuple(r)[1:] for r in df.select("k", *scalars.decode_ais(*(F.col(c) for c in ("k", "conf", "kn", "len", "flag")))).collect()}
+    vessel = {k: v[-3:] for k, v in got.items()}
+    assert vessel[2] == vessel[3] == (1.5, 40, "ES")
+    assert vessel[0] == vessel[1] == vessel[None] == (None, None, None)
+
+
+def test_parameters_from_a_mapping():
+    p = Params.from_mapping({"bbox": [0, 1, 2, 3], "exclude_boxes": [[0, 1, 1, 2]], "points_cap": 10})
+    assert (p.bbox, p.exclude_boxes, p.points_cap, p.buffer_m) == ((0, 1, 2, 3), ((0, 1, 1, 2),), 10, DEFAULTS.buffer_m)
+    with pytest.raises(KeyError, match="colour"):
+        Params.from_mapping({"colour": "blue"})

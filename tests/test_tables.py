@@ -10,7 +10,7 @@ from fathomline.operators import checks, country, publish, releases
 from fathomline.plans import build
 from fathomline.plans.bindings import Tables
 from fathomline.runtime import scratch_path
-from fathomline.schema import DETECTIONS
+from fathomline.schema import DETECTIONS, OVERPASSES
 from fathomline.sources import files
 from fathomline.streaming import incremental
 
@@ -49,8 +49,8 @@ def test_requests_prefer_monthly_releases_and_fall_back(spark):
 
 def test_newest_complete_release_wins(spark):
     all_ = (rel(spark, "2024").unionByName(rel(spark, "2024", published="2026-02-01").withColumn("record_id", F.lit(7).cast("long")))
-            .unionByName(rel(spark, "2024", published="2026-03-01", overpass_size=0)).unionByName(rel(spark, "2024", published="2026-03-01", overpass_url=None))
-            .unionByName(rel(spark, "2023", overpass_size=None)))
+            .unionByName(rel(spark, "2024", published="2026-03-01", overpass_size=-1)).unionByName(rel(spark, "2024", published="2026-03-01", overpass_url=None))
+            .unionByName(rel(spark, "2023", overpass_size=0)))
     assert {(r.period, r.record_id) for r in releases.latest_release_per_period(all_).collect()} == {("2024", 7), ("2023", 2023)}
 
 
@@ -134,43 +134,98 @@ def test_csv_columns_are_taken_by_name(spark, tmp_path):
     assert (r.lon, r.mmsi, r.cloud_score, r.potential_ice, r.likely_infrastructure, r.presence_score) == (5.0, "227000000", None, True, False, None)
 
 
-def test_ingest_filters_the_box_and_replaces_only_its_months(spark, tmp_path):
+def stored(spark, out):
+    return sorted((r.period, r.month, r.lon) for r in files.read_stored(spark, out, DETECTIONS).collect())
+
+
+def test_an_uploaded_period_replaces_itself_and_nothing_else(spark, tmp_path):
     out = f"{tmp_path}/out"
-    write(f"{tmp_path}/a.csv", ",".join(HEADER), line("5.0", "2025-07-01 10:00"), line("36.5", "2025-08-01 10:00"), line("36.6", "2025-08-01 10:00"), line("", "2025-08-01 10:00"))
-    files.ingest_detections(spark, f"{tmp_path}/a.csv", out, DEFAULTS)
-    write(f"{tmp_path}/b.csv", ",".join(HEADER), line("7.0", "2025-08-05 10:00"))
-    files.ingest_detections(spark, f"{tmp_path}/b.csv", out, DEFAULTS)
-    assert sorted((r.month, r.lon) for r in files.read_partitions(spark, out).collect()) == [("2025-07", 5.0), ("2025-08", 7.0)]
-    pruned = files.read_partitions(spark, out, ["2025-07"])
-    assert pruned.count() == 1
-    assert "PartitionFilters: [isnotnull(month" in pruned._jdf.queryExecution().executedPlan().toString()
-
-
-def test_new_files_are_ingested_once_and_a_new_upload_replaces_its_period(spark, tmp_path):
-    inbox, out, state = f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/state"
-    run = lambda p=DEFAULTS: incremental.ingest_new_detections(spark, inbox, out, state, HEADER, p)
-    stored = lambda: sorted((r.period, r.month, r.lon) for r in files.read_partitions(spark, out).collect())
-    write(f"{inbox}/det_x_202507.csv", ",".join(HEADER), line("5.0", "2025-07-01 10:00"), line("90.0", "2025-07-01 10:00"))
-    write(f"{inbox}/det_x_2024.csv", ",".join(HEADER), line("6.0", "2024-07-01 10:00"))
+    assert stored(spark, out) == []
+    head = ",".join(HEADER)
+    write(f"{tmp_path}/y/1.csv", head, *[line(f"{k}.0", "2021-03-01 10:00") for k in range(3)], line("36.5", "2021-09-01 10:00"), line("36.6", "2021-09-01 10:00"))
+    write(f"{tmp_path}/y/2.csv", head, line("9.0", "2021-10-01 10:00"), line("", "2021-10-01 10:00"))
+    write(f"{tmp_path}/m.csv", head, line("7.0", "2021-10-05 10:00"), line("8.0", "2021-03-09 10:00"))
+    files.ingest_detections(spark, {"2021": f"{tmp_path}/y", "202110": f"{tmp_path}/m.csv"}, out, DEFAULTS)
+    year = [("2021", "2021-03", 0.0), ("2021", "2021-03", 1.0), ("2021", "2021-03", 2.0), ("2021", "2021-09", 36.5), ("2021", "2021-10", 9.0)]
+    assert stored(spark, out) == [*year, ("202110", "2021-03", 8.0), ("202110", "2021-10", 7.0)]
+    periods = spark.createDataFrame([("2021",), ("202110",)], "period string")
+    merged = releases.merge_periods(files.read_stored(spark, out, DETECTIONS), periods)
+    assert sorted(r.lon for r in merged.collect()) == [0.0, 1.0, 2.0, 7.0, 36.5]  # a stray row supplies no month
+    write(f"{tmp_path}/empty.csv", head, line("90.0", "2021-10-05 10:00"))
+    files.ingest_detections(spark, {"202110": f"{tmp_path}/empty.csv"}, out, DEFAULTS)
+    assert stored(spark, out) == year
+    files.ingest_detections(spark, {"2021": f"{tmp_path}/empty.csv"}, out, DEFAULTS)
+    assert stored(spark, out) == []
+
+
+def test_uploads_are_taken_in_once_and_the_latest_published_counts(spark, tmp_path):
+    inbox, out, seen = (f"{tmp_path}/{n}" for n in ("in", "out", "seen"))
+    run = lambda p=DEFAULTS: incremental.ingest_new_detections(spark, inbox, out, seen, p)
+    have = lambda: stored(spark, f"{out}/detections")
+    head = ",".join(HEADER)
+    up = f"{inbox}/2022-06-03_41_vessels_202205"
+    write(f"{up}/a.csv", head, line("1.0", "2022-05-01 10:00"))
+    write(f"{up}/b.csv", ",".join(sorted(HEADER)), ",".join(dict(zip(HEADER, line("2.0", "2022-05-02 10:00").split(","))).get(c, "") for c in sorted(HEADER)))
+    write(f"{inbox}/2022-02-01_7_vessels_2021.csv", head, line("3.0", "2021-05-01 10:00"))
+    run()
+    first = [("2021", "2021-05", 3.0), ("202205", "2022-05", 1.0), ("202205", "2022-05", 2.0)]
+    assert have() == first
     run()
-    first = [("2024", "2024-07", 6.0), ("202507", "2025-07", 5.0)]
-    assert stored() == first
+    assert have() == first
+    write(f"{up}/c.csv", head, line("4.0", "2022-05-03 10:00"))  # a late file of an upload: all of its files are read again
+    write(f"{inbox}/2021-12-31_6_vessels_2021.csv", head, line("9.0", "2021-05-01 10:00"))  # an older upload that comes late
     run()
-    assert stored() == first
-    write(f"{inbox}/redo/det_x_202507.csv", ",".join(HEADER), line("5.5", "2025-07-02 10:00"))
+    assert have() == [*first, ("202205", "2022-05", 4.0)]
+    write(f"{inbox}/2022-06-09_44_vessels_202205.csv", head, line("80.0", "2022-05-01 10:00"))  # a correction with no row in the box
     run()
-    assert stored() == [first[0], ("202507", "2025-07", 5.5)]
-    # a newer schema has a ledger of its own: everything is read again, the newest upload of each period counts
-    os.utime(f"{inbox}/redo/det_x_202507.csv", (4e9, 4e9))
+    assert have() == first[:1]
+    notes = {(r.period, r.record_id, r.rows) for r in releases.noted(spark, f"{out}/ledger", "detections").collect()}
+    assert notes == {("2021", 7, 1), ("202205", 44, 0)}
     run(Params(schema_version=3))
-    assert stored() == [first[0], ("202507", "2025-07", 5.5)]
+    assert have() == first[:1]
+    assert {r.detections_schema for r in releases.ledger(spark, f"{out}/ledger").collect()} == {3}
 
 
-def test_new_overpass_files(spark, tmp_path):
-    write(f"{tmp_path}/in/ovp_202507.csv", "h3_id,month,overpasses,overpasses_cloud_under_20", "a,2025-07-01,3,2", "b,2025-07-01,3,1")
-    cells = spark.createDataFrame([("a",)], "cell string")
-    incremental.ingest_new_overpasses(spark, f"{tmp_path}/in", cells, f"{tmp_path}/out", f"{tmp_path}/s", ["h3_id", "month", "overpasses", "overpasses_cloud_under_20"])
-    assert [(r.h3_id, r.month, r.overpasses_cloud_under_20, r.period) for r in files.read_partitions(spark, f"{tmp_path}/out").collect()] == [("a", "2025-07", 2, "202507")]
+def test_overpasses_are_noted_with_the_cells_asked_for(spark, tmp_path):
+    write(f"{tmp_path}/in/2022-06-03_41_ovp_202205.csv", "overpasses,h3_id,month,overpasses_cloud_under_20", "3,a,2022-05-01,2", "3,b,2022-05-01,1")
+    write(f"{tmp_path}/in/2022-06-03_41_det_202205.csv.txt", "no csv")
+    cells = spark.createDataFrame([("a",), ("never seen",)], "cell string")
+    out = f"{tmp_path}/out"
+    incremental.ingest_new_overpasses(spark, f"{tmp_path}/in", cells, out, f"{tmp_path}/s")
+    assert [(r.h3_id, r.month, r.overpasses_cloud_under_20, r.period) for r in files.read_stored(spark, f"{out}/overpass", OVERPASSES).collect()] == [("a", "2022-05", 2, "202205")]
+    assert {(r.period, r.cell) for r in incremental.requested_cells(spark, out).collect()} == {("202205", "a"), ("202205", "never seen")}
+    (entry,) = releases.ledger(spark, f"{out}/ledger").collect()
+    assert (entry.period, entry.record_id, entry.overpass_rows, entry.has_files) == ("202205", 41, None, False)
+    releases.note(spark, f"{out}/ledger", "202205", 41, "2022-06-03", "detections", 5, 2)
+    (entry,) = releases.ledger(spark, f"{out}/ledger").collect()
+    assert (entry.overpass_rows, entry.has_files, entry.detections_schema) == (1, True, 2)
+    assert [r.period for r in releases.usable_periods(releases.ledger(spark, f"{out}/ledger"), DEFAULTS).collect()] == ["202205"]
+
+
+def test_records_as_delivered(spark, tmp_path):
+    write(f"{tmp_path}/r.json", '{"id":5,"created":"2022-06-03T08:00:00","metadata":{"title":"202205 vessels"},"files":[{"key":"sentinel2_vessel_detections_x_202205.csv",'
+          '"size":9,"links":{"self":"https://h/5"}},{"key":"sentinel2_overpass_202205.csv","size":0,"links":{"self":null}}]}',
+          '{"id":6,"created":"2022-07-01","metadata":{"title":null,"publication_date":"2022-07-02"},"files":[]}')
+    flat = releases.flatten_records(spark.read.schema(
+        "id long, created string, metadata struct<title:string,publication_date:string>, files array<struct<key:string,size:long,links:struct<self:string>>>").json(f"{tmp_path}/r.json"))
+    assert [(r.id, r.title, r.published) for r in flat.orderBy("id").collect()] == [(5, "202205 vessels", "2022-06-03T08:00:00"), (6, "", "2022-07-02")]
+    (r,) = releases.latest_release_per_period(releases.parse_releases(flat, "https://f/{id}/{key}")).collect()
+    assert (r.period, r.detections_url, r.overpass_url, r.overpass_size) == ("202205", "https://h/5", "https://f/5/sentinel2_overpass_202205.csv", 0)
+
+
+def test_every_polygon_is_kept_and_numbered(spark, tmp_path):
+    from pyspark.sql import types as T
+    tri = lambda x: f"[[[{x},40],[{x + 1},40],[{x},41],[{x},40]]]"
+    poly = lambda x: f'{{"type":"Polygon","coordinates":{tri(x)}}}'
+    both = f'{{"type":"GeometryCollection","geometries":[{{"type":"Point","coordinates":[1,2]}},{poly(3)},{{"type":"MultiPolygon","coordinates":[{tri(4)},{tri(5)}]}}]}}'
+    lines = [('"objectid":2', poly(1)), ("", poly(2)), ('"objectid":2', poly(6)), ('"objectid":900000000000', both), ('"objectid":1', '{"type":"Point","coordinates":[1,2]}'), ("", poly(7))]
+    write(f"{tmp_path}/f.json", *[f'{{"type":"Feature","properties":{{{k}}},"geometry":{g}}}' for k, g in lines])
+    props = T.StructType([T.StructField("objectid", T.LongType())])
+    out = files.polygons_from_geojson(files.read_geojson(spark, f"{tmp_path}/f.json", props, sequence=True), "objectid", DEFAULTS).orderBy("pid").collect()
+    assert [(r.pid, r.objectid, len(r.rings)) for r in out] == [(0, 2, 1), (1, 2, 1), (2, 900000000000, 3), (3, None, 1), (4, None, 1)]
+    layer = publish.polygon_display_layer(spark.createDataFrame([(1, [[(5.0, 40.0), (5.0001, 40.0), (5.0001, 40.0001), (5.0, 40.0)]])],
+                                                                "pid int, rings array<array<struct<lon:double,lat:double>>>"), 3000.0).collect()
+    assert len(layer) == 1 and len(layer[0].rings[0]) == 4  # far below the tolerance, and still there
 
 
 def test_geojson_collection_in_web_mercator(spark, tmp_path):
@@ -201,13 +256,20 @@ def test_columnar_chunks_keep_order_and_nulls(spark, tmp_path):
 def test_build_publishes_consistent_tables(spark, tmp_path):
     t = Tables(spark, SF)
     out = build.build(t.detections, t.overpass, t.meadows, t.zones, t.mids, DEFAULTS)
-    build.write_published(out, f"{tmp_path}/pub")
+    build.write_published(out, f"{tmp_path}/pub", DEFAULTS)
+    build.write_published(out, f"{tmp_path}/pub", DEFAULTS)  # again, in the place of the first
+    assert os.listdir(tmp_path) == ["pub"]
     read = lambda n: spark.read.parquet(f"{tmp_path}/pub/{n}")
     s = read("summary").first()
     assert s.anchored_total > s.anchored_on_meadow > s.large_on_meadow > 0 and s.hexes == read("hexes").count()
     assert read("hex_monthly").agg(F.sum("n")).first()[0] == read("hexes").agg(F.sum("on_meadow")).first()[0] == s.anchored_on_meadow
     assert read("points").count() == s.anchored_on_meadow and read("hotspots").count() <= 50
-    checks.enforce(checks.check_hotspots(publish.number_hotspots(read("hotspots"))))
+    checks.enforce(checks.check_hotspots(publish.number_hotspots(read("hotspots")), DEFAULTS))
+    for name in ("hexes", "hex_monthly", "clear", "points", "timeseries", "hotspots"):
+        chunks = spark.read.json(f"{tmp_path}/pub/{name}_json").collect()
+        arrays = [c for c in chunks[0].asDict() if c != "chunk"]
+        assert arrays and all(len({len(r[a]) for a in arrays}) == 1 for r in chunks)
+        assert sum(len(r[arrays[0]]) for r in chunks) == read(name).count()
     one = spark.read.json(f"{tmp_path}/pub/hexes_json").first()
     assert len(one.cell) == s.hexes and one.cell == sorted(one.cell)
     feature = spark.read.json(f"{tmp_path}/pub/meadows").first()
