@@ -6,6 +6,8 @@ from the annual one.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -113,10 +115,11 @@ def keeps_overpass(releases: DataFrame, ledger: DataFrame) -> DataFrame:
 NOTES = "period string, record_id bigint, published string, part string, rows bigint, detections_schema int, noted_at timestamp"
 
 
-def note(spark: SparkSession, path: str, period: str, record_id: int, published: str, part: str, rows: int, schema: int | None = None) -> None:
-    """Add to the notes that a period's ``part`` (detections or overpass) was taken in. Notes are only ever added."""
-    row = spark.createDataFrame([(period, record_id, published, part, rows, schema)], NOTES.rsplit(",", 1)[0])
-    row.withColumn("noted_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(path)
+def note(spark: SparkSession, path: str, entries: Sequence[tuple]) -> None:
+    """Add to the notes that parts of periods were taken in: (period, record_id, published, part, rows, detections_schema) each,
+    where the part is detections or overpass and only detections have a schema. Notes are only ever added."""
+    rows = spark.createDataFrame(list(entries), NOTES.rsplit(",", 1)[0])
+    rows.withColumn("noted_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(path)
 
 
 def noted(spark: SparkSession, path: str, part: str | None = None, schema: int | None = None) -> DataFrame:

@@ -67,13 +67,19 @@ def _periods(t: Tables) -> list[str]:
     return sorted(r["period"] for r in t.delivered_periods.collect())  # some twenty
 
 
+def _write_by_period(t: Tables, path: str) -> None:
+    """The delivered detections as two CSV files per period."""
+    rows = t.delivered.withColumns({CSV_EXTRA[0]: F.lit("0.5"), CSV_EXTRA[1]: F.col("lat").cast("string")})
+    (rows.select(*CSV_HEADER, "period").repartition(2).write.partitionBy("period").option("header", True)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+
+
 @query("ingest_detections", f"SELECT {K}, month, period FROM delivered WHERE {o.IN_BOX} AND period <> '1995'")
 def _(t):
     # periods of several files, rows of other months in them, and a correction of 1995 that has no row in the study box
     src, out = scratch_path(t.spark, "csv"), scratch_path(t.spark, "detections")
-    for period in _periods(t):
-        _write_detections_csv(t, t.delivered.where(F.col("period") == period).repartition(2), f"{src}/{period}")
-    files.ingest_detections(t.spark, {p: f"{src}/{p}" for p in _periods(t)}, out, P)
+    _write_by_period(t, src)
+    files.ingest_detections(t.spark, {p: f"{src}/period={p}" for p in _periods(t)}, out, P)
     _write_detections_csv(t, t.delivered.where("period = '1995'").withColumn("lon", F.col("lon") + 100.0), f"{src}/again")
     files.ingest_detections(t.spark, {"1995": f"{src}/again"}, out, P)
     return files.read_stored(t.spark, out, DETECTIONS).select(*KEY, "month", "period")
@@ -85,9 +91,8 @@ def _(t):
     src, out = scratch_path(t.spark, "csv"), scratch_path(t.spark, "overpass")
     rows = t.overpass_raw.withColumn("period", F.substring("month", 1, 4))
     years = [r[0] for r in rows.select("period").distinct().collect()]
-    for year in years:
-        rows.where(F.col("period") == year).select(F.lit("x").alias("extra"), *reversed(OVERPASSES.names)).write.option("header", True).csv(f"{src}/{year}")
-    files.ingest_overpasses(t.spark, {y: f"{src}/{y}" for y in years}, build.overpass_cells(t.cells), out)
+    rows.select(F.lit("x").alias("extra"), *reversed(OVERPASSES.names), "period").write.partitionBy("period").option("header", True).csv(src)
+    files.ingest_overpasses(t.spark, {y: f"{src}/period={y}" for y in years}, build.overpass_cells(t.cells), out)
     return files.read_stored(t.spark, out, OVERPASSES).select(*OVERPASSES.names, "period")
 
 
@@ -236,13 +241,11 @@ def _(t):
     empty = releases.ledger(t.spark, f"{out}/ledger")
     fetch = releases.releases_to_fetch(t.latest, empty, P).collect()  # some twenty
     stored = set(_periods(t))
-    for r in fetch:
-        if r["period"] not in stored:
-            continue
-        _write_detections_csv(t, t.delivered.where(F.col("period") == r["period"]), f"{src}/{r['period']}")
-        files.ingest_detections(t.spark, {r["period"]: f"{src}/{r['period']}"}, f"{out}/detections", P)
-        for part in ("detections", "overpass"):
-            releases.note(t.spark, f"{out}/ledger", r["period"], r["record_id"], r["published"], part, 1, P.schema_version if part == "detections" else None)
+    _write_by_period(t, src)
+    todo = [r for r in fetch if r["period"] in stored]
+    files.ingest_detections(t.spark, {r["period"]: f"{src}/period={r['period']}" for r in todo}, f"{out}/detections", P)
+    releases.note(t.spark, f"{out}/ledger", [(r["period"], r["record_id"], r["published"], part, 1, P.schema_version if part == "detections" else None)
+                                             for r in todo for part in ("detections", "overpass")])
     ledger = releases.ledger(t.spark, f"{out}/ledger")
     if releases.releases_to_fetch(t.latest.where(F.col("period").isin(sorted(stored))), ledger, P).count():
         raise AssertionError("what was ingested is asked for again")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import unquote
 
@@ -73,16 +74,24 @@ def write_period(rows: DataFrame, path: str, period: str) -> None:
      .option("compression", "zstd").partitionBy("month").parquet(f"{path.rstrip('/')}/period={period}"))
 
 
+#: periods that are stored side by side
+PERIODS_AT_ONCE = 4
+
+
+def _each_period(uploads: Mapping[str, Paths], store: Callable[[str, Paths], None]) -> None:
+    """Store the periods a few at a time; each writes a folder of its own."""
+    with ThreadPoolExecutor(PERIODS_AT_ONCE) as pool:
+        list(pool.map(lambda item: store(*item), sorted(uploads.items())))
+
+
 def ingest_detections(spark: SparkSession, uploads: Mapping[str, Paths], out: str, p: Params) -> None:
     """Store the detection files of each uploaded period, all its files together; filtered while scanning, so the files' global
     rows are never kept."""
-    for period, paths in sorted(uploads.items()):
-        write_period(detections_in_bbox(scan_detections_csv(spark, paths), p), out, period)
+    _each_period(uploads, lambda period, paths: write_period(detections_in_bbox(scan_detections_csv(spark, paths), p), out, period))
 
 
 def ingest_overpasses(spark: SparkSession, uploads: Mapping[str, Paths], cells: DataFrame, out: str) -> None:
-    for period, paths in sorted(uploads.items()):
-        write_period(overpasses_of_cells(scan_csv(spark, paths, OVERPASSES), cells), out, period)
+    _each_period(uploads, lambda period, paths: write_period(overpasses_of_cells(scan_csv(spark, paths, OVERPASSES), cells), out, period))
 
 
 def read_stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

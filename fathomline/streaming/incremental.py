@@ -55,8 +55,8 @@ def newest(uploads: Iterable[Upload]) -> dict[str, Upload]:
     return found
 
 
-def _run(spark: SparkSession, folder: str, checkpoint: str, take: Callable[[Upload], None], known: Callable[[], DataFrame]) -> None:
-    """Hand every period's counting upload with new files to ``take``, oldest first."""
+def _run(spark: SparkSession, folder: str, checkpoint: str, take: Callable[[list[Upload]], None], known: Callable[[], DataFrame]) -> None:
+    """Hand the periods' counting uploads with new files to ``take``."""
     names = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length bigint, content binary").option(
         "recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(folder).select(
         "path", F.col("modificationTime").cast("double").alias("written"))  # names only, no content is read
@@ -65,13 +65,17 @@ def _run(spark: SparkSession, folder: str, checkpoint: str, take: Callable[[Uplo
         # one row per new file; an upload's newest file dates it
         found = [u for r in batch.collect() if (u := upload_of(r["path"], r["written"] or 0.0))]
         held = {r["period"]: (r["published"] or "", int(r["record_id"] or 0)) for r in known().collect()}
-        for u in sorted(newest(found).values()):
-            if u.period not in held or (u.published, u.record_id) >= held[u.period]:
-                take(u)
+        todo = [u for u in sorted(newest(found).values()) if u.period not in held or (u.published, u.record_id) >= held[u.period]]
+        if todo:
+            take(todo)
 
     names.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
+def _rows(stored: DataFrame) -> dict[str, int]:
+    return {r["period"]: r["count"] for r in stored.groupBy("period").count().collect()}  # one row per period
+
+
 def ingest_new_detections(spark: SparkSession, folder: str, out: str, checkpoint: str, p: Params) -> None:
     """Store the new detection uploads of ``folder`` below ``out``/detections and note them in ``out``/ledger.
 
@@ -80,10 +84,10 @@ def ingest_new_detections(spark: SparkSession, folder: str, out: str, checkpoint
     """
     ledger = f"{out}/ledger"
 
-    def take(u: Upload) -> None:
-        files.ingest_detections(spark, {u.period: u.path}, f"{out}/detections", p)
-        n = files.read_stored(spark, f"{out}/detections", DETECTIONS).where(F.col("period") == u.period).count()
-        releases.note(spark, ledger, u.period, u.record_id, u.published, "detections", n, schema=p.schema_version)
+    def take(uploads: list[Upload]) -> None:
+        files.ingest_detections(spark, {u.period: u.path for u in uploads}, f"{out}/detections", p)
+        n = _rows(files.read_stored(spark, f"{out}/detections", DETECTIONS))
+        releases.note(spark, ledger, [(u.period, u.record_id, u.published, "detections", n.get(u.period, 0), p.schema_version) for u in uploads])
 
     _run(spark, folder, f"{checkpoint}/detections-v{p.schema_version}", take, lambda: releases.noted(spark, ledger, "detections", p.schema_version))
 
@@ -92,11 +96,12 @@ def ingest_new_overpasses(spark: SparkSession, folder: str, cells: DataFrame, ou
     """Store the new overpass uploads below ``out``/overpass and note them, with the cells that were asked for."""
     ledger = f"{out}/ledger"
 
-    def take(u: Upload) -> None:
-        files.ingest_overpasses(spark, {u.period: u.path}, cells, f"{out}/overpass")
-        n = files.read_stored(spark, f"{out}/overpass", OVERPASSES).where(F.col("period") == u.period).count()
-        releases.note(spark, ledger, u.period, u.record_id, u.published, "overpass", n)
-        cells.select("cell").distinct().write.mode("overwrite").parquet(f"{out}/requested/period={u.period}")
+    def take(uploads: list[Upload]) -> None:
+        files.ingest_overpasses(spark, {u.period: u.path for u in uploads}, cells, f"{out}/overpass")
+        n = _rows(files.read_stored(spark, f"{out}/overpass", OVERPASSES))
+        releases.note(spark, ledger, [(u.period, u.record_id, u.published, "overpass", n.get(u.period, 0), None) for u in uploads])
+        for u in uploads:
+            cells.select("cell").distinct().write.mode("overwrite").parquet(f"{out}/requested/period={u.period}")
 
     _run(spark, folder, f"{checkpoint}/overpasses", take, lambda: releases.noted(spark, ledger, "overpass"))
 

@@ -196,7 +196,7 @@ def test_overpasses_are_noted_with_the_cells_asked_for(spark, tmp_path):
     assert {(r.period, r.cell) for r in incremental.requested_cells(spark, out).collect()} == {("202205", "a"), ("202205", "never seen")}
     (entry,) = releases.ledger(spark, f"{out}/ledger").collect()
     assert (entry.period, entry.record_id, entry.overpass_rows, entry.has_files) == ("202205", 41, None, False)
-    releases.note(spark, f"{out}/ledger", "202205", 41, "2022-06-03", "detections", 5, 2)
+    releases.note(spark, f"{out}/ledger", [("202205", 41, "2022-06-03", "detections", 5, 2)])
     (entry,) = releases.ledger(spark, f"{out}/ledger").collect()
     assert (entry.overpass_rows, entry.has_files, entry.detections_schema) == (1, True, 2)
     assert [r.period for r in releases.usable_periods(releases.ledger(spark, f"{out}/ledger"), DEFAULTS).collect()] == ["202205"]
