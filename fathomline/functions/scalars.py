@@ -7,8 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: decimals that undo the error of widening a 32-bit float
-WIDENING_DECIMALS = 6
+#: a single-precision value is compared and cut at so many decimals of its double
+SINGLE_DECIMALS = 6
 
 # Meteorological seasons (December counts as winter, all years pooled) and their labels.
 SEASON_MONTHS = {
@@ -41,7 +41,7 @@ def season_of(month: Column) -> Column:
 
 def widened(x: Column) -> Column:
     """A 32-bit value as double at its decimal value: 0.9f becomes 0.9, not 0.89999998."""
-    return F.round(x.cast("double"), WIDENING_DECIMALS)
+    return F.round(x.cast("double"), SINGLE_DECIMALS)
 
 
 def num(x: Column, decimals: int | None = None) -> Column:
@@ -54,9 +54,9 @@ def num(x: Column, decimals: int | None = None) -> Column:
 
 
 def floor_nd(x: Column, decimals: int) -> Column:
-    """Round down, after removing the widening error: a value below a threshold never reads as meeting it."""
+    """Cut to ``decimals``. The cut is made at the decimal value a single-precision number stands for."""
     scale = float(10**decimals)
-    return F.floor(F.bround(num(x) * F.lit(scale), WIDENING_DECIMALS - decimals)) / F.lit(scale)
+    return F.floor(F.bround(num(x) * F.lit(scale), SINGLE_DECIMALS - decimals)) / F.lit(scale)
 
 
 def step_round(x: Column, step: int) -> Column:

@@ -28,6 +28,16 @@ def normalise_zones(raw: DataFrame) -> DataFrame:
     }).drop("iso_ter1", "iso_sov1", "territory1", "sovereign1")
 
 
+def zones_in_box(zones: DataFrame, p: Params) -> DataFrame:
+    """Zones whose extent meets the study box, or comes as near as points are snapped; a world-wide table is cut to these."""
+    flat = F.flatten("rings")
+    lons, lats = F.transform(flat, lambda v: v.lon), F.transform(flat, lambda v: v.lat)
+    reach = p.eez_max_distance_m / 100_000.0  # degrees of latitude, rounded up
+    wide = reach / F.greatest(F.cos(F.radians(F.lit(max(abs(p.bbox[1]), abs(p.bbox[3]))))), F.lit(0.01))
+    return zones.where((F.array_max(lons) >= p.bbox[0] - wide) & (F.array_min(lons) <= p.bbox[2] + wide)
+                       & (F.array_max(lats) >= p.bbox[1] - reach) & (F.array_min(lats) <= p.bbox[3] + reach))
+
+
 @dataclass(frozen=True)
 class ZoneIndex:
     within: PolygonIndex  # degrees

@@ -94,14 +94,15 @@ def cell_counts(fact: DataFrame, calendar: DataFrame) -> DataFrame:
     return per.groupBy("cell").agg(F.sum("n").alias("on_meadow"), F.sum("large").alias("large_on_meadow"))
 
 
-def _clear_months(overpass: DataFrame, calendar: DataFrame) -> DataFrame:
+def clear_months(overpass: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Clear overpasses per cell and month, where there are any rows (cell, month, clear)."""
     per = overpass.groupBy(F.col("h3_id").alias("cell"), "month").agg(
         F.sum(F.col("overpasses_cloud_under_20").cast("bigint")).alias("clear"))
     return month_filter(per, calendar)
 
 
 def clear_overpasses(overpass: DataFrame, calendar: DataFrame) -> DataFrame:
-    return _clear_months(overpass, calendar).groupBy("cell").agg(F.sum("clear").alias("clear_overpasses"))
+    return clear_months(overpass, calendar).groupBy("cell").agg(F.sum("clear").alias("clear_overpasses"))
 
 
 def overpass_semi(overpass: DataFrame, cells: DataFrame, calendar: DataFrame) -> DataFrame:
@@ -120,7 +121,7 @@ def _by_season(value: str, prefix: str = "") -> list[Column]:
 def season_pivot(fact: DataFrame, overpass: DataFrame, cells: DataFrame, calendar: DataFrame) -> DataFrame:
     """Counts, large counts and clear overpasses per cell and season; cells without any have zeros."""
     on = month_filter(cell_months(fact), calendar).withColumn("season", season_of(F.col("month")))
-    clear = _clear_months(overpass, calendar).withColumn("season", season_of(F.col("month")))
+    clear = clear_months(overpass, calendar).withColumn("season", season_of(F.col("month")))
     counts = on.groupBy("cell").agg(*_by_season("n"), *_by_season("large", "large_"))
     passes = clear.groupBy("cell").agg(*_by_season("clear", "clear_"))
     names = [p + s for p in ("", "large_", "clear_") for s in SEASONS]
@@ -151,7 +152,7 @@ def aggregate_hexes(fact: DataFrame, cells: DataFrame, overpass: DataFrame, cale
         *_by_season("n"), *_by_season("large", "large_"),
         F.max_by("month", F.struct("n", "month")).alias("peak_month"))
     passes = (
-        _clear_months(overpass, calendar).withColumn("season", season_of(F.col("month")))
+        clear_months(overpass, calendar).withColumn("season", season_of(F.col("month")))
         .groupBy("cell").agg(F.sum("clear").alias("clear_overpasses"), *_by_season("clear", "clear_"))
     )
     # a full join appends cells that have detections but are no known cell
@@ -168,7 +169,7 @@ def aggregate_hexes(fact: DataFrame, cells: DataFrame, overpass: DataFrame, cale
 def clear_matrix(cells: DataFrame, overpass: DataFrame, calendar: DataFrame) -> DataFrame:
     """Clear overpasses of every cell in every month, 0 where none."""
     frame = every_month(cells.select("cell"), calendar)
-    return zeros(frame.join(_clear_months(overpass, calendar), ["cell", "month"], "left"), "clear")
+    return zeros(frame.join(clear_months(overpass, calendar), ["cell", "month"], "left"), "clear")
 
 
 def missing_cells(cells: DataFrame, overpass_cells: DataFrame) -> DataFrame:

@@ -216,9 +216,9 @@ def months_without_monthly(rows: DataFrame, periods: DataFrame) -> DataFrame:
 
 
 def merge_periods(rows: DataFrame, periods: DataFrame) -> DataFrame:
-    """Rows of all periods (column ``period``) with precedence applied.
+    """One row set from all stored periods: of each month the rows of one period.
 
-    A monthly file supplies its own month only, an annual one the months without a monthly release.
+    Rows that a monthly upload has of other months are left out; an annual upload fills in where no monthly one exists.
     """
     own = rows.where(~is_annual(F.col("period")) & (F.col("month") == monthly_key(F.col("period"))))
     own = own.join(periods.select("period").distinct(), "period", "left_semi")

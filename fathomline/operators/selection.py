@@ -50,17 +50,18 @@ def available_seasons(calendar: DataFrame, first: str | None = None, last: str |
     return select_months(calendar, first, last).select(season_of(F.col("month")).alias("season")).distinct()
 
 
-def selection_aggregate(rows: DataFrame, clear: DataFrame, selected: DataFrame, boats: str = "all") -> DataFrame:
+def selection_aggregate(rows: DataFrame, passes: DataFrame, cells: DataFrame, selected: DataFrame, boats: str = "all") -> DataFrame:
     """Counts and density of every cell for the selected months and class of boats.
 
-    ``rows`` is the sparse monthly cell table, ``clear`` the dense clear overpasses.
+    ``rows`` is the sparse monthly cell table, ``passes`` the sparse clear overpasses (cell, month, clear). Months are selected
+    before anything is summed. Data from before boats were told apart has no counters for them: all boats count.
     """
-    every, large = BOAT_COUNTERS[boats]
+    every, large = BOAT_COUNTERS[boats] if set(BOAT_COUNTERS[boats]) <= set(rows.columns) else BOAT_COUNTERS["all"]
     months = selected.select("month")
     counts = rows.join(months, "month", "left_semi").groupBy("cell").agg(
         F.sum(every).alias("on_meadow"), F.sum(large).alias("large_on_meadow"))
-    passes = clear.join(months, "month", "left_semi").groupBy("cell").agg(F.sum("clear").alias("clear"))
-    out = clear.select("cell").distinct().join(counts, "cell", "left").join(passes, "cell", "left")
+    clear = passes.join(months, "month", "left_semi").groupBy("cell").agg(F.sum("clear").alias("clear"))
+    out = cells.select("cell").join(counts, "cell", "left").join(clear, "cell", "left")
     out = zeros(out, "on_meadow", "large_on_meadow", "clear")
     return out.select("cell", "on_meadow", "large_on_meadow", density(F.col("on_meadow"), F.col("clear")).alias("density"))
 
@@ -75,7 +76,10 @@ def season_fallback(hexes: DataFrame, season: str) -> DataFrame:
 
 def point_filter(points: DataFrame, selected: DataFrame | None, large_length_m: float, small: bool = True, large: bool = True,
                  boats: str = "all") -> DataFrame:
-    """Published points of the selected months (``m`` holds the index), sizes and class of boats."""
+    """Published points of the selected months (``m`` holds the index), sizes and class of boats.
+
+    Points published without a class belong to any.
+    """
     out = points
     if selected is not None:
         out = out.join(selected.select(F.col("idx").alias("m")), "m", "left_semi")
@@ -83,6 +87,8 @@ def point_filter(points: DataFrame, selected: DataFrame | None, large_length_m:
         out = out.where(F.col("length_m") >= large_length_m)
     if not large:
         out = out.where(F.col("length_m") < large_length_m)
+    if "ais_class" not in points.columns:
+        return out
     if boats == "ais":
         out = out.where(F.col("ais_class") >= 2)
     elif boats == "ais_st":

@@ -13,7 +13,7 @@ from ..config import Params
 from ..functions import geo
 from ..functions.scalars import country_names
 from ..operators import checks, pressure, publish, ranking
-from ..operators.country import ZoneIndex, assign_country, index_zones
+from ..operators.country import ZoneIndex, assign_country, index_zones, zones_in_box
 from ..operators.detections import classify
 from ..operators.spatial import PolygonIndex, build_index, cell_area, cells_touching_polygons, planar_edges, polygon_edges
 from ..runtime import cut_lineage, replace_folder
@@ -74,7 +74,7 @@ def build(det: DataFrame, overpass: DataFrame, meadows: DataFrame, zones: DataFr
     The fact table and the cell tables feed several outputs each and are materialised once.
     """
     meadow_index = index_meadows(meadows, p)
-    zone_index = index_zones(zones, p) if zones is not None else None
+    zone_index = index_zones(zones_in_box(zones, p), p) if zones is not None else None
     cells = cut_lineage(meadow_cells(meadows, meadow_index, zone_index, p))
     calendar = cut_lineage(pressure.calendar_union(det, overpass))
     fact = cut_lineage(fact_table(det, meadow_index, zone_index, p))

@@ -491,7 +491,7 @@ def _known_calendar(t: Tables) -> DataFrame:
 @query("selection_aggregate", _SELECTED)
 def _(t):
     chosen = selection.select_months(_known_calendar(t), "1997-03", "2000-10", "JJA")
-    return selection.selection_aggregate(t.rows, t.clear, chosen, "ais")
+    return selection.selection_aggregate(t.rows, pressure.clear_months(t.overpass, t.calendar), t.cells, chosen, "ais")
 
 
 @query("pressure_rollup", """SELECT CASE WHEN grouping(month) = 1 THEN 'cell' WHEN grouping(country) = 0 THEN 'country_month' WHEN grouping(cell) = 0 THEN 'cell_month' ELSE 'month' END AS grain,

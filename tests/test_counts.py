@@ -223,14 +223,22 @@ def test_timeline_with_gaps(calendar, spark):
 
 
 def test_a_season_is_counted_alike_both_ways(fact, rows, cells, overpass, calendar):
-    monthly, clear = pressure.hex_monthly(fact, cells, calendar), pressure.clear_matrix(cells, overpass, calendar)
+    monthly, clear = pressure.hex_monthly(fact, cells, calendar), pressure.clear_months(overpass, calendar)
     summer = selection.select_months(selection.month_calendar(calendar), season="JJA")
-    got = {r.cell: tuple(r)[1:] for r in selection.selection_aggregate(monthly, clear, summer).collect()}
+    got = {r.cell: tuple(r)[1:] for r in selection.selection_aggregate(monthly, clear, cells, summer).collect()}
     known = pressure.aggregate_hexes(fact, cells, overpass, calendar).join(cells.select("cell"), "cell", "left_semi")
     assert got == {r.cell: tuple(r)[1:] for r in selection.season_fallback(known, "JJA").collect()}
     ships = tally(rows, lambda r: r[CELL] if r[ON] and r[SHIP] and r[MONTH] in ("2023-06", "2023-07") else None, lambda r: r[LARGE])
-    of_ships = {r.cell: (r.on_meadow, r.large_on_meadow) for r in selection.selection_aggregate(monthly, clear, summer, "ais").collect()}
+    of_ships = {r.cell: (r.on_meadow, r.large_on_meadow) for r in selection.selection_aggregate(monthly, clear, cells, summer, "ais").collect()}
     assert of_ships == {c: ships.get(c, (0, 0)) for c in of_ships} and len(of_ships) == 5
+    older = monthly.select("cell", "month", "n", "large")
+    assert got == {r.cell: tuple(r)[1:] for r in selection.selection_aggregate(older, clear, cells, summer, "ais_st").collect()}
+
+
+def test_points_without_a_class_are_kept_for_every_class(spark):
+    old = spark.createDataFrame([(0, 30.0), (1, 9.0), (1, None)], "m int, length_m double")
+    assert selection.point_filter(old, None, 24.0, boats="ais_st").count() == 3
+    assert selection.point_filter(old, None, 24.0, large=False, boats="ais").count() == 1
 
 
 # ---------------------------------------------------------------------------------------------- publishing, checks
