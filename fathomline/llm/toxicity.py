@@ -113,9 +113,11 @@ _BANG[[33, 63]] = 1
 
 
 class Describer:
-    """Features of texts under one set of term weights. Distinct words are judged once and remembered."""
+    """Features of texts under one set of term weights. Distinct words are judged once and remembered, within a bound that
+    keeps a worker's memory small; most words have nothing to them and share one judgement."""
 
-    REMEMBERED = 1_000_000
+    REMEMBERED = 200_000
+    NOTHING = (0.0, 0.0, 0, 0, 0)
 
     def __init__(self, weights: dict[str, float]):
         self.weights = weights
@@ -127,7 +129,8 @@ class Describer:
         whole, *starts = terms_of(form) or [""]
         w = self.weights.get(whole, 0.0)
         p = max((self.weights.get(s, 0.0) for s in starts), default=0.0)
-        return w, p, int(odd), int(len(word) > 2 and word.isupper()), int(form in SECOND_PERSON)
+        found = (w, p, int(odd), int(len(word) > 2 and word.isupper()), int(form in SECOND_PERSON))
+        return found if any(found) else self.NOTHING
 
     def features(self, texts: pa.Array) -> np.ndarray:
         texts = pc.fill_null(texts.cast(pa.string()), "")
