@@ -80,8 +80,9 @@ def write_monolithic(rows: DataFrame, path: str, records_per_file: int = 20_000)
 def records_of(chunks: Iterable[tuple[str, bytes]]) -> Iterator[tuple[str, dict[str, str], bytes, bytes]]:
     """(file, headers, head, payload) of every record, from the pieces between blank lines of one file after another.
 
-    A payload may hold blank lines itself; its declared length says how many pieces are its own. A record whose length does
-    not come out is an error.
+    A payload may hold blank lines itself; its declared length says how many pieces are its own. One that ends in an odd number
+    of line ends is cut two bytes early, so its record is ended by bytes within a piece, and the rest of that piece is the next
+    record's. A record without its end behind the declared length is an error.
     """
     sep = RECORD_END.encode()
     name, head, need, got = None, None, 0, []
@@ -91,27 +92,32 @@ def records_of(chunks: Iterable[tuple[str, bytes]]) -> Iterator[tuple[str, dict[
             if head is not None:
                 raise ValueError(f"{name} ends within a record")
             name = file
-        if head is None:
-            if not piece:
-                continue  # more blank lines than needed between records
-            if not piece.startswith(b"WARC/"):
-                raise ValueError(f"{name}: no record where one should start")
-            head, got, have = piece, [], 0
-            headers = {}
-            for raw in piece.split(b"\r\n")[1:]:
-                key, _, value = raw.partition(b":")
-                headers[key.decode("utf-8").strip().lower()] = value.decode("utf-8").strip()
-            need = int(headers["content-length"])
-            continue
-        got.append(piece)
-        have += len(piece)
-        if have < need:
-            have += len(sep)
-            continue
-        if have != need:
-            raise ValueError(f"{name}: a record is longer than its declared length")
-        yield name, headers, head, sep.join(got)
-        head = None
+        if head is not None:
+            got.append(piece)
+            have += len(piece)
+            if have < need:
+                have += len(sep)
+                continue
+            data, rest = sep.join(got), b""
+            if have > need:
+                rest = data[need:] if piece else data[need:] + sep  # only the last piece of a file has no separator, and that is not empty
+                if not rest.startswith(sep):
+                    raise ValueError(f"{name}: a record is longer than its declared length")
+                rest = rest[len(sep):]
+            yield name, headers, head, data[:need]
+            head, piece = None, rest
+        while piece.startswith(CRLF.encode()):
+            piece = piece[len(CRLF):]
+        if not piece:
+            continue  # more blank lines than needed between records
+        if not piece.startswith(b"WARC/"):
+            raise ValueError(f"{name}: no record where one should start")
+        head, got, have = piece, [], 0
+        headers = {}
+        for raw in piece.split(b"\r\n")[1:]:
+            key, _, value = raw.partition(b":")
+            headers[key.decode("utf-8").strip().lower()] = value.decode("utf-8").strip()
+        need = int(headers["content-length"])
     if head is not None:
         raise ValueError(f"{name} ends within a record")
 

@@ -46,6 +46,35 @@ def test_broken_archives_are_errors():
             list(warc.records_of(bad))
 
 
+def pieces(stream):
+    """What a reader that cuts at the first match gives: no last piece if nothing is behind the last separator."""
+    out = stream.split(b"\r\n\r\n")
+    return [("f", x) for x in (out if out[-1] else out[:-1])]
+
+
+@pytest.mark.parametrize("extra", ["", "\r\n", "\r\n\r\n", "\r\n" * 3])
+def test_records_are_cut_at_their_declared_length(extra):
+    ends = [start + body + "\r\n" * k for start in ("", "\r\n") for body in ("", "<p>hi</p>", "a\r\n\r\nb\r") for k in range(6)]
+    for payload in ends:
+        for after in ("", "x", "\r\n", "y" + "\r\n" * 3):
+            want = [payload.encode(), after.encode()]
+            stream = b"".join(b"WARC/1.1\r\nContent-Length: %d\r\n\r\n%b\r\n\r\n%b" % (len(x), x, extra.encode()) for x in want)
+            assert [p for *_, p in warc.records_of(pieces(stream))] == want
+    for cut in (b"3\r\n\r\nab\r\n\r\nWARC/1.1", b"1\r\n\r\n\r\n\r\n\r\nWARC/1.1", b"8\r\n\r\nx\r\n\r\nfoo\r\n"):
+        with pytest.raises(ValueError):
+            list(warc.records_of(pieces(b"WARC/1.1\r\nContent-Length: " + cut)))
+
+
+@pytest.mark.parametrize("last", ["<p>hi</p>\r\n", "\r\n" * 3, "<p>hi</p>" + "\r\n" * 3, "<p>hi</p>\r\n\r\n"])
+def test_payloads_may_end_in_any_number_of_line_ends(spark, tmp_path, last):
+    texts = ["<p>hi</p>\r\n", "plain", "<p>hi</p>" + "\r\n" * 3, "\r\n", last]
+    pages = spark.createDataFrame(list(enumerate(texts)), "page_id long, html string").selectExpr("*", "'u' as url")
+    rows = warc.classify(pages).coalesce(1).sortWithinPartitions("id")
+    warc.write_monolithic(rows, str(tmp_path / "in"))
+    read = warc.read_records(warc.normalise(spark, str(tmp_path / "in"), str(tmp_path / "out"))).collect()
+    assert {int(r.record_id[16:-1]): r.payload.decode() for r in read} == dict(enumerate(texts))
+
+
 def test_no_pages(spark):
     none = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.page_records(none).count() == 0
