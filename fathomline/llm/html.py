@@ -11,7 +11,8 @@ marks the text, its blocks are labelled by that, and the page's own paragraphs a
 (plain ``div``, no article element, sidebars, notices, adverts, forms, reader comments) with known labels, so that the
 weights do not hang on one element. Nothing else is sampled: every page is decoded whole.
 
-Text of scripts, styles, the head, hidden templates and form controls is never a block. White space inside a block, line breaks
+Text of scripts, styles, titles, hidden templates and form controls is never a block. The head itself hides nothing, as its end
+tag may be left out; a title or style in it that is not closed ends with it. White space inside a block, line breaks
 among it, becomes one space. Defined cases: a null or empty page has no text; so has one without any article block. Unclosed
 tags, comments and quotes end with the page at the latest. Without a page that marks its article the shipped layouts are filled
 with placeholder words. An empty table gives an empty result.
@@ -38,8 +39,10 @@ TRAIN_BLOCKS = 40
 
 # Elements of the markup language by what they do to text.
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split())
-HIDDEN = frozenset("script style template noscript iframe svg math object canvas head title select textarea button audio video map".split())
+HIDDEN = frozenset("script style template noscript iframe svg math object canvas title select textarea button audio video map".split())
 RAW = frozenset("script style textarea title iframe noscript".split())
+#: elements of another markup language, whose elements a slash may close
+FOREIGN = frozenset("svg math".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: an opening tag ends these open elements, up to the given bounds
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -62,6 +65,7 @@ GROUP_OF = {w: g for g, words in GROUPS.items() for w in words.split()}
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?>[^>\"']+|\"[^\"]*\"|'[^']*')*+)>"
                   r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+_HEAD_END = re.compile(r"(?=</head\b|<body\b)", re.I)
 _ATTR = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORDS = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"([a-z])([A-Z])")
@@ -99,6 +103,8 @@ def leaf_blocks(page: str) -> list[Block]:
     in_link = False
     hidden: str | None = None
     depth = 0
+    foreign = 0
+    in_head = False
     serial = 0
     at = 0
 
@@ -119,6 +125,14 @@ def leaf_blocks(page: str) -> list[Block]:
             if stack[k][0] in bounds:
                 return
 
+    def raw_end(name: str) -> int:
+        """Where the text of a raw element ends: behind its end tag, without one at the end of what holds it."""
+        bound = "" if name == "script" else "svg|math" if foreign else "head" if in_head else ""
+        stop = re.compile(f"</{name}[^>]*>" + (rf"|(?=</(?:{bound})\b)" if bound else ""), re.I).search(page, at)
+        if stop is None and in_head:
+            stop = _HEAD_END.search(page, at)
+        return stop.end() if stop else len(page)
+
     while at < len(page):
         m = _TAG.search(page, at)
         end = m.start() if m else len(page)
@@ -134,18 +148,22 @@ def leaf_blocks(page: str) -> list[Block]:
         if not name:
             continue
         closing = bool(m[1] or m[4])
+        empty = (m[3] or m[6] or "").endswith("/")
+        if name in FOREIGN:
+            foreign = max(0, foreign + (-1 if closing else 0 if empty else 1))
+        elif name == "head" or name in BLOCK and name != "html":
+            in_head = name == "head" and not closing
+        if name in RAW and not closing and not (empty and (foreign or in_head)):  # text up to the end tag, whatever it looks like
+            at = raw_end(name)
         if hidden is not None:
             if name == hidden:
-                depth += -1 if closing else (0 if (m[3] or m[6] or "").endswith("/") else 1)
+                depth += -1 if closing else (0 if empty else 1)
                 if depth == 0:
                     hidden = None
             continue
         if name in HIDDEN:
             if not closing:
-                if name in RAW:  # text up to the end tag, whatever it looks like
-                    stop = re.compile(f"</{name}[^>]*>", re.I).search(page, at)
-                    at = stop.end() if stop else len(page)
-                elif not (m[3] or m[6] or "").endswith("/"):
+                if name not in RAW and not empty:
                     hidden, depth = name, 1
                 parts.append(" ")
             continue

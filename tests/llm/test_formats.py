@@ -152,6 +152,23 @@ def test_only_the_article_is_kept(chain, body):
     assert html.main_text(page(body), chain) == WANT
 
 
+ARTICLE = f"<article><h1>A headline</h1><p>{P1}</p><p>{P2}</p></article>"
+
+
+@pytest.mark.parametrize("top", [
+    "<head><title>x</title><body>", "<head><title>x</title>", "<head><meta charset=utf-8><link rel=x href=y><script>a()</script><style>p{}</style><body>",
+    "<head><script>for(i=0;i<n;i++) // don't\n</script></head><body>", "<head><title>a <b 'c</title><style>/* <i ' */</style><script>x<y</script><body>",
+    "<head><script>document.write('</head><body><p>no</p>')</script></head><body>", "<head><title>x</head><body>", "<head><style>p{}</head><body>",
+    "<head><noscript><style>p{}</style></noscript><title>x<body>", "<head><template><script>if (a<b) '</template>'</script></template><body>",
+    "<head><title/><script src=x /></head><body>", "<body><template><style>a:b<c '</style><p>no</p></template>", "<body><button><script>i<n // don't\n</script></button>",
+    "<body><svg><title/><style/><path d=''/></svg>", "<body><svg><title>x</svg><svg><title>y</title></svg>", "<body><svg><style>p<q '</style></svg>",
+])
+def test_the_head_ends_where_the_body_starts(chain, top):
+    for tail in ("</body></html>", "<p class=footer>don't</p></body></html>", ""):
+        assert "\n".join(b.text for b in html.leaf_blocks(f"<html>{top}{ARTICLE}{tail}")[:3]) == WANT
+    assert html.main_text(f"<html>{top}{ARTICLE}</body></html>", chain) == WANT
+
+
 def test_pages_of_the_table_give_their_article(spark, chain):
     for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").limit(60).collect():
         text = html.main_text(r.html, chain)
