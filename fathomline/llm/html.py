@@ -11,11 +11,11 @@ marks the text, its blocks are labelled by that, and the page's own paragraphs a
 (plain ``div``, no article element, sidebars, notices, adverts, forms, reader comments) with known labels, so that the
 weights do not hang on one element. Nothing else is sampled: every page is decoded whole.
 
-Text of scripts, styles, titles, hidden templates and form controls is never a block. The head itself hides nothing, as its end
-tag may be left out; a title or style in it that is not closed ends with it. White space inside a block, line breaks
-among it, becomes one space. Defined cases: a null or empty page has no text; so has one without any article block. Unclosed
-tags, comments and quotes end with the page at the latest. Without a page that marks its article the shipped layouts are filled
-with placeholder words. An empty table gives an empty result.
+Text of scripts, styles, titles, hidden templates and form controls is never a block; formulas, drawings and the fallback text
+of media are inline text. The head itself hides nothing, as its end tag may be left out; a title or style in it that is not
+closed ends with it. White space inside a block, line breaks among it, becomes one space. Defined cases: a null or empty page
+has no text; so has one without any article block. Unclosed tags, comments and quotes end with the page at the latest. Without a
+page that marks its article the shipped layouts are filled with placeholder words. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -39,8 +39,10 @@ TRAIN_BLOCKS = 40
 
 # Elements of the markup language by what they do to text.
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split())
-HIDDEN = frozenset("script style template noscript iframe svg math object canvas title select textarea button audio video map".split())
+HIDDEN = frozenset("script style template noscript iframe title select textarea button".split())
 RAW = frozenset("script style textarea title iframe noscript".split())
+#: inline elements whose text stands apart from what is around it
+APART = frozenset("br svg canvas audio video text".split())
 #: elements of another markup language, whose elements a slash may close
 FOREIGN = frozenset("svg math".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -167,8 +169,8 @@ def leaf_blocks(page: str) -> list[Block]:
                     hidden, depth = name, 1
                 parts.append(" ")
             continue
-        if name in ("br", "wbr"):
-            parts.append(" " if name == "br" else "")
+        if name in APART:
+            parts.append(" ")
         elif name == "a":
             in_link = not closing
         elif name in BLOCK:

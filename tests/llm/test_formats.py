@@ -169,6 +169,17 @@ def test_the_head_ends_where_the_body_starts(chain, top):
     assert html.main_text(f"<html>{top}{ARTICLE}</body></html>", chain) == WANT
 
 
+@pytest.mark.parametrize("inside, want", [
+    ("(<math><mi>x</mi><mo>=</mo><mn>2</mn></math>)", "(x=2)"), ("<object data=a><param name=b>what it shows</object>", "what it shows"),
+    ("<map name=m><area href=/a>a <a href=/b>map</a></map>", "a map"), ("<svg><title>no</title><style/><text>one</text><text>two</text></svg>", "one two"),
+    ("<canvas>a drawing</canvas>", "a drawing"), ("<audio src=a>to hear</audio>", "to hear"), ("<video><source src=a>to see</video>", "to see"),
+    ("<math><mi>x</mi> and the rest", "x and the rest"), ("<svg><path d=''/><g>", ""), ("<button>no</button><template><p>no</template>", ""),
+])
+def test_inline_elements_keep_their_text(chain, inside, want):
+    text = html.main_text(page(f"<nav><a href=/>Home</a></nav><article><h1>A headline</h1><p>{P1} Where {inside} is small.</p><p>{P2}</p></article>"), chain)
+    assert text == WANT.replace(P1, f"{P1} Where {want + ' ' if want else ''}is small.")
+
+
 def test_pages_of_the_table_give_their_article(spark, chain):
     for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").limit(60).collect():
         text = html.main_text(r.html, chain)
