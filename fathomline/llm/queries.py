@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, embeddings, exact, html, jaccard, mixing, packing, substring, toxicity, warc
+from . import chat, codes, embeddings, exact, html, jaccard, lexical, mixing, packing, substring, toxicity, warc
 from .common import table
 
 _WS = r"[\x20\x09-\x0D]"
@@ -128,11 +128,77 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("item").alias("item_id"), "rank", F.col("doc").alias("doc_id"), "score")
+
+
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+OP12 = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, doc_id, regexp_extract_all({_LOWER}, '{_TERM}') AS terms FROM documents),
+size AS (SELECT k, doc_id, len(terms) AS n FROM d WHERE len(terms) > 0),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS l FROM size),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWER}, '{_TERM}')) AS term FROM benchmark),
+tf AS (
+  SELECT k, term, count(*) AS tf FROM (SELECT k, unnest(terms) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM tf GROUP BY 1), total),
+part AS (
+  SELECT k, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // l))) AS part
+  FROM tf JOIN size USING (k) JOIN w USING (term), total),
+scores AS (SELECT item_id, doc_id, k, CAST(sum(part) AS BIGINT) AS score FROM q JOIN part USING (term) GROUP BY ALL),
+ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+  FROM scores WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 10"""
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = codes.compress(table(spark, sf_dir, "embeddings"))
+    return codes.label_errors(coded).select(F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(codes.digest(books)).alias("codebooks_sha256"))
+
+
+def _op13_sql(rounds: int = 6) -> str:
+    def nearest(n: int) -> str:
+        return f"""far{n} AS MATERIALIZED (
+  SELECT vec_id, p, e, CAST(sum((x - c) * (x - c)) AS BIGINT) AS d FROM x JOIN cb{n} USING (p, j) GROUP BY ALL),
+at{n} AS MATERIALIZED (
+  SELECT vec_id, p, min(d) AS d, arg_min(e, (d, e)) AS e FROM far{n} GROUP BY ALL)"""
+
+    def moved(n: int) -> str:
+        return f"""cb{n + 1} AS MATERIALIZED (
+  SELECT p, e, j, coalesce(m, c) AS c FROM cb{n} LEFT JOIN (
+    SELECT p, e, j, CAST(floor(sum(x)::HUGEINT // count(*) - CASE WHEN sum(x)::HUGEINT % count(*) < 0 THEN 1 ELSE 0 END) AS BIGINT) AS m
+    FROM x JOIN at{n} USING (vec_id, p) GROUP BY ALL) USING (p, e, j))"""
+
+    steps = ",\n".join(f"{nearest(n)},\n{moved(n)}" for n in range(rounds))
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda y: CAST(floor(4096 * CAST(y AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda y: y IS NULL OR NOT isfinite(y))) = 0),
+x AS MATERIALIZED (
+  SELECT vec_id, (i * 8) // n AS p, i % (n // 8) AS j, v[i + 1] AS x FROM (SELECT vec_id, v, len(v) AS n, unnest(range(len(v))) AS i FROM v)),
+cb0 AS MATERIALIZED (
+  SELECT p, e, j, x AS c FROM x JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM v) USING (vec_id) WHERE e < 16),
+{steps},
+{nearest(rounds)},
+coded AS (
+  SELECT vec_id, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM at{rounds} GROUP BY 1),
+books AS (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY p, e, j)) AS codebooks_sha256 FROM cb{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM coded JOIN v USING (vec_id), books"""
+
+
 def quality_weights(labels: DataFrame) -> DataFrame:
     """Quality weights from labels: good 2, poor 0.5; documents without a label weigh 1."""
     return labels.where("quality in (0, 1)").select(F.col("doc_id").alias("id"), F.when(F.col("quality") == 1, 2.0).otherwise(0.5).alias("weight"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op2_exact_dedup, op3_warc_normalise, op4_toxicity, op5_html_extract, op6_ngram_jaccard, op7_chat_format, op8_embedding_dedup, op9_packing, op10_mixing)}
-ORACLE: dict[str, str] = {"op1_substring_dedup": OP1, "op6_ngram_jaccard": OP6, "op2_exact_dedup": OP2, "op3_warc_normalise": OP3, "op8_embedding_dedup": OP8}
+    f.__name__: f for f in (op1_substring_dedup, op2_exact_dedup, op3_warc_normalise, op4_toxicity, op5_html_extract, op6_ngram_jaccard, op7_chat_format, op8_embedding_dedup, op9_packing, op10_mixing,
+                                 op12_ranked_search, op13_vector_codes)}
+ORACLE: dict[str, str] = {"op1_substring_dedup": OP1, "op6_ngram_jaccard": OP6, "op2_exact_dedup": OP2, "op3_warc_normalise": OP3, "op8_embedding_dedup": OP8,
+                          "op12_ranked_search": OP12, "op13_vector_codes": _op13_sql()}
