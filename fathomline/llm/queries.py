@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, codes, embeddings, exact, html, jaccard, lexical, mixing, packing, substring, toxicity, warc
+from . import chat, codes, embeddings, exact, html, jaccard, lexical, mixing, packing, recurrent, substring, toxicity, warc
 from .common import table
 
 _WS = r"[\x20\x09-\x0D]"
@@ -128,6 +128,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recurrent.scores(table(spark, sf_dir, "documents")).withColumnRenamed("doc", "doc_id")
+
+
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(F.col("item").alias("item_id"), "rank", F.col("doc").alias("doc_id"), "score")
@@ -199,6 +203,6 @@ def quality_weights(labels: DataFrame) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_substring_dedup, op2_exact_dedup, op3_warc_normalise, op4_toxicity, op5_html_extract, op6_ngram_jaccard, op7_chat_format, op8_embedding_dedup, op9_packing, op10_mixing,
-                                 op12_ranked_search, op13_vector_codes)}
+                                 op11_lm_scores, op12_ranked_search, op13_vector_codes)}
 ORACLE: dict[str, str] = {"op1_substring_dedup": OP1, "op6_ngram_jaccard": OP6, "op2_exact_dedup": OP2, "op3_warc_normalise": OP3, "op8_embedding_dedup": OP8,
                           "op12_ranked_search": OP12, "op13_vector_codes": _op13_sql()}
