@@ -31,7 +31,7 @@ def test_query_equals_its_sql(spark, name):
 
 def test_every_operator_has_its_query():
     names = entry.queries()
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
 
 
 def test_pipeline_stages_keep_the_columns_and_drop_what_they_should(spark):
