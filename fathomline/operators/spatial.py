@@ -4,14 +4,16 @@ The plane is cut into square bins. For every bin a polygon touches, the index ke
 that bin alone: whether the bin's lower left corner is inside, the heights at which the polygon crosses the bin's left
 side, and the edges in the bin, cut at that side. A point is inside when the number of crossings on the way from the
 corner up the left side and then right to the point, plus the corner's own state, is odd. Long polygons therefore cost no
-more per point than small ones. With a ``reach`` the bins also list all edges within that distance, for buffers and
-nearest-polygon questions.
+more per point than small ones. With a ``reach`` the bins also list all edges within that distance, for buffers.
 
-The index has one row per bin, so a point finds everything in one equi-join and stays one row.
+The index has one row per bin, so a point finds everything in one equi-join and stays one row. A bin that would list more than
+``most`` edges is divided into halves, quarters, ... until no piece does; which bins are divided, and how often, is a table of its own
+that points look up first. Divisions nest: the grid lines of a coarser grid are lines of all finer ones.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -26,6 +28,8 @@ from .joins import lookup_join
 #: shifts of the bin grid in shares of a bin, so that round coordinates and diagonals do not meet bin corners
 SHIFT_X, SHIFT_Y = 0.2718281828, 0.5772156649
 TINY = 1e-6
+#: edges that a bin lists at most, and how often it is halved at most to get there
+MOST, DEEPEST = 512, 10
 
 
 # ------------------------------------------------------------------------------------------------------------- edges
@@ -72,18 +76,23 @@ def planar_edges(edges: DataFrame, keep: Sequence[str] = ("pid",), metric: bool
 # ------------------------------------------------------------------------------------------------------------- index
 @dataclass(frozen=True)
 class PolygonIndex:
-    bins: DataFrame  # _bx, _by, _polys
+    bins: DataFrame  # _lvl, _bx, _by, _polys
     bin_size: float
     reach: float
     small: bool
+    divided: DataFrame | None = None  # _ox, _oy, _lvl: undivided bins that are halved so often
+    divided_small: bool = True
 
-    def key(self, x: Column, y: Column) -> tuple[Column, Column]:
-        b = self.bin_size
-        return F.floor((x - F.lit(SHIFT_X * b)) / F.lit(b)), F.floor((y - F.lit(SHIFT_Y * b)) / F.lit(b))
+    def key(self, x: Column, y: Column, level: Column | None = None) -> tuple[Column, Column]:
+        b, n = F.lit(self.bin_size), F.lit(1.0) if level is None else F.pow(F.lit(2.0), level)
+        sx, sy = F.lit(SHIFT_X * self.bin_size), F.lit(SHIFT_Y * self.bin_size)
+        return F.floor((x - sx) / b * n), F.floor((y - sy) / b * n)
 
-    def low(self, bx: Column, by: Column) -> tuple[Column, Column]:
-        b = self.bin_size
-        return bx * F.lit(b) + F.lit(SHIFT_X * b), by * F.lit(b) + F.lit(SHIFT_Y * b)
+    def size(self, level: Column) -> Column:
+        return F.lit(self.bin_size) / F.pow(F.lit(2.0), level)
+
+    def low(self, bx: Column, by: Column, level: Column) -> tuple[Column, Column]:
+        return bx * self.size(level) + F.lit(SHIFT_X * self.bin_size), by * self.size(level) + F.lit(SHIFT_Y * self.bin_size)
 
 
 def _span(low: Column, high: Column) -> Column:
@@ -100,69 +109,153 @@ def _share_between(start: Column, delta: Column, low: Column, high: Column) -> t
     return at(low, 0.0), at(high, 1.0)
 
 
-def build_index(edges: DataFrame, bin_size: float, reach: float = 0.0, attrs: Sequence[str] = (),
-                limit: int = BROADCAST_ELEMENTS) -> PolygonIndex:
-    """Index planar edges (pid, x1, y1, x2, y2 and per-polygon ``attrs``)."""
-    b, sx, sy = F.lit(bin_size), F.lit(SHIFT_X * bin_size), F.lit(SHIFT_Y * bin_size)
-    ids = ["pid", *attrs]
+class Grid:
+    """The grid that halves bins ``level`` times, and what edges contribute to its bins."""
+
+    def __init__(self, bin_size: float, level: int, reach: float, ids: Sequence[str]):
+        self.whole, self.level, self.reach, self.ids = bin_size, level, reach, list(ids)
+        self.size, self.parts = bin_size / 2**level, 2**level
+        self.b, self.sx, self.sy = F.lit(self.size), F.lit(SHIFT_X * bin_size), F.lit(SHIFT_Y * bin_size)
+
+    def at(self, v: Column, shift: Column) -> Column:
+        return F.floor((v - shift) / self.b)
+
+    def _within(self, low: Column, high: Column, outer: str) -> Column:
+        """Exploded integers low..high, those of one undivided bin only where bins are divided."""
+        if self.level:
+            low = F.greatest(low, F.col(outer) * self.parts)
+            high = F.least(high, F.col(outer) * self.parts + (self.parts - 1))
+        return _span(low, high)
+
+    def placed(self, edges: DataFrame, region: DataFrame | None) -> DataFrame:
+        """One row per edge and bin it comes near; ``region`` (_ox, _oy) names the undivided bins to look into."""
+        x1, y1, x2, y2 = (F.col(c) for c in ("x1", "y1", "x2", "y2"))
+        if region is not None:
+            outer = Grid(self.whole, 0, self.reach, self.ids).placed(edges, None)
+            edges = outer.withColumnsRenamed({"_bx": "_ox", "_by": "_oy"}).join(region, ["_ox", "_oy"])
+        pad = F.lit(self.reach + TINY * self.size)
+        # first the rows of bins, then within a row only the part of the edge that is in it
+        banded = edges.withColumn("_by", self._within(self.at(F.least(y1, y2) - pad, self.sy), self.at(F.greatest(y1, y2) + pad, self.sy), "_oy"))
+        low = F.col("_by") * self.b + self.sy - pad
+        ta, tb = _share_between(y1, y2 - y1, low, low + self.b + 2 * pad)
+        banded = banded.withColumns({"_xa": x1 + ta * (x2 - x1), "_xb": x1 + tb * (x2 - x1)})
+        return banded.withColumn("_bx", self._within(self.at(F.least("_xa", "_xb") - pad, self.sx), self.at(F.greatest("_xa", "_xb") + pad, self.sx),
+                                                     "_ox")).drop("_xa", "_xb")
+
+    def first_bin(self, level: Column) -> Column:
+        """The bin right of where an edge crosses a horizontal line."""
+        x1, y1, x2, y2 = (F.col(c) for c in ("x1", "y1", "x2", "y2"))
+        return F.ceil((x1 + (level - y1) * ((x2 - x1) / F.when(y2 != y1, y2 - y1)) - self.sx) / self.b)
+
+    def pieces(self, edges: DataFrame, region: DataFrame | None) -> DataFrame:
+        """What each edge means for each bin it comes near: side crossed, wall, rim."""
+        b, x1, y1, x2, y2 = self.b, *(F.col(c) for c in ("x1", "y1", "x2", "y2"))
+        dx, dy = x2 - x1, y2 - y1
+        placed = self.placed(edges, region).withColumns({"_x0": F.col("_bx") * b + self.sx, "_y0": F.col("_by") * b + self.sy})
+        x0, y0, tiny = F.col("_x0"), F.col("_y0"), F.lit(TINY * self.size)
+        crosses = (x1 > x0) != (x2 > x0)
+        # whether an edge passes the corner above or below is decided once, by the bin where it crosses the lower grid line
+        left_of_corner = self.first_bin(y0) <= F.col("_bx")
+        above = F.when((y1 > y0) != (y2 > y0), left_of_corner == (dx * dy > 0)).otherwise(F.least(y1, y2) > y0)
+        side_y = y1 + (x0 - x1) * (dy / F.when(dx != 0, dx))
+        placed = placed.withColumn("_above", above).withColumns({
+            "_yc": F.when(crosses, F.when(F.col("_above"), F.greatest(side_y, y0)).otherwise(F.least(side_y, y0))),
+            "_near": (F.least(x1, x2) <= x0 + b + tiny) & (F.greatest(x1, x2) > x0)
+            & (F.least(y1, y2) <= y0 + b + tiny) & (F.greatest(y1, y2) >= y0 - tiny),
+        })
+        yc = F.col("_yc")
+        cut1, cut2 = yc.isNotNull() & (x1 <= x0), yc.isNotNull() & (x2 <= x0)
+        wall = F.struct(
+            F.when(cut1, yc).otherwise(y1).alias("ya"), F.when(cut2, yc).otherwise(y2).alias("yb"),
+            x1.alias("x"), y1.alias("y"), (dx / F.when(dy != 0, dy)).alias("slope"))
+        rim = edge_struct() if self.reach > 0 else F.lit(None).cast("struct<x:double,y:double,dx:double,dy:double,inv:double>")
+        outer = [] if region is None else ["_ox", "_oy"]
+        return placed.select(
+            *self.ids, *outer, "_bx", "_by", F.lit(False).alias("corner"),
+            F.when(F.col("_near") & F.col("_above") & (yc <= y0 + b), yc).alias("side"),
+            F.when(F.col("_near") & (dy != 0), wall).alias("wall"), rim.alias("rim"))
+
+    def corners(self, edges: DataFrame, region: DataFrame | None) -> DataFrame:
+        """Bins whose corner is inside: along each grid line, those between an odd and the next crossing."""
+        y1, y2 = F.col("y1"), F.col("y2")
+        edges = edges.where(y1 != y2)
+        low, high = self.at(F.least(y1, y2), self.sy), self.at(F.greatest(y1, y2), self.sy) + 1
+        if region is not None:
+            rows = edges.withColumn("_oy", _span(F.floor(low / self.parts), F.floor(high / self.parts)))
+            edges = rows.join(region.select("_oy").distinct(), "_oy")
+        on_line = edges.withColumn("_by", self._within(low, high, "_oy"))
+        line = F.col("_by") * self.b + self.sy
+        on_line = on_line.where((y1 > line) != (y2 > line)).withColumn("_from", self.first_bin(line))
+        w = W.partitionBy(*self.ids, "_by").orderBy("_from")
+        runs = on_line.groupBy(*self.ids, "_by", "_from").agg(F.count(F.lit(1)).alias("_n")).select(
+            *self.ids, "_by", "_from", F.sum("_n").over(w).alias("_total"), (F.lead("_from").over(w) - 1).alias("_to"))
+        runs = runs.where(F.col("_total") % 2 == 1)
+        if region is not None:
+            outer = runs.withColumns({"_oy": F.floor(F.col("_by") / self.parts)}).withColumn(
+                "_ox", _span(F.floor(F.col("_from") / self.parts), F.floor(F.col("_to") / self.parts)))
+            runs = outer.join(region, ["_ox", "_oy"])
+        return runs.select(*self.ids, self._within(F.col("_from"), F.col("_to"), "_ox").alias("_bx"), "_by").withColumn("corner", F.lit(True))
+
+
+def edge_struct(*attrs: str) -> Column:
+    """An edge as its start, its extent and one over its squared length, for distances."""
     x1, y1, x2, y2 = (F.col(c) for c in ("x1", "y1", "x2", "y2"))
     dx, dy = x2 - x1, y2 - y1
-    pad = F.lit(reach + TINY * bin_size)
-    edges = edges.select(*ids, "x1", "y1", "x2", "y2")
-
-    # bins an edge comes near: first the rows of bins, then within a row only the part of the edge that is in it
-    at = lambda v, shift: F.floor((v - shift) / b)
-    banded = edges.withColumn("_by", _span(at(F.least(y1, y2) - pad, sy), at(F.greatest(y1, y2) + pad, sy)))
-    low = F.col("_by") * b + sy - pad
-    ta, tb = _share_between(y1, dy, low, low + b + 2 * pad)
-    banded = banded.withColumns({"_xa": x1 + ta * dx, "_xb": x1 + tb * dx})
-    placed = banded.withColumn("_bx", _span(at(F.least("_xa", "_xb") - pad, sx), at(F.greatest("_xa", "_xb") + pad, sx)))
-
-    placed = placed.withColumns({"_x0": F.col("_bx") * b + sx, "_y0": F.col("_by") * b + sy})
-    x0, y0, tiny = F.col("_x0"), F.col("_y0"), F.lit(TINY * bin_size)
-    crosses = (x1 > x0) != (x2 > x0)
-    # whether an edge passes the corner above or below is decided once, by the bin where it crosses the lower grid line
-    first_bin = lambda level: F.ceil((x1 + (level - y1) * (dx / F.when(dy != 0, dy)) - sx) / b)
-    left_of_corner = first_bin(y0) <= F.col("_bx")
-    above = F.when((y1 > y0) != (y2 > y0), left_of_corner == (dx * dy > 0)).otherwise(F.least(y1, y2) > y0)
-    side_y = y1 + (x0 - x1) * (dy / F.when(dx != 0, dx))
-    placed = placed.withColumn("_above", above).withColumns({
-        "_yc": F.when(crosses, F.when(F.col("_above"), F.greatest(side_y, y0)).otherwise(F.least(side_y, y0))),
-        "_near": (F.least(x1, x2) <= x0 + b + tiny) & (F.greatest(x1, x2) > x0)
-        & (F.least(y1, y2) <= y0 + b + tiny) & (F.greatest(y1, y2) >= y0 - tiny),
-    })
-    yc = F.col("_yc")
-    cut1, cut2 = yc.isNotNull() & (x1 <= x0), yc.isNotNull() & (x2 <= x0)
-    wall = F.struct(
-        F.when(cut1, yc).otherwise(y1).alias("ya"), F.when(cut2, yc).otherwise(y2).alias("yb"),
-        x1.alias("x"), y1.alias("y"), (dx / F.when(dy != 0, dy)).alias("slope"))
     length2 = dx * dx + dy * dy
-    rim = F.struct(x1.alias("x"), y1.alias("y"), dx.alias("dx"), dy.alias("dy"),
-                   F.coalesce(1 / F.when(length2 > 0, length2), F.lit(0.0)).alias("inv"))
-    pieces = placed.select(
-        *ids, "_bx", "_by", F.lit(False).alias("corner"),
-        F.when(F.col("_near") & F.col("_above") & (yc <= y0 + b), yc).alias("side"),
-        F.when(F.col("_near") & (dy != 0), wall).alias("wall"),
-        (rim if reach > 0 else F.lit(None).cast("struct<x:double,y:double,dx:double,dy:double,inv:double>")).alias("rim"))
-
-    # corners: along each grid line, bins between an odd and the next crossing have their corner inside
-    on_line = edges.where(y1 != y2).withColumn("_by", _span(at(F.least(y1, y2), sy), at(F.greatest(y1, y2), sy) + 1))
-    line = F.col("_by") * b + sy
-    on_line = on_line.where((y1 > line) != (y2 > line)).withColumn("_from", first_bin(line))
-    w = W.partitionBy(*ids, "_by").orderBy("_from")
-    runs = on_line.groupBy(*ids, "_by", "_from").agg(F.count(F.lit(1)).alias("_n")).select(
-        *ids, "_by", "_from", F.sum("_n").over(w).alias("_total"), (F.lead("_from").over(w) - 1).alias("_to"))
-    corners = runs.where(F.col("_total") % 2 == 1).select(*ids, _span(F.col("_from"), F.col("_to")).alias("_bx"), "_by")
-
-    rows = pieces.unionByName(corners.withColumn("corner", F.lit(True)), allowMissingColumns=True)
-    per_polygon = rows.groupBy(*ids, "_bx", "_by").agg(
+    return F.struct(x1.alias("x"), y1.alias("y"), dx.alias("dx"), dy.alias("dy"),
+                    F.coalesce(1 / F.when(length2 > 0, length2), F.lit(0.0)).alias("inv"), *attrs)
+
+
+def build_index(edges: DataFrame, bin_size: float, reach: float = 0.0, attrs: Sequence[str] = (),
+                limit: int = BROADCAST_ELEMENTS, most: int = MOST, deepest: int = DEEPEST) -> PolygonIndex:
+    """Index planar edges (pid, x1, y1, x2, y2 and per-polygon ``attrs``).
+
+    Bins are halved no further than to the size of ``reach``: below that, each would list its neighbours' edges again.
+    """
+    ids = ["pid", *attrs]
+    edges = edges.select(*ids, "x1", "y1", "x2", "y2")
+    grid = Grid(bin_size, 0, reach, ids)
+    pieces = cut_lineage(grid.pieces(edges, None), "pieces")
+    per_bin = lambda p, *keys: p.groupBy(*keys, "_bx", "_by").agg(F.count(F.lit(1)).alias("_n"))
+    # at most one row per ``most`` edges
+    dense = cut_lineage(per_bin(pieces).where(F.col("_n") > most).select(F.col("_bx").alias("_ox"), F.col("_by").alias("_oy")), "dense")
+    divided, parts = None, []
+    corners = grid.corners(edges, None)
+    level = 0
+    if reach > 0:
+        deepest = min(deepest, max(0, int(math.log2(bin_size / reach)) if bin_size > reach else 0))
+    if deepest and not dense.isEmpty():
+        here = dense.withColumnsRenamed({"_ox": "_bx", "_oy": "_by"})
+        pieces, corners = (d.join(here, ["_bx", "_by"], "left_anti") for d in (pieces, corners))
+        edges = cut_lineage(edges, "edges")
+    parts.append((0, pieces, corners))
+    while level < deepest and not dense.isEmpty():
+        level += 1
+        finer = Grid(bin_size, level, reach, ids)
+        pieces = cut_lineage(finer.pieces(edges, dense), "pieces")
+        fullest = per_bin(pieces, "_ox", "_oy").groupBy("_ox", "_oy").agg(F.max("_n").alias("_n"))
+        judged = cut_lineage(fullest.withColumn("_done", (F.col("_n") <= most) | F.lit(level == deepest)), "judged")
+        settled, dense = (judged.where(F.col("_done") == done).select("_ox", "_oy") for done in (True, False))
+        parts.append((level, pieces.join(settled, ["_ox", "_oy"], "left_semi").drop("_ox", "_oy"), finer.corners(edges, settled)))
+        rows = settled.withColumn("_lvl", F.lit(level))
+        divided = rows if divided is None else divided.unionByName(rows)
+
+    rows = None
+    for lvl, p, c in parts:
+        both = p.unionByName(c, allowMissingColumns=True).withColumn("_lvl", F.lit(lvl))
+        rows = both if rows is None else rows.unionByName(both)
+    per_polygon = rows.groupBy(*ids, "_lvl", "_bx", "_by").agg(
         F.max("corner").alias("corner"), F.collect_list("side").alias("sides"),
         F.collect_list("wall").alias("walls"), F.collect_list("rim").alias("rim"))
     used = F.col("corner") | (F.size("sides") > 0) | (F.size("walls") > 0) | (F.size("rim") > 0)
-    bins = cut_lineage(per_polygon.where(used).groupBy("_bx", "_by").agg(
+    bins = cut_lineage(per_polygon.where(used).groupBy("_lvl", "_bx", "_by").agg(
         F.collect_list(F.struct(*ids, "corner", "sides", "walls", "rim")).alias("_polys")))
     weight = F.aggregate("_polys", F.lit(0), lambda n, p: n + F.size(p.sides) + F.size(p.walls) + F.size(p.rim) + 1)
-    return PolygonIndex(bins, bin_size, reach, elements(bins, weight) <= limit)
+    small = elements(bins, weight) <= limit
+    if divided is None:
+        return PolygonIndex(bins, bin_size, reach, small)
+    divided = cut_lineage(divided, "divided")
+    return PolygonIndex(bins, bin_size, reach, small, divided, elements(divided) <= limit)
 
 
 # ------------------------------------------------------------------------------------------------------ point queries
@@ -199,14 +292,18 @@ def lookup(points: DataFrame, index: PolygonIndex, x: Column, y: Column, name: s
 
     Points for which ``only`` is false are not looked up.
     """
-    kx, ky = index.key(F.col("_px"), F.col("_py"))
-    p = points.withColumns({"_px": x, "_py": y})
-    if only is not None:
-        kx, ky = F.when(only, kx), F.when(only, ky)
-    p = p.withColumns({"_bx": kx, "_by": ky})
-    joined = lookup_join(p, index.bins, ["_bx", "_by"], index.small)
-    return joined.withColumn(name, value(F.col("_polys"), F.col("_px"), F.col("_py"))).drop(
-        "_polys", "_px", "_py", "_bx", "_by")
+    asked = F.lit(True) if only is None else only
+    p = points.withColumns({"_px": x, "_py": y, "_asked": asked, "_lvl": F.lit(0)})
+    px, py = F.col("_px"), F.col("_py")
+    when = lambda c: F.when(F.col("_asked"), c)
+    if index.divided is not None:
+        ox, oy = index.key(px, py)
+        p = lookup_join(p.drop("_lvl").withColumns({"_ox": when(ox), "_oy": when(oy)}), index.divided, ["_ox", "_oy"], index.divided_small)
+        p = p.withColumn("_lvl", F.coalesce("_lvl", F.lit(0))).drop("_ox", "_oy")
+    kx, ky = index.key(px, py, F.col("_lvl") if index.divided is not None else None)
+    p = p.withColumns({"_bx": when(kx), "_by": when(ky)})
+    joined = lookup_join(p, index.bins, ["_lvl", "_bx", "_by"], index.small)
+    return joined.withColumn(name, value(F.col("_polys"), px, py)).drop("_polys", "_px", "_py", "_bx", "_by", "_lvl", "_asked")
 
 
 def points_in_polygons(points: DataFrame, index: PolygonIndex | None, x: Column, y: Column, buffer_m: float = 0.0,
@@ -223,8 +320,8 @@ def points_in_polygons(points: DataFrame, index: PolygonIndex | None, x: Column,
 # ------------------------------------------------------------------------------------------------------------- cells
 def _lattice(index: PolygonIndex, step_x: Column, step_y: Column, shift_x: Callable[[Column], Column]) -> DataFrame:
     """Lattice points of every bin: rows j at j * step_y, columns i at i * step_x + shift_x(j). Each lies in one bin."""
-    x0, y0 = index.low(F.col("_bx"), F.col("_by"))
-    size = F.lit(index.bin_size)
+    x0, y0 = index.low(F.col("_bx"), F.col("_by"), F.col("_lvl"))
+    size = index.size(F.col("_lvl"))
     rows = index.bins.withColumn("_j", _span(F.ceil(y0 / step_y), F.ceil((y0 + size) / step_y) - 1))
     off = shift_x(F.col("_j"))
     return rows.withColumn("_i", _span(F.ceil((x0 - off) / step_x), F.ceil((x0 + size - off) / step_x) - 1)).withColumns({
@@ -263,7 +360,8 @@ def cells_near_edges(edges: DataFrame, buffer_m: float, side: float = geo.CELL_S
     at = lambda x: x / F.lit(width) - F.col("r") / 2
     near = rows.withColumn("q", _span(F.ceil(at(F.least(xa, xb) - reach)), F.floor(at(F.greatest(xa, xb) + reach))))
     cx, cy = geo.axial_centre(F.col("q"), F.col("r"), side)
-    near = near.withColumns({"cx": cx, "cy": cy})
+    # most of the grid's candidates are farther than any point of the hexagon can be
+    near = near.withColumns({"cx": cx, "cy": cy}).where(_point_to_segment2(F.col("cx"), F.col("cy"), x1, y1, x2, y2) <= (reach * (1 + TINY)) ** 2)
 
     corners = geo.corner_offsets(side)
     sides = F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip((*corners[i], *corners[(i + 1) % 6]), ("ax", "ay", "bx", "by"))])

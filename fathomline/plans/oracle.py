@@ -143,17 +143,23 @@ T = "greatest(0e0, least(1e0, ((px - x1)*(x2 - x1) + (py - y1)*(y2 - y1))/nullif
 DIST2 = f"(pow(px - x1 - {T}*(x2 - x1), 2) + pow(py - y1 - {T}*(y2 - y1), 2))"
 
 
-def hits(source: str, key: str, edge: str, box: str, reach: float, x: str = "x", y: str = "y") -> str:
-    """(key, pid, odd, d2) for points of ``source`` near a polygon's box."""
-    r = num(reach)
+def hits(source: str, key: str, edge: str, box: str, reach: float, x: str = "x", y: str = "y", tile: float = 0.0) -> str:
+    """(key, pid, odd, d2) for points of ``source`` near a polygon's box; with ``tile`` they meet by the square tiles of that side."""
+    r, t = num(reach), num(tile or 1)
+    near = f"s.{x} BETWEEN g.xa - {r} AND g.xb + {r} AND s.{y} BETWEEN g.ya - {r} AND g.yb + {r}"
+    pairs = f"SELECT s.{key}, s.{x} AS px, s.{y} AS py, g.pid FROM {source} s JOIN {box} g ON {near}"
+    if tile:
+        at = lambda v: f"CAST(floor(({v})/{t}) AS BIGINT)"
+        tiles = f"""(SELECT *, unnest(range({at(f'ya - {r}')}, {at(f'yb + {r}')} + 1)) AS ty FROM (
+          SELECT *, unnest(range({at(f'xa - {r}')}, {at(f'xb + {r}')} + 1)) AS tx FROM {box}))"""
+        pairs = f"""SELECT s.{key}, s.{x} AS px, s.{y} AS py, g.pid FROM (SELECT *, {at(x)} AS tx, {at(y)} AS ty FROM {source}) s
+          JOIN {tiles} g ON s.tx = g.tx AND s.ty = g.ty WHERE {near}"""
     return f"""SELECT {key}, pid, count(*) FILTER (WHERE {CROSSES}) % 2 = 1 AS odd, min({DIST2}) AS d2
-      FROM (SELECT s.{key}, s.{x} AS px, s.{y} AS py, g.pid FROM {source} s JOIN {box} g
-            ON s.{x} BETWEEN g.xa - {r} AND g.xb + {r} AND s.{y} BETWEEN g.ya - {r} AND g.yb + {r})
-      JOIN {edge} USING (pid) GROUP BY {key}, pid"""
+      FROM ({pairs}) JOIN {edge} USING (pid) GROUP BY {key}, pid"""
 
 
-cte("meadow_hit", hits("anch", "rid", "meadow_edge", "meadow_box", 20.0))
-cte("det_hit", hits("det_xy", "rid", "meadow_edge", "meadow_box", 20.0))
+cte("meadow_hit", hits("anch", "rid", "meadow_edge", "meadow_box", 20.0, tile=2000.0))
+cte("det_hit", hits("det_xy", "rid", "meadow_edge", "meadow_box", 20.0, tile=2000.0))
 
 # ---------------------------------------------------------------------------------------------------------------- zones
 PRIORITY = "CASE pol_type WHEN '200NM' THEN 0 WHEN 'Joint regime' THEN 1 WHEN 'Overlapping claim' THEN 2 ELSE 3 END"

@@ -57,14 +57,15 @@ def shapes():
     return polys
 
 
-@pytest.mark.parametrize("bin_size", [1.7, 7.0, 400.0])
-def test_points_in_polygons_and_buffer_match_brute_force(spark, shapes, bin_size):
+@pytest.mark.parametrize("bin_size, most", [(1.7, 512), (40.0, 12), (400.0, 25)])
+def test_points_in_polygons_and_buffer_match_brute_force(spark, shapes, bin_size, most):
     rng = np.random.default_rng(11)
     pts = [(i, float(x), float(y)) for i, (x, y) in enumerate(rng.uniform(-30, 130, (1200, 2)))]
     # on grid lines of the shapes and along their corners' heights
     pts += [(2000 + i, float(x), float(r[0][1])) for i, (r, x) in enumerate(zip((p[0] for p in shapes.values()), rng.uniform(-30, 130, 28)))]
     df = spark.createDataFrame(pts, "id int, x double, y double")
-    index = spatial.build_index(frame(spark, shapes), bin_size, reach=2.5)
+    index = spatial.build_index(frame(spark, shapes), bin_size, reach=2.5, most=most)
+    assert (index.divided is not None) == (most < 512)
     out = spatial.points_in_polygons(df, index, F.col("x"), F.col("y"), 0.0, "hit")
     out = spatial.points_in_polygons(out, index, F.col("x"), F.col("y"), 2.5, "grown")
     got = {r.id: (r.hit, r.grown) for r in out.collect()}
@@ -75,6 +76,35 @@ def test_points_in_polygons_and_buffer_match_brute_force(spark, shapes, bin_size
         assert got[i] == (hit, grown), (i, x, y)
 
 
+def listed(index):
+    return index.bins.select("_lvl", F.aggregate("_polys", F.lit(0), lambda n, g: F.greatest(
+        F.size(g.sides), F.lit(0)) + F.greatest(F.size(g.walls), F.size(g.rim)) + n).alias("n")).groupBy("_lvl").agg(F.max("n").alias("n"))
+
+
+def test_bins_of_a_dense_outline_are_divided_until_they_are_small(spark):
+    # an outline of 200,000 edges, most of them within one bin, whose centre lies in a corner of the grid
+    n, bin_size = 200_000, 1000.0
+    a, size = 2 * math.pi * F.col("id") / n, 400.0
+    wave = lambda t: size * (1 + 0.3 * F.sin(t * 40))
+    b = 2 * math.pi * (F.col("id") + 1) / n
+    edges = spark.range(n).select(F.lit(1).alias("pid"), (wave(a) * F.cos(a)).alias("x1"), (wave(a) * F.sin(a)).alias("y1"),
+                                  (wave(b) * F.cos(b)).alias("x2"), (wave(b) * F.sin(b)).alias("y2"))
+    index = spatial.build_index(edges, bin_size, most=500)
+    assert max(r.n for r in listed(index).collect()) <= 500 and len({r[0] for r in index.bins.select("_lvl").distinct().collect()}) > 1
+    rng = np.random.default_rng(3)
+    pts = [(float(x), float(y)) for x, y in rng.uniform(-600, 600, (3000, 2))]
+    out = spatial.points_in_polygons(spark.createDataFrame(pts, "x double, y double"), index, F.col("x"), F.col("y"), 0.0, "hit")
+    # a lookup is one join with the divided bins and one with the bins; points stay one row each
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 2 and "Generate" not in plan and "Exchange hash" not in plan
+    rows = out.collect()
+    assert len(rows) == len(pts) and sum(r.hit for r in rows) > 500
+    for r in rows:
+        edge = 400 * (1 + 0.3 * math.sin(math.atan2(r.y, r.x) * 40))
+        if abs(math.hypot(r.x, r.y) - edge) > 0.1:
+            assert r.hit == (math.hypot(r.x, r.y) < edge)
+
+
 def test_edges_through_bin_corners(spark):
     # edges of slope 1, -1 and 2 that run exactly through corners of the bin grid
     b = 8.0
@@ -83,7 +113,7 @@ def test_edges_through_bin_corners(spark):
     rng = np.random.default_rng(2)
     for pid, rings in shapes.items():
         pts = [(float(x), float(y)) for x, y in rng.uniform((cx - 6 * b, cy - 10 * b), (cx + 6 * b, cy + 10 * b), (500, 2))]
-        index = spatial.build_index(frame(spark, {pid: rings}), b)
+        index = spatial.build_index(frame(spark, {pid: rings}), b * (4 if pid % 2 else 1), most=1 if pid % 2 else 512, deepest=3)
         out = spatial.points_in_polygons(spark.createDataFrame(pts, "x double, y double"), index, F.col("x"), F.col("y"), 0.0, "hit")
         assert all(r.hit == odd(rings, r.x, r.y) for r in out.collect())
 
@@ -103,6 +133,36 @@ def test_nearest_distance_matches_brute_force(spark, shapes):
             assert got[i] is None or got[i] > 10
 
 
+def test_nearest_zone_matches_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(country, "MOST", 5)
+    rng = np.random.default_rng(9)
+    zones = {i: [star(rng, rng.uniform(0, 60), rng.uniform(0, 60), rng.uniform(2, 9), 30)] for i in range(9)}
+    attrs = {i: (int(i % 3), f"Z{i}") for i in zones}
+    edges = frame(spark, zones).join(spark.createDataFrame([(i, *a) for i, a in attrs.items()], "pid int, priority int, iso3 string"), "pid")
+    names, limit = ["priority", "iso3"], 20.0
+    index = country.ZoneIndex(None, spatial.build_index(edges, 20.0, attrs=names, most=20), country.bin_outlines(edges, limit / 4, names, most=5))
+    assert index.outlines.bins.groupBy("_bx", "_by").count().where("count > 1").count() > 0  # crowded bins are several rows
+    pts = [(float(x), float(y)) for x, y in rng.uniform(-40, 100, (500, 2))]
+    places = spark.createDataFrame(pts, "x double, y double")
+    got = {(r.x, r.y): r.iso3 for r in country.nearest_zone(places, index, limit).collect()}
+    for x, y in pts:
+        ranked = sorted((0.0 if odd(r, x, y) else round(dist(r, x, y), 6), *attrs[i]) for i, r in zones.items())
+        if abs(ranked[0][0] - limit) > 1e-5:
+            assert got.get((x, y)) == (ranked[0][2] if ranked[0][0] <= limit else None), (x, y)
+    assert 50 < len(got) < 450
+
+
+def test_bins_of_outlines_list_only_edges_that_run_through_them(spark, shapes):
+    bins = country.bin_outlines(frame(spark, shapes).withColumn("iso3", F.lit("A")), 7.0, ["iso3"]).bins
+    b, sx, sy = 7.0, spatial.SHIFT_X * 7.0, spatial.SHIFT_Y * 7.0
+    for r in bins.select("_bx", "_by", F.explode("_edges").alias("e")).collect():
+        x0, y0, e = r._bx * b + sx, r._by * b + sy, r.e
+        t = np.linspace(0, 1, 4001)
+        x, y = e.x + t * e.dx, e.y + t * e.dy
+        tiny = 0.02 * b
+        assert ((x >= x0 - tiny) & (x <= x0 + b + tiny) & (y >= y0 - tiny) & (y <= y0 + b + tiny)).any()
+
+
 def test_no_polygons_and_a_buffer_beyond_the_reach(spark, shapes):
     df = spark.createDataFrame([(1.0, 1.0)], "x double, y double")
     assert spatial.points_in_polygons(df, None, F.col("x"), F.col("y")).first().on_meadow is False
