@@ -115,13 +115,14 @@ def check_points(points: DataFrame, calendar: DataFrame, p: Params) -> DataFrame
 
 
 def check_polygons(layer: DataFrame) -> DataFrame:
-    """``layer``: id, type, rings."""
-    if set(layer.columns) != {"id", "type", "rings"}:
+    """``layer``: id, type, rings, parts."""
+    if set(layer.columns) != {"id", "type", "rings", "parts"}:
         raise ContractError(f"polygon layer columns {sorted(layer.columns)}")
     ring = lambda r: (F.size(r) >= 4) & (r[0] == F.element_at(r, -1))
     return violations(layer, "polygons", {
         "polygonal": breaks(F.col("type").isin("Polygon", "MultiPolygon")),
         "id present": breaks(F.col("id").isNotNull()),
+        "type by parts": breaks((F.size(F.array_distinct("parts")) > 1) == (F.col("type") == "MultiPolygon")),
         "ids unique": F.count(F.lit(1)) - F.countDistinct("id"),
         "rings closed": breaks(F.forall("rings", ring)),
     })

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..config import Params
-from ..functions import geo
+from ..functions import geo, outlines
 from ..functions.scalars import ais_class, floor_nd, num, step_round
+from ..runtime import cut_lineage, ship
+from ..sources.files import feature_text
 from .pressure import country_series
 from .ranking import country_order, points_most_recent, with_month_index
 from .spatial import polygon_edges
@@ -117,13 +119,59 @@ def closed_vertices(polygons: DataFrame) -> DataFrame:
 
 
 def polygon_display_layer(polygons: DataFrame, tolerance_m: float, decimals: int = 5) -> DataFrame:
-    """Thinned polygons: id, type and rings of (lon, lat) on a 10^-decimals degree grid."""
+    """Thinned polygons: id, type, rings of (lon, lat) on a 10^-decimals degree grid, and the part of each ring."""
     lon, lat = geo.to_lonlat(F.col("x"), F.col("y"))
     v = display_vertices(polygons, tolerance_m).select(
         "pid", "ring", "k", F.bround(lon, decimals).alias("lon"), F.bround(lat, decimals).alias("lat"))
     drop_k = lambda a: F.transform(a, lambda s: F.struct(s.lon.alias("lon"), s.lat.alias("lat")))
     rings = v.groupBy("pid", "ring").agg(F.array_sort(F.collect_list(F.struct("k", "lon", "lat"))).alias("vs"))
     parts = rings.groupBy("pid").agg(F.array_sort(F.collect_list(F.struct("ring", drop_k(F.col("vs")).alias("vs")))).alias("rs"))
-    return parts.select(F.col("pid").alias("id"), F.lit("Polygon").alias("type"), F.transform("rs", lambda r: r.vs).alias("rings"))
+    layer = parts.select(F.col("pid").alias("id"), F.transform("rs", lambda r: r.vs).alias("rings"), F.transform("rs", lambda r: r.ring).alias("_ring"))
+    if "parts" in polygons.columns:
+        own = polygons.select(F.col("pid").alias("id"), F.col("parts").alias("_of"))
+        layer = layer.join(own, "id").withColumn("parts", F.transform("_ring", lambda i: F.get("_of", i)))
+    else:
+        layer = layer.withColumn("parts", F.transform("_ring", lambda i: F.lit(0)))
+    return layer.select("id", layer_type().alias("type"), "rings", "parts")
 
 
+def layer_type() -> Column:
+    return F.when(F.size(F.array_distinct("parts")) > 1, F.lit("MultiPolygon")).otherwise(F.lit("Polygon"))
+
+
+#: bytes that a published layer stays below, how much coarser each attempt is, and how many there are
+TARGET_BYTES, COARSER, ATTEMPTS = 10_000_000, 1.6, 8
+
+
+def sized_layer(polygons: DataFrame, tolerance_m: float, target_bytes: int = TARGET_BYTES, decimals: int = 5) -> tuple[DataFrame, float]:
+    """Simplified polygons (id, type, rings, parts) whose GeoJSON is below ``target_bytes``, and the tolerance that took.
+
+    Each attempt simplifies the polygons' own outlines, writes the layer and measures its features; the tolerance grows until the sum
+    is below the target, or the attempts are used up: then the coarsest layer stands. No polygon is lost at any tolerance.
+    """
+    ship(polygons.sparkSession)
+    to_plane = lambda v: F.struct(*(c.alias(n) for c, n in zip(geo.to_metric(v.lon, v.lat), ("x", "y"))))
+    parts = F.col("parts") if "parts" in polygons.columns else F.transform("rings", lambda r: F.lit(0))
+    plane = polygons.select(F.col("pid").alias("id"), parts.alias("parts"), F.transform("rings", lambda r: F.transform(r, to_plane)).alias("rings"))
+    lon, lat = (lambda v: geo.to_lonlat(v.x, v.y)[0]), (lambda v: geo.to_lonlat(v.x, v.y)[1])
+    for attempt in range(ATTEMPTS):
+        thin = plane.mapInArrow(outlines.simplifier(tolerance_m), plane.schema)
+        rounded = F.transform("rings", lambda r: rounded_ring(r, lon, lat, decimals))
+        layer = cut_lineage(thin.select("id", layer_type().alias("type"), rounded.alias("rings"), "parts"), "layer")
+        size = layer.agg(F.sum(F.octet_length(feature_text(layer)) + 1)).first()[0] or 0
+        if size < target_bytes or attempt == ATTEMPTS - 1:
+            return layer, tolerance_m
+        tolerance_m *= COARSER
+    raise AssertionError("unreachable")
+
+
+def rounded_ring(ring: Column, lon, lat, decimals: int) -> Column:
+    """Vertices on a 10^-decimals degree grid without consecutive repeats; a ring too small for that grid gets a finer one."""
+    def at(d: int) -> Column:
+        vs = F.transform(ring, lambda v: F.struct(F.bround(lon(v), d).alias("lon"), F.bround(lat(v), d).alias("lat")))
+        after = F.concat(F.slice(vs, 2, F.size(ring) - 1), F.array(F.lit(None).cast("struct<lon:double,lat:double>")))
+        # the last of equal neighbours stays, the closing vertex among them
+        return F.transform(F.filter(F.arrays_zip(vs.alias("v"), after.alias("w")), lambda p: ~p.v.eqNullSafe(p.w)), lambda p: p.v)
+
+    coarse = at(decimals)
+    return F.when(F.size(coarse) >= 4, coarse).otherwise(at(decimals + 4))

@@ -41,9 +41,19 @@ def ring_vertices(polygons: DataFrame, keep: Sequence[str] = ("pid",)) -> DataFr
 
 
 def polygon_edges(polygons: DataFrame, keep: Sequence[str] = ("pid",)) -> DataFrame:
-    """One row per edge: pid, ring, k, lon1, lat1, lon2, lat2. Rings that do not return to their start are closed."""
-    v = F.col("vertices")
-    rings = polygons.select(*keep, F.posexplode("rings").alias("ring", "vertices")).where(F.size(v) >= 3)
+    """One row per edge: pid, ring, k, lon1, lat1, lon2, lat2. Rings that do not return to their start are closed.
+
+    Polygons of several parts have a column ``parts``, the part each ring belongs to; their edges carry it as ``part``. Within a
+    part, crossings of outer ring and holes cancel; parts are added up as a union.
+    """
+    v, part = F.col("vertices"), []
+    if "parts" in polygons.columns:
+        part = ["part"]
+        polygons = polygons.withColumn("rings", F.arrays_zip(F.col("rings").alias("vertices"), F.col("parts").alias("part")))
+        rings = polygons.select(*keep, F.posexplode("rings").alias("ring", "_r")).select(*keep, "ring", "_r.part", "_r.vertices")
+    else:
+        rings = polygons.select(*keep, F.posexplode("rings").alias("ring", "vertices"))
+    keep, rings = [*keep, *part], rings.where(F.size(v) >= 3)
     closed = F.when(v[0] == F.element_at(v, -1), v).otherwise(F.concat(v, F.slice(v, 1, 1)))
     n = F.size("vertices") - 1
     pairs = F.arrays_zip(F.slice("vertices", F.lit(1), n).alias("a"), F.slice("vertices", F.lit(2), n).alias("b"))
@@ -70,6 +80,7 @@ def planar_edges(edges: DataFrame, keep: Sequence[str] = ("pid",), metric: bool
         x2, y2 = geo.to_metric(F.col("lon2"), F.col("lat2"))
     else:
         x1, y1, x2, y2 = (F.col(c) for c in ("lon1", "lat1", "lon2", "lat2"))
+    keep = [*keep, *(["part"] if "part" in edges.columns and "part" not in keep else [])]
     return edges.select(*keep, x1.alias("x1"), y1.alias("y1"), x2.alias("x2"), y2.alias("y2"))
 
 
@@ -208,11 +219,11 @@ def edge_struct(*attrs: str) -> Column:
 
 def build_index(edges: DataFrame, bin_size: float, reach: float = 0.0, attrs: Sequence[str] = (),
                 limit: int = BROADCAST_ELEMENTS, most: int = MOST, deepest: int = DEEPEST) -> PolygonIndex:
-    """Index planar edges (pid, x1, y1, x2, y2 and per-polygon ``attrs``).
+    """Index planar edges (pid, x1, y1, x2, y2, ``part`` of polygons of several, and per-polygon ``attrs``).
 
     Bins are halved no further than to the size of ``reach``: below that, each would list its neighbours' edges again.
     """
-    ids = ["pid", *attrs]
+    ids = ["pid", *(["part"] if "part" in edges.columns else []), *attrs]
     edges = edges.select(*ids, "x1", "y1", "x2", "y2")
     grid = Grid(bin_size, 0, reach, ids)
     pieces = cut_lineage(grid.pieces(edges, None), "pieces")

@@ -68,7 +68,7 @@ class Published:
 
 
 def build(det: DataFrame, overpass: DataFrame, meadows: DataFrame, zones: DataFrame | None, mids: DataFrame, p: Params,
-          tolerance_m: float = 30.0, validate: bool = True) -> Published:
+          tolerance_m: float = 30.0, validate: bool = True, target_bytes: int = publish.TARGET_BYTES) -> Published:
     """``det`` and ``overpass`` are the merged periods; see ``releases.merge_periods``.
 
     The fact table and the cell tables feed several outputs each and are materialised once.
@@ -90,7 +90,7 @@ def build(det: DataFrame, overpass: DataFrame, meadows: DataFrame, zones: DataFr
         countries=publish.publish_countries(fact, calendar, names), hexes=publish.publish_hexes(hexes),
         hex_monthly=rows, clear=clear, points=publish.publish_points(fact, calendar, mids, p),
         hotspots=publish.publish_hotspots(ranking.hotspots(hexes, p.hotspots_n), p),
-        layer=publish.polygon_display_layer(meadows, tolerance_m), summary=pressure.build_summary(totals, hexes))
+        layer=publish.sized_layer(meadows, tolerance_m, target_bytes)[0], summary=pressure.build_summary(totals, hexes))
     if validate:
         series = pressure.country_series(fact, calendar)
         checks.enforce(

@@ -15,6 +15,7 @@ from ..runtime import cut_lineage, scratch_path
 from ..schema import AIS_COUNTERS, COUNTERS, DETECTIONS, OVERPASSES, SEASONS
 from ..sources import files
 from ..streaming import incremental
+from . import bindings as b
 from . import build
 from . import oracle as o
 from .bindings import Tables
@@ -103,32 +104,69 @@ def _(t):
     return files.read_partitions(t.spark, out).select(*KEY, "month")
 
 
-@query("polygons_from_geojson", """SELECT f.pid, f.objectid, r.ring, m.k, m.lon1 AS lon, m.lat1 AS lat FROM (
-    SELECT s_suppkey, objectid, CAST(row_number() OVER (ORDER BY objectid NULLS LAST) - 1 AS INT) AS pid FROM (
-      SELECT s_suppkey, CASE WHEN s_suppkey <> 4 THEN s_suppkey END AS objectid FROM supplier WHERE s_suppkey%6 <> 3 AND s_suppkey%9 <> 0)) f
-    JOIN (SELECT pid, ring AS own, pid // 2 AS s_suppkey, CAST(row_number() OVER (PARTITION BY pid // 2 ORDER BY pid, ring) - 1 AS INT) AS ring
-      FROM (SELECT DISTINCT pid, ring FROM meadow_ring)) r USING (s_suppkey)
-    JOIN meadow_ring m ON m.pid = r.pid AND m.ring = r.own""")
-def _(t):
-    # one feature per supplier: a polygon, a multi-polygon where there are two meadows, every fifth in a geometry collection with
-    # a point, or (every sixth) only a point; every ninth lies outside the study box; one has no id
+def _features(t) -> DataFrame:
+    """One GeoJSON feature per supplier, as polygons: a polygon, a multi-polygon where there are two overlapping meadows, every fifth
+    a geometry collection of a point and the meadows, or (every sixth) only a point; every ninth lies outside the study box; one has no id."""
     rings = t.meadows.selectExpr("pid", "floor(pid/2) as s_suppkey", "transform(rings, r -> transform(r, v -> array(v.lon + case when floor(pid/2)%9 = 0 then 100e0 else 0e0 end, v.lat))) as c")
     parts = rings.groupBy("s_suppkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("pid", "c"))), lambda s: s.c).alias("parts"))
     multi = F.size("parts") > 1
     point = F.lit('{"type":"Point","coordinates":[1.0,40.0]}')
-    own = F.concat(F.lit('{"type":"'), F.when(multi, "MultiPolygon").otherwise("Polygon"), F.lit('","coordinates":'),
-                   F.when(multi, F.to_json("parts")).otherwise(F.to_json(F.col("parts")[0])), F.lit("}"))
+    single = lambda c: F.concat(F.lit('{"type":"Polygon","coordinates":'), F.to_json(c), F.lit("}"))
+    own = F.when(multi, F.concat(F.lit('{"type":"MultiPolygon","coordinates":'), F.to_json("parts"), F.lit("}"))).otherwise(single(F.col("parts")[0]))
+    members = F.when(multi, F.concat(single(F.col("parts")[0]), F.lit(","), single(F.get("parts", F.lit(1))))).otherwise(own)
     shape = F.when(F.expr("s_suppkey%6 = 3"), point).when(
-        F.expr("s_suppkey%5 = 2"), F.concat(F.lit('{"type":"GeometryCollection","geometries":['), point, F.lit(","), own, F.lit("]}"))).otherwise(own)
+        F.expr("s_suppkey%5 = 2"), F.concat(F.lit('{"type":"GeometryCollection","geometries":['), point, F.lit(","), members, F.lit("]}"))).otherwise(own)
     key = F.when(F.expr("s_suppkey = 4"), F.lit("")).otherwise(F.concat(F.lit('"objectid":'), F.col("s_suppkey").cast("string")))
     text = F.concat(F.lit('{"type":"Feature","properties":{'), key, F.lit('},"geometry":'), shape, F.lit("}"))
     src = scratch_path(t.spark, "geojson")
     parts.select(text.alias("value")).write.text(src)
     features = files.read_geojson(t.spark, src, T.StructType([T.StructField("objectid", T.LongType())]), sequence=True)
-    polygons = files.polygons_from_geojson(features, "objectid", P)
-    vertices = polygons.select("pid", "objectid", F.posexplode("rings").alias("ring", "r")).select(
-        "pid", "objectid", "ring", F.posexplode(F.slice("r", F.lit(1), F.size("r") - 1)).alias("k", "v"))  # the last repeats the first
-    return vertices.select("pid", "objectid", "ring", "k", "v.lon", "v.lat")
+    return cut_lineage(files.polygons_from_geojson(features, "objectid", P))
+
+
+_KEPT = "s_suppkey%6 <> 3 AND s_suppkey%9 <> 0"
+
+
+@query("polygons_from_geojson", f"""SELECT f.pid, f.objectid, r.part, r.ring, m.k, m.lon1 AS lon, m.lat1 AS lat FROM (
+    SELECT s_suppkey, objectid, CAST(row_number() OVER (ORDER BY objectid NULLS LAST) - 1 AS INT) AS pid FROM (
+      SELECT s_suppkey, CASE WHEN s_suppkey <> 4 THEN s_suppkey END AS objectid FROM supplier WHERE {_KEPT})) f
+    JOIN (SELECT pid, ring AS own, pid // 2 AS s_suppkey, CAST(pid%2 AS INT) AS part, CAST(row_number() OVER (PARTITION BY pid // 2 ORDER BY pid, ring) - 1 AS INT) AS ring
+      FROM (SELECT DISTINCT pid, ring FROM meadow_ring)) r USING (s_suppkey)
+    JOIN meadow_ring m ON m.pid = r.pid AND m.ring = r.own""")
+def _(t):
+    rings = _features(t).select("pid", "objectid", F.posexplode(F.arrays_zip("rings", "parts")).alias("ring", "r"))
+    vertices = rings.select("pid", "objectid", "ring", F.col("r.parts").alias("part"),
+                            F.posexplode(F.slice("r.rings", F.lit(1), F.size("r.rings") - 1)).alias("k", "v"))  # the last repeats the first
+    return vertices.select("pid", "objectid", "part", "ring", "k", "v.lon", "v.lat")
+
+
+@query("points_in_collections", f"""SELECT {K}, coalesce(on_meadow, false) AS on_meadow FROM det_xy
+    LEFT JOIN (SELECT rid, bool_or(odd OR d2 < 400e0) AS on_meadow FROM (SELECT *, pid // 2 AS s_suppkey FROM det_hit) WHERE {_KEPT} GROUP BY rid) USING (rid)""")
+def _(t):
+    # overlapping members of a collection, or parts of a multi-polygon, count as their union
+    x, y = geo.to_metric(F.col("lon"), F.col("lat"))
+    return spatial.points_in_polygons(t.detections, build.index_meadows(_features(t), P), x, y, P.buffer_m).select(*KEY, "on_meadow")
+
+
+@query("sized_layer", f"""SELECT f.id, f.type, r.part, r.ring, count(*) + 1 AS vertices, CAST(sum(CAST(floor(m.lon1*1000 + 0.5e0) AS BIGINT)*(m.k%7 + 1)) AS BIGINT) AS lons,
+    CAST(sum(CAST(floor(m.lat1*1000 + 0.5e0) AS BIGINT)*(m.k%7 + 1)) AS BIGINT) AS lats FROM (
+    SELECT s_suppkey, CAST(row_number() OVER (ORDER BY CASE WHEN s_suppkey <> 4 THEN s_suppkey END NULLS LAST) - 1 AS INT) AS id,
+      CASE WHEN {b.HAS_SECOND} THEN 'MultiPolygon' ELSE 'Polygon' END AS type FROM supplier WHERE {_KEPT}) f
+    JOIN (SELECT pid, ring AS own, pid // 2 AS s_suppkey, CAST(pid%2 AS INT) AS part, CAST(row_number() OVER (PARTITION BY pid // 2 ORDER BY pid, ring) - 1 AS INT) AS ring
+      FROM (SELECT DISTINCT pid, ring FROM meadow_ring)) r USING (s_suppkey)
+    JOIN meadow_ring m ON m.pid = r.pid AND m.ring = r.own GROUP BY f.id, f.type, r.part, r.ring""")
+def _(t):
+    # outlines with three more vertices on every edge, some metres inwards: simplifying leaves the corners, in their parts and rings
+    mid = lambda a, b, q: F.struct((a.lon + (b.lon - a.lon) * q).alias("lon"), (a.lat + (b.lat - a.lat) * q).alias("lat"))
+    centre = lambda r: mid(F.get(r, F.lit(0)), F.get(r, F.floor(F.size(r) / 2).cast("int")), 0.5)
+    inner = lambda r, i, q: mid(mid(F.get(r, i), F.get(r, i + 1), q / 4), centre(r), 0.003) if q else F.get(r, i)
+    finer = lambda r: F.concat(F.flatten(F.transform(F.sequence(F.lit(0), F.size(r) - 2), lambda i: F.array(
+        *[inner(r, i, q) for q in range(4)]))), F.slice(r, -1, 1))
+    layer, _ = publish.sized_layer(_features(t).withColumn("rings", F.transform("rings", finer)), 30.0, decimals=9)
+    rings = layer.select("id", "type", F.posexplode(F.arrays_zip("rings", "parts")).alias("ring", "r")).select(
+        "id", "type", "ring", F.col("r.parts").alias("part"), F.size("r.rings").alias("vertices"), F.posexplode(F.slice("r.rings", F.lit(1), F.size("r.rings") - 1)).alias("nth", "v"))
+    total = lambda c: F.sum(F.floor(F.col(f"v.{c}") * 1000 + 0.5) * (F.col("nth") % 7 + 1))
+    return rings.groupBy("id", "type", "part", "ring").agg(F.max("vertices").cast("bigint").alias("vertices"), total("lon").alias("lons"), total("lat").alias("lats"))
 
 
 @query("eez_normalise", "SELECT pid, mrgid, geoname, pol_type, iso3, name, priority FROM zones")
@@ -891,13 +929,14 @@ _LAYER = "(SELECT DISTINCT pid FROM meadow_ring UNION ALL SELECT DISTINCT pid FR
 
 @query("check_polygons", _check_sql([
     ("polygons", "polygonal", f"SELECT count(*) FROM {_LAYER} WHERE pid%7 = 0"), ("polygons", "id present", f"SELECT count(*) FROM {_LAYER} WHERE pid%11 = 0"),
+    ("polygons", "type by parts", f"SELECT count(*) FROM {_LAYER} WHERE pid%3 = 0 AND pid%7 <> 0"),
     ("polygons", "ids unique", f"SELECT count(*) - count(DISTINCT CASE WHEN pid%11 <> 0 THEN pid END) FROM {_LAYER}"),
     ("polygons", "rings closed", f"SELECT count(*) FROM {_LAYER} WHERE pid%5 = 0")]))
 def _(t):
-    # every rule is broken by some rows: another type, no id, a row twice, a ring without its last vertex
+    # every rule is broken by some rows: another type, one of several parts with a single one, no id, a row twice, an open ring
     layer = publish.polygon_display_layer(t.meadows, 30.0)
     layer = layer.unionByName(layer.where("id%13 = 0")).select(
-        F.when(F.expr("id%11 <> 0"), F.col("id")).alias("id"), F.when(F.expr("id%7 = 0"), "Point").otherwise(F.col("type")).alias("type"),
+        F.when(F.expr("id%11 <> 0"), F.col("id")).alias("id"), F.when(F.expr("id%7 = 0"), "Point").when(F.expr("id%3 = 0"), "MultiPolygon").otherwise(F.col("type")).alias("type"), "parts",
         F.when(F.expr("id%5 = 0"), F.transform("rings", lambda r: F.slice(r, 1, F.size(r) - 1))).otherwise(F.col("rings")).alias("rings"))
     return checks.check_polygons(cut_lineage(layer))
 

@@ -133,38 +133,42 @@ def read_geojson(spark: SparkSession, paths: Paths, properties: T.StructType, se
     return spark.read.schema(whole).option("multiLine", True).json(paths).select(F.explode("features").alias("f")).select("f.*")
 
 
-def _rings(geometry: Column) -> Column:
-    """The rings of a polygonal geometry, none for any other."""
+def _polygons(geometry: Column) -> Column:
+    """The polygons of a polygonal geometry, each an array of rings; none for any other."""
     text = geometry["coordinates"]
-    rings = F.when(geometry["type"] == "Polygon", F.from_json(text, _COORDS2)).when(
-        geometry["type"] == "MultiPolygon", F.flatten(F.from_json(text, _COORDS3)))
-    return F.coalesce(rings, F.array().cast(_COORDS2))
+    polygons = F.when(geometry["type"] == "Polygon", F.array(F.from_json(text, _COORDS2))).when(
+        geometry["type"] == "MultiPolygon", F.from_json(text, _COORDS3))
+    return F.coalesce(polygons, F.array().cast(_COORDS3))
 
 
 def polygons_from_geojson(features: DataFrame, order_by: str, p: Params, attributes: Sequence[str] = (),
                           mercator: bool = False) -> DataFrame:
-    """Polygon rows (pid, attributes, rings) of the features that overlap the study box.
+    """Polygon rows (pid, attributes, rings, parts) of the features that overlap the study box.
 
-    Anything but polygons is dropped, also inside a geometry collection. The parts of a multi-polygon become rings of one
-    row: crossing counts treat outer rings and holes alike. ``pid`` numbers the kept features by their ``order_by`` property;
-    features without it come last, and equal ones stand in the order of their coordinates. ``mercator`` tells that the
-    coordinates are web-mercator metres.
+    Anything but polygons is dropped, also inside a geometry collection. ``parts`` has the number of the polygon that each ring
+    belongs to: all polygons of a multi-polygon, or of a collection's members, are parts of one row, and a point in any of them
+    is in the row, also where members overlap. ``pid`` numbers the kept features by their ``order_by`` property; features without
+    it come last, and equal ones stand in the order of their coordinates. ``mercator`` tells that the coordinates are
+    web-mercator metres.
     """
-    inner = F.flatten(F.transform(F.coalesce("geometry.geometries", F.array().cast("array<struct<type:string,coordinates:string>>")), _rings))
-    parts = F.concat(_rings(F.col("geometry")), inner)
+    inner = F.flatten(F.transform(F.coalesce("geometry.geometries", F.array().cast("array<struct<type:string,coordinates:string>>")), _polygons))
+    polygons = F.filter(F.transform(F.concat(_polygons(F.col("geometry")), inner), lambda g: F.filter(g, lambda r: F.size(r) > 0)),
+                        lambda g: F.size(g) > 0)
 
     def vertex(c: Column) -> Column:
         lon, lat = geo.from_web_mercator(c[0], c[1]) if mercator else (c[0], c[1])
         return F.struct(lon.alias("lon"), lat.alias("lat"))
 
     attributes = list(dict.fromkeys([order_by, *attributes]))
-    rows = features.select(*[F.col(f"properties.{a}").alias(a) for a in attributes], F.filter(parts, lambda r: F.size(r) > 0).alias("_parts"))
-    rows = rows.where(F.size("_parts") > 0).withColumn("rings", F.transform("_parts", lambda r: F.transform(r, vertex)))
+    rows = features.select(*[F.col(f"properties.{a}").alias(a) for a in attributes], polygons.alias("_polygons"))
+    rows = rows.where(F.size("_polygons") > 0).withColumns({
+        "rings": F.transform(F.flatten("_polygons"), lambda r: F.transform(r, vertex)),
+        "parts": F.flatten(F.transform("_polygons", lambda g, i: F.transform(g, lambda r: i.cast("int"))))})
     lons = F.flatten(F.transform("rings", lambda r: F.transform(r, lambda v: v.lon)))
     lats = F.flatten(F.transform("rings", lambda r: F.transform(r, lambda v: v.lat)))
     overlaps = ((F.array_max(lons) >= p.bbox[0]) & (F.array_min(lons) <= p.bbox[2])
                 & (F.array_max(lats) >= p.bbox[1]) & (F.array_min(lats) <= p.bbox[3]))
-    return number_polygons(rows.where(overlaps), order_by).select("pid", *attributes, "rings")
+    return number_polygons(rows.where(overlaps), order_by).select("pid", *attributes, "rings", "parts")
 
 
 def number_polygons(rows: DataFrame, order_by: str) -> DataFrame:
@@ -203,12 +207,23 @@ def write_columnar_json(df: DataFrame, index: str, path: str, chunk_rows: int =
 
 
 def write_geojson(layer: DataFrame, path: str) -> None:
-    """A display layer (id, type, rings) as one GeoJSON feature per line."""
+    """A display layer (id, type, rings, parts) as one GeoJSON feature per line."""
+    layer.select(feature_text(layer)).write.mode("overwrite").text(path)
+
+
+def feature_text(layer: DataFrame) -> Column:
+    """Rows of a layer as GeoJSON features; each part's rings stand together, the outer one first."""
     pairs = F.transform("rings", lambda r: F.transform(r, lambda v: F.array(v.lon, v.lat)))
-    layer.select(
-        F.lit("Feature").alias("type"), F.struct("id").alias("properties"),
-        F.struct(F.lit("Polygon").alias("type"), pairs.alias("coordinates")).alias("geometry"),
-    ).write.mode("overwrite").json(path)
+    nested = F.array(pairs)
+    if "parts" in layer.columns:
+        ringed = F.arrays_zip(pairs.alias("ring"), F.col("parts").alias("part"))
+        nested = F.transform(F.array_sort(F.array_distinct("parts")), lambda i: F.transform(F.filter(ringed, lambda r: r.part == i), lambda r: r.ring))
+
+    def feature(coordinates: Column) -> Column:
+        return F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct("id").alias("properties"),
+                                  F.struct("type", coordinates.alias("coordinates")).alias("geometry")))
+
+    return F.when(F.col("type") == "MultiPolygon", feature(nested)).otherwise(feature(nested[0])).alias("value")
 
 
 def read_mids(spark: SparkSession, path: str) -> DataFrame:
