@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+import warnings
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -16,7 +17,7 @@ from ..operators import checks, pressure, publish, ranking
 from ..operators.country import ZoneIndex, assign_country, index_zones, zones_in_box
 from ..operators.detections import classify
 from ..operators.spatial import PolygonIndex, build_index, cell_area, cells_touching_polygons, planar_edges, polygon_edges
-from ..runtime import cut_lineage, replace_folder
+from ..runtime import cut_lineage, elements, replace_folder
 from ..sources.files import write_columnar_json, write_geojson
 
 #: side of the bins meadow polygons are indexed by, in metres
@@ -65,17 +66,27 @@ class Published:
     hotspots: DataFrame
     layer: DataFrame
     summary: DataFrame
+    unasked: DataFrame  # cells whose overpasses were never asked for
 
 
 def build(det: DataFrame, overpass: DataFrame, meadows: DataFrame, zones: DataFrame | None, mids: DataFrame, p: Params,
-          tolerance_m: float = 30.0, validate: bool = True, target_bytes: int = publish.TARGET_BYTES) -> Published:
+          tolerance_m: float = 30.0, validate: bool = True, target_bytes: int = publish.TARGET_BYTES,
+          requested: DataFrame | None = None) -> Published:
     """``det`` and ``overpass`` are the merged periods; see ``releases.merge_periods``.
 
+    ``requested`` (cell) is what ``incremental.requested_cells`` has stored; without it the cells of ``overpass`` stand for it. Cells of
+    the meadows that are not among them would count no clear overpass whatever was observed: a warning tells how many, and
+    ``unasked`` which. Overpasses have to be ingested again after meadows or the buffer have changed.
+
     The fact table and the cell tables feed several outputs each and are materialised once.
     """
     meadow_index = index_meadows(meadows, p)
     zone_index = index_zones(zones_in_box(zones, p), p) if zones is not None else None
     cells = cut_lineage(meadow_cells(meadows, meadow_index, zone_index, p))
+    asked = requested if requested is not None else overpass.select(F.col("h3_id").alias("cell"))
+    unasked = cut_lineage(pressure.missing_cells(cells, asked), "unasked")
+    if (n := elements(unasked)) and not asked.isEmpty():
+        warnings.warn(f"overpasses of {n} cells were never asked for; their clear overpasses will be 0", stacklevel=2)
     calendar = cut_lineage(pressure.calendar_union(det, overpass))
     fact = cut_lineage(fact_table(det, meadow_index, zone_index, p))
 
@@ -90,7 +101,7 @@ def build(det: DataFrame, overpass: DataFrame, meadows: DataFrame, zones: DataFr
         countries=publish.publish_countries(fact, calendar, names), hexes=publish.publish_hexes(hexes),
         hex_monthly=rows, clear=clear, points=publish.publish_points(fact, calendar, mids, p),
         hotspots=publish.publish_hotspots(ranking.hotspots(hexes, p.hotspots_n), p),
-        layer=publish.sized_layer(meadows, tolerance_m, target_bytes)[0], summary=pressure.build_summary(totals, hexes))
+        layer=publish.sized_layer(meadows, tolerance_m, target_bytes)[0], summary=pressure.build_summary(totals, hexes), unasked=unasked)
     if validate:
         series = pressure.country_series(fact, calendar)
         checks.enforce(

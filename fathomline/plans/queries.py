@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -281,12 +282,17 @@ def _(t):
     stored = set(_periods(t))
     _write_by_period(t, src)
     todo = [r for r in fetch if r["period"] in stored]
-    files.ingest_detections(t.spark, {r["period"]: f"{src}/period={r['period']}" for r in todo}, f"{out}/detections", P)
-    releases.note(t.spark, f"{out}/ledger", [(r["period"], r["record_id"], r["published"], part, 1, P.schema_version if part == "detections" else None)
-                                             for r in todo for part in ("detections", "overpass")])
+    uploads = [incremental.Upload(r["published"], r["record_id"], 0.0, r["period"], f"{src}/period={r['period']}") for r in todo]
+    incremental.store_detections(t.spark, uploads, out, P)
+    # the overpasses of these periods are one and the same file
+    t.overpass_raw.select(*OVERPASSES.names).repartition(2).write.option("header", True).csv(f"{src}/overpass")
+    incremental.store_overpasses(t.spark, [replace(u, path=f"{src}/overpass") for u in uploads], t.cells, out)
     ledger = releases.ledger(t.spark, f"{out}/ledger")
     if releases.releases_to_fetch(t.latest.where(F.col("period").isin(sorted(stored))), ledger, P).count():
         raise AssertionError("what was ingested is asked for again")
+    own = files.read_stored(t.spark, f"{out}/detections", DETECTIONS).groupBy("period").count()
+    if ledger.join(own, "period", "full").where("coalesce(detections_rows, -1) <> coalesce(count, 0)").count():
+        raise AssertionError("the ledger does not tell the rows that are stored")
     rows = files.read_stored(t.spark, f"{out}/detections", DETECTIONS)
     return releases.merge_periods(rows, releases.usable_periods(ledger, P)).select(*KEY, "month", "period")
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import asdict, dataclass
 from functools import reduce
 from urllib.parse import unquote
 
@@ -63,47 +66,115 @@ def write_by_month(df: DataFrame, path: str, keys: Sequence[str] = ("month",)) -
      .partitionBy(*keys).parquet(path))
 
 
-def write_period(rows: DataFrame, path: str, period: str) -> None:
-    """Store all rows of one uploaded period below ``path``, by (period, month), and nothing else of that period.
-
-    Whatever an earlier upload of the period left is gone, even months that the new one has no row of; other periods are not
-    touched. Rows of months outside the period stay with it, ``releases.merge_periods`` leaves them out.
+# A stored table is a folder of versions, ``period=P/version=V/...``, none of which is ever changed, and a manifest that names the
+# version of each period that counts. The manifest is one small file that is replaced as a whole, last of all: until then, and after
+# a job that died on the way, readers see what was there before.
+_MANIFEST = "_manifest.json"
+
+
+@dataclass(frozen=True)
+class Version:
+    name: str
+    rows: int
+
+
+def manifest(spark: SparkSession, path: str) -> dict[str, Version]:
+    """The version of each period of a stored table; nothing where no period was ever stored. One entry per period."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{_MANIFEST}")
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(where):
+        return {}
+    stream = fs.open(where)
+    try:
+        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return {period: Version(**v) for period, v in json.loads(text).items()}
+
+
+def publish_versions(spark: SparkSession, path: str, versions: Mapping[str, Version]) -> None:
+    """Let the given versions count from now on, all at once; other periods stay. One job at a time may store into a table."""
+    text = json.dumps({k: asdict(v) for k, v in sorted((manifest(spark, path) | dict(versions)).items())}, indent=1)
+    jvm = spark._jvm
+    hadoop = jvm.org.apache.hadoop.fs
+    target = hadoop.Path(f"{path.rstrip('/')}/{_MANIFEST}")
+    beside = hadoop.Path(f"{path.rstrip('/')}/{_MANIFEST}.{uuid.uuid4().hex[:8]}")
+    conf = spark._jsc.hadoopConfiguration()
+    stream = target.getFileSystem(conf).create(beside, True)
+    try:
+        stream.write(text.encode())
+    finally:
+        stream.close()
+    rename = getattr(hadoop, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    hadoop.FileContext.getFileContext(target.toUri(), conf).rename(beside, target, options)
+
+
+def write_version(rows: DataFrame, path: str, period: str, by: Sequence[str] = ("month",)) -> Version:
+    """Write all rows of one uploaded period beside what is stored of it. Nothing reads them before ``publish_versions``.
+
+    Rows of months outside the period stay with it, ``releases.merge_periods`` leaves them out.
     """
-    cols = [c for c in rows.columns if c not in ("month", "period")]
-    (rows.select(*cols, "month").hint("rebalance", "month").write.mode("overwrite").option("partitionOverwriteMode", "static")
-     .option("compression", "zstd").partitionBy("month").parquet(f"{path.rstrip('/')}/period={period}"))
+    name = uuid.uuid4().hex[:12]
+    folder = f"{path.rstrip('/')}/period={period}/version={name}"
+    kept = rows.drop("period")
+    writer = (kept.hint("rebalance", *by) if by else kept).write.option("compression", "zstd")
+    (writer.partitionBy(*by) if by else writer).parquet(folder)
+    return Version(name, spark_count(rows.sparkSession, kept.schema, folder))
+
+
+def spark_count(spark: SparkSession, schema: T.StructType, folder: str) -> int:
+    """Rows of a written table, from its files' footers."""
+    return spark.read.schema(schema).parquet(folder).count()
+
+
+def remove_unused(spark: SparkSession, path: str) -> int:
+    """Delete the versions that the manifest does not name, and tell how many; for when no reader uses them any more."""
+    used = {(p, v.name) for p, v in manifest(spark, path).items()}
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/period=*/version=*")
+    fs = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    gone = 0
+    for status in fs.globStatus(pattern) or []:
+        folder = status.getPath()
+        if (folder.getParent().getName().removeprefix("period="), folder.getName().removeprefix("version=")) not in used:
+            gone += bool(fs.delete(folder, True))
+    return gone
 
 
 #: periods that are stored side by side
 PERIODS_AT_ONCE = 4
 
 
-def _each_period(uploads: Mapping[str, Paths], store: Callable[[str, Paths], None]) -> None:
-    """Store the periods a few at a time; each writes a folder of its own."""
+def _each_period(spark: SparkSession, uploads: Mapping[str, Paths], out: str, rows_of: Callable[[Paths], DataFrame]) -> dict[str, int]:
+    """Store the periods a few at a time, each as a version of its own, and let them count together. Returns their rows."""
     with ThreadPoolExecutor(PERIODS_AT_ONCE) as pool:
-        list(pool.map(lambda item: store(*item), sorted(uploads.items())))
+        stored = dict(pool.map(lambda item: (item[0], write_version(rows_of(item[1]), out, item[0])), sorted(uploads.items())))
+    publish_versions(spark, out, stored)
+    return {period: v.rows for period, v in stored.items()}
 
 
-def ingest_detections(spark: SparkSession, uploads: Mapping[str, Paths], out: str, p: Params) -> None:
+def ingest_detections(spark: SparkSession, uploads: Mapping[str, Paths], out: str, p: Params) -> dict[str, int]:
     """Store the detection files of each uploaded period, all its files together; filtered while scanning, so the files' global
-    rows are never kept."""
-    _each_period(uploads, lambda period, paths: write_period(detections_in_bbox(scan_detections_csv(spark, paths), p), out, period))
+    rows are never kept. A period replaces all that was stored of it. Returns the rows of each period; see
+    ``streaming.incremental.store_detections`` for uploads that are to be noted in the ledger."""
+    return _each_period(spark, uploads, out, lambda paths: detections_in_bbox(scan_detections_csv(spark, paths), p))
 
 
-def ingest_overpasses(spark: SparkSession, uploads: Mapping[str, Paths], cells: DataFrame, out: str) -> None:
-    _each_period(uploads, lambda period, paths: write_period(overpasses_of_cells(scan_csv(spark, paths, OVERPASSES), cells), out, period))
+def ingest_overpasses(spark: SparkSession, uploads: Mapping[str, Paths], cells: DataFrame, out: str) -> dict[str, int]:
+    return _each_period(spark, uploads, out, lambda paths: overpasses_of_cells(scan_csv(spark, paths, OVERPASSES), cells))
 
 
-def read_stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """What ``write_period`` has stored: the columns of ``schema`` with month and period. A store whose periods are all empty,
-    or that does not exist yet, has no rows."""
-    keys = [T.StructField("month", T.StringType()), T.StructField("period", T.StringType())]
-    fields = [f for f in schema.fields if f.name not in ("month", "period")]
+def read_stored(spark: SparkSession, path: str, schema: T.StructType, by: Sequence[str] = ("month",)) -> DataFrame:
+    """The versions that count: the columns of ``schema`` with those of ``by`` and period. A store whose periods are all empty, or that
+    does not exist yet, has no rows."""
+    keys = [T.StructField(k, T.StringType()) for k in (*by, "period")]
+    fields = [f for f in schema.fields if f.name not in (*by, "period")]
     full = T.StructType([*fields, *keys])
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+    folders = [f"{path.rstrip('/')}/period={p}/version={v.name}" for p, v in sorted(manifest(spark, path).items()) if v.rows]
+    if not folders:
         return spark.createDataFrame([], full)
-    return spark.read.schema(full).option("basePath", path).parquet(path)
+    return spark.read.schema(T.StructType([*full.fields, T.StructField("version", T.StringType())])).option("basePath", path).parquet(*folders).drop("version")
 
 
 def read_partitions(spark: SparkSession, path: str, months: Sequence[str] | None = None) -> DataFrame:

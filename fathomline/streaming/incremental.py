@@ -15,10 +15,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import Params
 from ..operators import releases
-from ..schema import DETECTIONS, OVERPASSES
+from ..runtime import cut_lineage
 from ..sources import files
 
 #: an upload is a file, or a folder of files, named ``[<published>_<record>_]..._<period>[.csv]``
@@ -72,40 +73,41 @@ def _run(spark: SparkSession, folder: str, checkpoint: str, take: Callable[[list
     names.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-def _rows(stored: DataFrame) -> dict[str, int]:
-    return {r["period"]: r["count"] for r in stored.groupBy("period").count().collect()}  # one row per period
+def store_detections(spark: SparkSession, uploads: Iterable[Upload], out: str, p: Params) -> None:
+    """Store detection uploads below ``out``/detections and note them, with their rows, in ``out``/ledger.
+
+    The note comes last: uploads of a job that died before it are known as not yet taken in, and their periods keep their old rows.
+    """
+    found = newest(uploads)
+    rows = files.ingest_detections(spark, {u.period: u.path for u in found.values()}, f"{out}/detections", p)
+    releases.note(spark, f"{out}/ledger", [(u.period, u.record_id, u.published, "detections", rows[u.period], p.schema_version) for u in found.values()])
+
+
+def store_overpasses(spark: SparkSession, uploads: Iterable[Upload], cells: DataFrame, out: str) -> None:
+    """Store overpass uploads below ``out``/overpass and note them; the cells that were asked for go to ``out``/requested."""
+    found = newest(uploads)
+    rows = files.ingest_overpasses(spark, {u.period: u.path for u in found.values()}, cells, f"{out}/overpass")
+    asked = cut_lineage(cells.select("cell").distinct(), "asked")
+    files.publish_versions(spark, f"{out}/requested", {p: files.write_version(asked, f"{out}/requested", p, by=()) for p in found})
+    releases.note(spark, f"{out}/ledger", [(u.period, u.record_id, u.published, "overpass", rows[u.period], None) for u in found.values()])
 
 
 def ingest_new_detections(spark: SparkSession, folder: str, out: str, checkpoint: str, p: Params) -> None:
-    """Store the new detection uploads of ``folder`` below ``out``/detections and note them in ``out``/ledger.
+    """Store and note the new detection uploads of ``folder``.
 
     The list of seen names belongs to the schema version: a new version reads all detection files again and leaves the
     overpasses as they are.
     """
-    ledger = f"{out}/ledger"
-
-    def take(uploads: list[Upload]) -> None:
-        files.ingest_detections(spark, {u.period: u.path for u in uploads}, f"{out}/detections", p)
-        n = _rows(files.read_stored(spark, f"{out}/detections", DETECTIONS))
-        releases.note(spark, ledger, [(u.period, u.record_id, u.published, "detections", n.get(u.period, 0), p.schema_version) for u in uploads])
-
-    _run(spark, folder, f"{checkpoint}/detections-v{p.schema_version}", take, lambda: releases.noted(spark, ledger, "detections", p.schema_version))
+    _run(spark, folder, f"{checkpoint}/detections-v{p.schema_version}", lambda uploads: store_detections(spark, uploads, out, p),
+         lambda: releases.noted(spark, f"{out}/ledger", "detections", p.schema_version))
 
 
 def ingest_new_overpasses(spark: SparkSession, folder: str, cells: DataFrame, out: str, checkpoint: str) -> None:
-    """Store the new overpass uploads below ``out``/overpass and note them, with the cells that were asked for."""
-    ledger = f"{out}/ledger"
-
-    def take(uploads: list[Upload]) -> None:
-        files.ingest_overpasses(spark, {u.period: u.path for u in uploads}, cells, f"{out}/overpass")
-        n = _rows(files.read_stored(spark, f"{out}/overpass", OVERPASSES))
-        releases.note(spark, ledger, [(u.period, u.record_id, u.published, "overpass", n.get(u.period, 0), None) for u in uploads])
-        for u in uploads:
-            cells.select("cell").distinct().write.mode("overwrite").parquet(f"{out}/requested/period={u.period}")
-
-    _run(spark, folder, f"{checkpoint}/overpasses", take, lambda: releases.noted(spark, ledger, "overpass"))
+    """Store and note the new overpass uploads of ``folder``, with the cells that were asked for."""
+    _run(spark, folder, f"{checkpoint}/overpasses", lambda uploads: store_overpasses(spark, uploads, cells, out),
+         lambda: releases.noted(spark, f"{out}/ledger", "overpass"))
 
 
 def requested_cells(spark: SparkSession, out: str) -> DataFrame:
     """(period, cell): the cells overpasses were asked for, whether or not the files had rows of them."""
-    return spark.read.schema("cell string, period string").parquet(f"{out}/requested")
+    return files.read_stored(spark, f"{out}/requested", T.StructType([T.StructField("cell", T.StringType())]), by=())

@@ -158,6 +158,47 @@ def test_an_uploaded_period_replaces_itself_and_nothing_else(spark, tmp_path):
     assert stored(spark, out) == []
 
 
+def test_a_write_that_dies_leaves_the_old_period_and_the_ledger(spark, tmp_path, monkeypatch):
+    out, head = f"{tmp_path}/out", ",".join(HEADER)
+    write(f"{tmp_path}/1.csv", head, line("1.0", "2022-05-01 10:00"), line("2.0", "2022-06-01 10:00"))
+    write(f"{tmp_path}/2.csv", head, *[line(f"{k}.5", f"2022-0{k}-01 10:00") for k in range(1, 8)])
+    write(f"{tmp_path}/3.csv", head, line("3.0", "2022-07-01 10:00"))
+    first = incremental.Upload("2022-06-03", 41, 0.0, "2022", f"{tmp_path}/1.csv")
+    incremental.store_detections(spark, [first], out, DEFAULTS)
+    before = [("2022", "2022-05", 1.0), ("2022", "2022-06", 2.0)]
+    notes = lambda: {(r.period, r.record_id, r.rows) for r in releases.noted(spark, f"{out}/ledger", "detections").collect()}
+    assert stored(spark, f"{out}/detections") == before and notes() == {("2022", 41, 2)}
+
+    # tasks die when they meet one row, after others are written; an other period of the same delivery is complete by then
+    scan = files.scan_detections_csv
+    dying = lambda s, paths: scan(s, paths).withColumn("lon", F.when(F.col("lon") == 7.5, F.raise_error(F.lit("lost")).cast("double")).otherwise(F.col("lon")))
+    monkeypatch.setattr(files, "scan_detections_csv", dying)
+    both = [incremental.Upload("2022-07-03", 44, 0.0, "2022", f"{tmp_path}/2.csv"), incremental.Upload("2022-07-03", 44, 0.0, "202207", f"{tmp_path}/3.csv")]
+    with pytest.raises(Exception, match="lost"):
+        incremental.store_detections(spark, both, out, DEFAULTS)
+    assert stored(spark, f"{out}/detections") == before and notes() == {("2022", 41, 2)}
+
+    # or between the last write and the manifest's replacement
+    monkeypatch.setattr(files, "scan_detections_csv", scan)
+    with monkeypatch.context() as m:
+        m.setattr(files, "publish_versions", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            incremental.store_detections(spark, both, out, DEFAULTS)
+    assert stored(spark, f"{out}/detections") == before
+
+    reader = files.read_stored(spark, f"{out}/detections", DETECTIONS)  # of before the replacement
+    incremental.store_detections(spark, both, out, DEFAULTS)
+    assert len(stored(spark, f"{out}/detections")) == 8 and notes() == {("2022", 44, 7), ("202207", 44, 1)}
+    assert sorted(r.lon for r in reader.collect()) == [1.0, 2.0]
+    assert files.remove_unused(spark, f"{out}/detections") >= 3 and len(stored(spark, f"{out}/detections")) == 8
+
+
+def test_a_build_tells_which_cells_were_never_asked_for(spark):
+    from fathomline.operators import pressure
+    cells = spark.createDataFrame([("a",), ("b",)], "cell string")
+    assert [r.cell for r in pressure.missing_cells(cells, spark.createDataFrame([("2021", "a")], "period string, cell string")).collect()] == ["b"]
+
+
 def test_uploads_are_taken_in_once_and_the_latest_published_counts(spark, tmp_path):
     inbox, out, seen = (f"{tmp_path}/{n}" for n in ("in", "out", "seen"))
     run = lambda p=DEFAULTS: incremental.ingest_new_detections(spark, inbox, out, seen, p)
@@ -278,7 +319,9 @@ def test_build_publishes_consistent_tables(spark, tmp_path):
 
 def test_build_without_zones_leaves_countries_unknown(spark):
     t = Tables(spark, SF)
-    out = build.build(t.detections, t.overpass, t.meadows, None, t.mids, DEFAULTS, validate=False)
+    with pytest.warns(UserWarning, match="never asked for"):
+        out = build.build(t.detections, t.overpass, t.meadows, None, t.mids, DEFAULTS, validate=False, requested=t.cells.limit(3).select("cell"))
+    assert out.unasked.count() == t.cells.count() - 3
     assert {r.country for r in out.hexes.select("country").distinct().collect()} == {"UNK"}
 
 
