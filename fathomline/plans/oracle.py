@@ -1,4 +1,4 @@
-"""Reference answers in plain SQL over the benchmark tables, written independently of the operators.
+"""Reference answers in plain SQL over the benchmark tables, which share nothing with the operators but the table bindings.
 
 Spatial questions are answered by brute force: every candidate point against every edge of a polygon. A query is a chain of
 named common table expressions; ``sql`` puts together those a final statement needs.
@@ -9,10 +9,20 @@ from __future__ import annotations
 import math
 import re
 
-from ..functions import geo
-from ..functions.scalars import COUNTRY_NAMES
 from . import bindings as b
 
+# The equal-area projection (GRS80, 38 N 15 E) and the grid of hexagons, as numbers of their own.
+E2 = 0.006694380022900787
+ECC = 0.08181919104281579
+QP = 1.9955310874809387
+SIN_B1 = 0.613948707056177
+COS_B1 = 0.789345922333199
+RQ = 6371007.1808835175
+D = 1.000696128836744
+LON0 = 15.0
+CELL_SIDE_M = 1409.2852535992536
+RING1 = ((0, 0), (1, 0), (1, -1), (0, -1), (-1, 0), (-1, 1), (0, 1))
+
 CTES: dict[str, str] = {}
 
 
@@ -32,19 +42,19 @@ def values(rows, names: str) -> str:
 
 def metric(lon: str, lat: str) -> tuple[str, str]:
     s = f"sin(radians({lat}))"
-    q = (f"({num(1 - geo.E2)}*({s}/(1 - {num(geo.E2)}*{s}*{s}) - ln((1 - {num(geo.ECC)}*{s})/(1 + {num(geo.ECC)}*{s}))"
-         f"/{num(2 * geo.ECC)}))")
-    sb = f"({q}/{num(geo.QP)})"
+    q = (f"({num(1 - E2)}*({s}/(1 - {num(E2)}*{s}*{s}) - ln((1 - {num(ECC)}*{s})/(1 + {num(ECC)}*{s}))"
+         f"/{num(2 * ECC)}))")
+    sb = f"({q}/{num(QP)})"
     cb = f"sqrt(1 - {sb}*{sb})"
-    lam = f"radians({lon} - {num(geo.LON0)})"
-    k = f"({num(geo.RQ)}*sqrt(2/(1 + {num(geo.SIN_B1)}*{sb} + {num(geo.COS_B1)}*{cb}*cos({lam}))))"
-    return (f"({k}*{num(geo.D)}*{cb}*sin({lam}))",
-            f"({k}/{num(geo.D)}*({num(geo.COS_B1)}*{sb} - {num(geo.SIN_B1)}*{cb}*cos({lam})))")
+    lam = f"radians({lon} - {num(LON0)})"
+    k = f"({num(RQ)}*sqrt(2/(1 + {num(SIN_B1)}*{sb} + {num(COS_B1)}*{cb}*cos({lam}))))"
+    return (f"({k}*{num(D)}*{cb}*sin({lam}))",
+            f"({k}/{num(D)}*({num(COS_B1)}*{sb} - {num(SIN_B1)}*{cb}*cos({lam})))")
 
 
 def hexed(source: str, x: str = "x", y: str = "y") -> str:
     """``source`` with q, r and cell of the hexagon holding (x, y)."""
-    s, r3 = num(geo.CELL_SIDE_M), num(math.sqrt(3) / 3)
+    s, r3 = num(CELL_SIDE_M), num(math.sqrt(3) / 3)
     return f"""(SELECT * EXCLUDE (fq_, fr_, fs_, rq_, rr_, rs_), CAST(q AS VARCHAR) || '_' || CAST(r AS VARCHAR) AS cell FROM (
       SELECT *, CASE WHEN abs(rq_-fq_) > abs(rr_-fr_) AND abs(rq_-fq_) > abs(rs_-fs_) THEN -rr_-rs_ ELSE rq_ END AS q,
              CASE WHEN NOT (abs(rq_-fq_) > abs(rr_-fr_) AND abs(rq_-fq_) > abs(rs_-fs_)) AND abs(rr_-fr_) > abs(rs_-fs_)
@@ -55,15 +65,15 @@ def hexed(source: str, x: str = "x", y: str = "y") -> str:
 
 
 def lonlat(x: str, y: str) -> tuple[str, str]:
-    xs, ys = f"({x}/{num(geo.D)})", f"({y}*{num(geo.D)})"
+    xs, ys = f"({x}/{num(D)})", f"({y}*{num(D)})"
     rho = f"sqrt({xs}*{xs} + {ys}*{ys})"
-    c = f"(2*asin({rho}/{num(2 * geo.RQ)}))"
-    bb = f"asin(cos({c})*{num(geo.SIN_B1)} + {ys}*sin({c})*{num(geo.COS_B1)}/{rho})"
-    e2, e4, e6 = geo.E2, geo.E2**2, geo.E2**3
+    c = f"(2*asin({rho}/{num(2 * RQ)}))"
+    bb = f"asin(cos({c})*{num(SIN_B1)} + {ys}*sin({c})*{num(COS_B1)}/{rho})"
+    e2, e4, e6 = E2, E2**2, E2**3
     lat = (f"degrees({bb} + {num(e2 / 3 + 31 * e4 / 180 + 517 * e6 / 5040)}*sin(2*{bb}) + "
            f"{num(23 * e4 / 360 + 251 * e6 / 3780)}*sin(4*{bb}) + {num(761 * e6 / 45360)}*sin(6*{bb}))")
-    lon = (f"({num(geo.LON0)} + degrees(atan2({xs}*sin({c}), {rho}*{num(geo.COS_B1)}*cos({c}) - "
-           f"{ys}*{num(geo.SIN_B1)}*sin({c}))))")
+    lon = (f"({num(LON0)} + degrees(atan2({xs}*sin({c}), {rho}*{num(COS_B1)}*cos({c}) - "
+           f"{ys}*{num(SIN_B1)}*sin({c}))))")
     return lon, lat
 
 
@@ -214,8 +224,8 @@ cte("classified", f"""SELECT * EXCLUDE (cell), CASE WHEN on_meadow THEN cell END
 cte("fact", "SELECT c.*, coalesce(z.country, 'UNK') AS country FROM classified c LEFT JOIN on_points_zone z USING (rid)")
 
 # ------------------------------------------------------------------------------------------------------- cell dimension
-_W, _S = num(geo.CELL_SIDE_M * math.sqrt(3)), num(geo.CELL_SIDE_M * 1.5)
-_RC = num(geo.CELL_SIDE_M + 25)
+_W, _S = num(CELL_SIDE_M * math.sqrt(3)), num(CELL_SIDE_M * 1.5)
+_RC = num(CELL_SIDE_M + 25)
 cte("cell_row", f"""SELECT pid, xa, xb, CAST(unnest(range(CAST(floor((ya - {_RC})/{_S}) AS BIGINT), CAST(ceil((yb + {_RC})/{_S}) AS BIGINT) + 1)) AS BIGINT) AS r
     FROM meadow_box""")
 cte("cell_candidate", f"""SELECT pid, q, r, {_W}*(q + r/2) AS x, {_S}*r AS y, CAST(q AS VARCHAR) || '_' || CAST(r AS VARCHAR) AS cell FROM (
@@ -223,7 +233,7 @@ cte("cell_candidate", f"""SELECT pid, q, r, {_W}*(q + r/2) AS x, {_S}*r AS y, CA
     FROM cell_row)""")
 cte("candidate_centre", "SELECT DISTINCT cell, x, y FROM cell_candidate")
 cte("centre_hit", hits("candidate_centre", "cell", "meadow_edge", "meadow_box", 0.0))
-_corners = geo.corner_offsets()
+_corners = [(CELL_SIDE_M*math.cos(math.radians(a)), CELL_SIDE_M*math.sin(math.radians(a))) for a in (-30, 30, 90, 150, 210, 270)]
 _SEG = [(*_corners[i], *_corners[(i + 1) % 6]) for i in range(6)]
 
 
@@ -268,10 +278,10 @@ _hx, _hy = metric(_clon, _clat)
 cte("harbour", f"SELECT s_suppkey, q, r FROM {hexed(f'(SELECT s_suppkey, {_hx} AS x, {_hy} AS y FROM supplier)')}")
 cte("overpass_raw", f"""SELECT CAST(h.q + t.dq AS VARCHAR) || '_' || CAST(h.r + t.dr AS VARCHAR) AS h3_id, {columns(b.OVERPASS_COLUMNS)}
     FROM orders JOIN harbour h ON h.s_suppkey = o_custkey % (SELECT count(*) FROM supplier)
-    JOIN {values([(i, *d) for i, d in enumerate(geo.RING1)], 'n, dq, dr')} ON t.n = o_orderkey % 7""")
+    JOIN {values([(i, *d) for i, d in enumerate(RING1)], 'n, dq, dr')} ON t.n = o_orderkey % 7""")
 cte("overpass", "SELECT h3_id, substr(month, 1, 7) AS month, overpasses, overpasses_cloud_under_20 FROM overpass_raw")
 cte("wide_cells", f"""SELECT DISTINCT CAST(q + dq AS VARCHAR) || '_' || CAST(r + dr AS VARCHAR) AS cell FROM (
-    SELECT CAST(split_part(cell, '_', 1) AS BIGINT) AS q, CAST(split_part(cell, '_', 2) AS BIGINT) AS r FROM cells), {values(geo.RING1, 'dq, dr')}""")
+    SELECT CAST(split_part(cell, '_', 1) AS BIGINT) AS q, CAST(split_part(cell, '_', 2) AS BIGINT) AS r FROM cells), {values(RING1, 'dq, dr')}""")
 
 # --------------------------------------------------------------------------------------------------------------- counts
 cte("cal", "SELECT DISTINCT month FROM (SELECT month FROM det UNION ALL SELECT month FROM overpass)")
@@ -364,4 +374,11 @@ cte("delivered", f"""SELECT *, {b.ANNUAL_PERIOD} AS period FROM det WHERE {b.ANN
 cte("to_fetch", f"SELECT period FROM latest WHERE period NOT IN ({superseded('latest')})")
 cte("monthly_months", "SELECT DISTINCT substr(period, 1, 4) || '-' || substr(period, 5, 2) AS mm FROM delivered WHERE length(period) = 6")
 
+# Short names of holders.
+COUNTRY_NAMES = {
+    "ALB": "Albania", "BIH": "Bosnia and Herzegovina", "CYP": "Cyprus", "DZA": "Algeria", "EGY": "Egypt", "ESP": "Spain", "FRA": "France",
+    "GBR": "United Kingdom", "GIB": "Gibraltar", "GRC": "Greece", "HRV": "Croatia", "ISR": "Israel", "ITA": "Italy", "LBN": "Lebanon",
+    "LBY": "Libya", "MAR": "Morocco", "MCO": "Monaco", "MLT": "Malta", "MNE": "Montenegro", "PSE": "Palestine", "SVN": "Slovenia",
+    "SYR": "Syria", "TUN": "Tunisia", "TUR": "Türkiye", "UNK": "Outside EEZ / unknown",
+}
 COUNTRY_CASE = "CASE iso3 " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in COUNTRY_NAMES.items()) + " END"
