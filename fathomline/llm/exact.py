@@ -153,12 +153,14 @@ def deduplicate(batch: DataFrame, snapshot: DataFrame, id_col: str = "doc_id", t
     # one pass over the texts; only ids and digests go on
     every = cut_lineage(rows(snapshot, "snapshot").unionByName(rows(batch, "batch")), "digests")
     known = every.where("side = 'snapshot'")
-    n_known = known.count()
-    buckets = max(1, -(-n_known // KEYS_PER_FILTER))
+    n = {r["side"]: r["count"] for r in every.groupBy("side").count().collect()}
+    n_known = n.get("snapshot", 0)
+    # a task meets one bucket of both sides, so the larger one decides how many there are
+    buckets = max(1, -(-max(n.values(), default=0) // KEYS_PER_FILTER))
     stored = cut_lineage(_distinct(known, buckets), "snapshot")
     fresh_ones = cut_lineage(_distinct(every.where("side = 'batch'"), buckets), "batch")
     filters = cut_lineage(fuse_filters(stored, buckets), "filters")
-    positive = screen(fresh_ones, filters)
+    positive = screen(fresh_ones, filters) if n_known else fresh_ones.where(F.lit(False)).select("digest")
     candidates = cut_lineage(stored.join(positive, "digest").select(
         "digest", F.col("low").alias("old_id"), F.col("n").alias("old_n")).join(
         fresh_ones.select("digest", F.col("low").alias("new_id"), F.col("n").alias("new_n")), "digest"), "candidates")

@@ -266,3 +266,19 @@ def test_a_walk_equals_comparing_all(block):
     got = [walk.nearest(parts[i: i + block]) for i in range(0, len(parts), block)]
     d = ((parts[:, None, :] - book[None]) ** 2).sum(axis=2)
     assert (np.concatenate([e for e, _ in got]) == d.argmin(axis=1)).all() and (np.concatenate([x for _, x in got]) == d.min(axis=1)).all()
+
+
+# ------------------------------------------------------------------------------------------------------------- op2
+@pytest.mark.parametrize("known", [0, 10])
+def test_a_batch_far_larger_than_its_snapshot_is_screened_in_many_buckets(spark, monkeypatch, known):
+    from fathomline.llm import exact
+    monkeypatch.setattr(exact, "KEYS_PER_FILTER", 40)
+    screened, screen = [], exact.screen
+    monkeypatch.setattr(exact, "screen", lambda incoming, filters: screened.append(incoming) or screen(incoming, filters))
+    text = lambda i: f"text {i % 700}"
+    frame = lambda ids: spark.createDataFrame([(i, text(i)) for i in ids], "doc_id long, text string")
+    got = exact.deduplicate(frame(range(known, 1000)), frame(range(known))).collect()
+    assert sorted((r.id, r.keep_id, r.group_size) for r in got) == [(i, i % 700, 2 if i % 700 < 300 else 1) for i in range(1000)]
+    assert bool(screened) == bool(known)
+    for incoming in screened:
+        assert max(r["count"] for r in incoming.groupBy("bucket").count().collect()) < 120
