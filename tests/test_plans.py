@@ -11,7 +11,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
 import __spark_entry__ as entry  # noqa: E402
 import compare  # noqa: E402
 from fathomline.config import DEFAULTS  # noqa: E402
-from fathomline.operators import detections, ranking  # noqa: E402
+from fathomline.operators import country, detections, ranking  # noqa: E402
 from fathomline.plans import queries as registry  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
@@ -38,10 +38,14 @@ def test_dedupe_limits_before_the_shuffle_and_filters_reach_the_scan(tables):
 
 
 def test_spatial_lookup_does_not_shuffle_points(tables):
-    fact = plan(tables.fact)
-    assert fact.count("BroadcastHashJoin") == 3 and "SortMergeJoin" not in fact and "NestedLoop" not in fact
+    classified = detections.classify(tables.detections, tables.meadow_index, DEFAULTS)
+    zoned = plan(country.zones_at(classified, tables.zone_index, F.col("lon"), F.col("lat"), only=F.col("on_meadow")))
+    assert zoned.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in zoned and "NestedLoop" not in zoned
     # the dedupe's is the only shuffle of detections
-    assert fact.count("Exchange hashpartitioning") == 1
+    assert zoned.count("Exchange hashpartitioning") == 1
+    # what is snapped to the nearest zone is looked up by place, in rows written before
+    fact = plan(tables.fact)
+    assert fact.count("BroadcastHashJoin") == 1 and "Exchange hash" not in fact and "SortMergeJoin" not in fact and "NestedLoop" not in fact
 
 
 def test_no_query_uses_a_cross_join(tables):
