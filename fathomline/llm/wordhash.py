@@ -1,7 +1,10 @@
 """64-bit hashes of words, shingles and windows of many texts at once, in numpy.
 
 A word's hash is a polynomial over its bytes, mixed; sequences of words combine the word hashes the same way, so equal word
-sequences have equal hashes wherever they stand. All arithmetic is modulo 2^64.
+sequences have equal hashes wherever they stand. That arithmetic is modulo 2^64.
+
+Check sums are a second hash of the same kind modulo two primes, 62 bits in all: sequences that some structure makes collide
+modulo a power of two do not collide modulo a prime for that reason.
 """
 
 from __future__ import annotations
@@ -113,3 +116,50 @@ def prefix_hashes(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def span_hash(sums: tuple[np.ndarray, np.ndarray, np.ndarray], start: np.ndarray, end: np.ndarray) -> np.ndarray:
     total, _, ip = sums
     return mix((total[end] - total[start]) * ip[start] + (end - start).astype(np.uint64), 3)
+
+
+# The two largest primes below 2^31, and a base for each.
+_PRIMES = (U(2147483647), U(2147483629))
+_BASES = (1103515245, 1812433253)
+_prime_powers: list[tuple[np.ndarray, np.ndarray]] = [(np.ones(1, dtype=np.uint64),) * 2] * 2
+
+
+def _powers_modulo(k: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of a base modulo a prime, and of its inverse; doubled until there are enough of them."""
+    prime = _PRIMES[k]
+    if len(_prime_powers[k][0]) < n:
+        both = []
+        for base, known in zip((_BASES[k], pow(_BASES[k], -1, int(prime))), _prime_powers[k]):
+            while len(known) < n:
+                known = np.concatenate((known, known * U(pow(base, len(known), int(prime))) % prime))
+            both.append(known)
+        _prime_powers[k] = (both[0], both[1])
+    p, ip = _prime_powers[k]
+    return p[:n], ip[:n]
+
+
+def _check_sums(values: np.ndarray, k: int) -> np.ndarray:
+    """Running sums modulo nothing: each term is below 2^31, so 2^33 of them fit."""
+    p, _ = _powers_modulo(k, len(values) + 1)
+    total = np.zeros(len(values) + 1, dtype=np.uint64)
+    np.cumsum(values * p[: len(values)] % _PRIMES[k], out=total[1:])
+    return total
+
+
+def _check_of(total: np.ndarray, k: int, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    _, ip = _powers_modulo(k, len(total))
+    return (total[end] - total[start]) % _PRIMES[k] * ip[start] % _PRIMES[k]
+
+
+def check_prefixes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+    """Running sums over words, from which ``span_check`` takes the check sum of any run of them."""
+    out = []
+    for k in range(2):
+        spread = mix(np.arange(256, dtype=np.uint64), 20 + k) % _PRIMES[k]
+        words = _check_of(_check_sums(spread[data], k), k, starts, ends) + ((ends - starts).astype(np.uint64) << U(31))
+        out.append(_check_sums(mix(words, 30 + k) % _PRIMES[k], k))
+    return out
+
+
+def span_check(sums: list[np.ndarray], start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    return _check_of(sums[0], 0, start, end) << U(31) | _check_of(sums[1], 1, start, end)

@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from fathomline.llm import exact, graph, jaccard, substring, wordhash
@@ -88,6 +89,44 @@ def test_repeated_and_missing_ids(spark):
     assert got == [(False, 1, 25, 0), (False, 1, 25, 0), (False, 2, 1, 0), (False, 2, 25, 25), (False, 3, 0, 0), (True, 0, 25, 0)]
 
 
+def test_stretches_that_collide_in_the_hash_are_no_repeats():
+    def batch(*rows):
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["anchor", "stretch", "proof", "doc", "w0", "n"])
+
+    same, collide = [(1, 5, 9, d, 0, 3) for d in (1, 2)], [(1, 5, 9, 1, 0, 3), (1, 5, 10, 2, 0, 3)]
+    for parts in (lambda rows: [batch(*rows)], lambda rows: [batch(r) for r in rows]):
+        def kinds(rows, parts=parts):
+            return sorted((k, d) for b in substring._sort_out(parts(rows)) for k, d in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
+
+        assert kinds(same) == [(0, 2), (1, 1)]
+        assert kinds(collide) == [(1, 1), (1, 2)]
+
+
+def test_windows_that_collide_in_the_hash_are_no_repeats(spark):
+    rows = [(5, 9, 1, 0, False), (5, 10, 2, 0, False), (5, 10, 3, 4, False), (6, 9, 3, 7, False), (5, 9, 1, 8, True)]
+    windows = frame(spark, rows, "hash long, proof long, doc long, w int, again boolean")
+    assert sorted((r.doc, r.w) for r in substring._later(windows).collect()) == [(1, 8), (3, 4)]
+
+
+def test_check_sums_follow_the_words_wherever_they_stand():
+    rng = random.Random(5)
+    words = [rng.choice(["a", "b", "ab", "ba", "é", "long" * 400]) for _ in range(400)]
+    # words that differ but collide in any polynomial over bytes modulo 2^64 have a check sum of their own
+    thue = "".join("ab"[bin(i).count("1") % 2] for i in range(1 << 12))
+    words[100:100] = [thue, thue.translate({97: "b", 98: "a"})]
+    data = np.frombuffer(" ".join(words).encode(), dtype=np.uint8)
+    starts, ends, _ = wordhash.word_spans(data, np.array([0, len(data)]))
+    sums = wordhash.check_prefixes(data, starts, ends)
+    hashes = wordhash.word_hashes(data, starts, ends)
+    for n in (1, 2, 3):
+        at = np.arange(len(words) - n + 1)
+        found = {}
+        for k, c in zip(at, wordhash.span_check(sums, at, at + n).tolist()):
+            assert found.setdefault(c, tuple(words[k: k + n])) == tuple(words[k: k + n])
+        assert len(found) == len({tuple(words[k: k + n]) for k in at})
+    assert hashes[100] == hashes[101]
+
+
 def test_no_rows(spark):
     none = frame(spark, [])
     assert substring.remove_repeats(none).count() == 0
