@@ -6,7 +6,7 @@ page) and of its neighbours feed a two-state chain, article or not. Weights are
 gradients by forward and backward sums); the states of a page are decoded by Viterbi, so a short line between two paragraphs of
 an article stays in it and a lone link line does not.
 
-Labelled pages come from a bounded sample of the table, ``TRAIN_PAGES`` pages by a hash of the id: where an ``article`` or ``main`` element
+Labelled pages come from a bounded sample of the table, ``TRAIN_PAGES`` pages of at most ``TRAIN_CHARS`` by a hash of the id: where an ``article`` or ``main`` element
 marks the text, its blocks are labelled by that, and the page's own paragraphs and boilerplate are also set into other layouts
 (plain ``div``, no article element, sidebars, notices, adverts, forms, reader comments) with known labels, so that the
 weights do not hang on one element. Nothing else is sampled: every page is decoded whole.
@@ -23,6 +23,7 @@ from __future__ import annotations
 import html as entities
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -34,8 +35,8 @@ from .common import arrow_schema, ship
 
 #: pages that weights are fitted on, and layouts that each is set into
 TRAIN_PAGES, LAYOUTS = 240, 3
-#: blocks of a page that training uses
-TRAIN_BLOCKS = 40
+#: blocks of a page that training uses, and the code points of the longest page that it looks at; decoding has neither bound
+TRAIN_BLOCKS, TRAIN_CHARS = 40, 200_000
 
 # Elements of the markup language by what they do to text.
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split())
@@ -45,6 +46,10 @@ RAW = frozenset("script style textarea title iframe noscript".split())
 APART = frozenset("br svg canvas audio video text".split())
 #: elements of another markup language, whose elements a slash may close
 FOREIGN = frozenset("svg math".split())
+#: elements whose end tag also ends a table that is open inside them
+LEAVES_TABLE = frozenset("table body html tr td th tbody thead tfoot caption article main div section".split())
+#: elements that keep a paragraph around them open
+KEEPS_P = frozenset("table td th li div section article blockquote body main aside".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: an opening tag ends these open elements, up to the given bounds
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -65,8 +70,11 @@ GROUPS = {
 }
 GROUP_OF = {w: g for g, words in GROUPS.items() for w in words.split()}
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?>[^>\"']+|\"[^\"]*\"|'[^']*')*+)>"
-                  r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*+)((?>[^>\"']+|\"[^\"]*\"|'[^']*')*+)>"
+                  r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*)>", re.S)
+#: as above, for pages with a quote that is never closed: only where a tag begins
+_OPEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*+)", re.S)
+_MARK = re.compile("[\"'>]")
 _HEAD_END = re.compile(r"(?=</head\b|<body\b)", re.I)
 _ATTR = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORDS = re.compile(r"[a-z]+")
@@ -76,11 +84,104 @@ _CAMEL = re.compile(r"([a-z])([A-Z])")
 class Block:
     __slots__ = ("text", "tag", "path", "groups", "linked", "container")
 
-    def __init__(self, text: str, stack: list[tuple], linked: int, container: int):
-        self.text, self.linked, self.container = text, linked, container
-        self.tag = stack[-1][0] if stack else "body"
-        self.path = frozenset(e[0] for e in stack)
-        self.groups = frozenset(g for e in stack for g in e[1])
+    def __init__(self, text: str, place: Place, linked: int):
+        self.text, self.linked = text, linked
+        self.tag, self.container = place.tag(), place.container()
+        self.path, self.groups = place.names(), place.groups()
+
+
+class Place:
+    """The open elements. What is asked of them takes a time that does not depend on how many there are."""
+
+    def __init__(self) -> None:
+        self.open: list[tuple[str, frozenset[str], int]] = []
+        self.at: dict[str, list[int]] = {}  # per name, the levels at which it is open
+        self.hints: dict[str, int] = {}  # per group, the open elements that point to it
+
+    def push(self, name: str, groups: frozenset[str], serial: int) -> None:
+        self.at.setdefault(name, []).append(len(self.open))
+        for g in groups:
+            self.hints[g] = self.hints.get(g, 0) + 1
+        self.open.append((name, groups, serial))
+
+    def level(self, names: Iterable[str]) -> int:
+        """The innermost level at which one of the names is open, -1 without any."""
+        return max((levels[-1] for levels in map(self.at.get, names) if levels), default=-1)
+
+    def close(self, names: Iterable[str], bounds: Iterable[str]) -> None:
+        """End the innermost of the named elements and all inside it, unless a bound lies further in."""
+        k = self.level(names)
+        if k < 0 or k < self.level(bounds):
+            return
+        while len(self.open) > k:
+            name, groups, _ = self.open.pop()
+            self.at[name].pop()
+            for g in groups:
+                self.hints[g] -= 1
+
+    def tag(self) -> str:
+        return self.open[-1][0] if self.open else "body"
+
+    def container(self) -> int:
+        return self.open[-2][2] if len(self.open) > 1 else 0
+
+    def names(self) -> frozenset[str]:
+        return frozenset(name for name, levels in self.at.items() if levels)
+
+    def groups(self) -> frozenset[str]:
+        return frozenset(g for g, n in self.hints.items() if n)
+
+
+class Tags:
+    """The tags of a page from left to right: (start, end, closing, name, attributes); comments and the like have no name.
+
+    A quote may hide the end of a tag; where it is never closed, the tag ends at the first ``>``. The first such tag makes a table of where
+    tags would end, so that no later one is followed to the end of the page again.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self.last = page.rfind(">")
+        self.marks: list[int] | None = None
+        self.ends: list[int] = []
+
+    def _survey(self) -> None:
+        """For each quote and ``>`` the place where a tag ends that reaches it outside quotes, -1 for none."""
+        page = self.page
+        self.marks = [m.start() for m in _MARK.finditer(page)]
+        n = len(self.marks)
+        self.ends = [-1] * (n + 1)
+        quote = {'"': n, "'": n}  # the next mark of each kind to the right
+        for k in range(n - 1, -1, -1):
+            c = page[self.marks[k]]
+            if c == ">":
+                self.ends[k] = self.marks[k]
+            else:
+                if quote[c] < n:
+                    self.ends[k] = self.ends[quote[c] + 1]
+                quote[c] = k
+
+    def after(self, at: int) -> tuple[int, int, bool, str, str] | None:
+        page = self.page
+        if at > self.last:  # no tag ends behind here, and a comment goes on to the end
+            starts = [k for k in (page.find("<!", at), page.find("<?", at)) if k >= 0]
+            return (min(starts), len(page), False, "", "") if starts else None
+        if self.marks is None:
+            m = _TAG.search(page, at, self.last + 1)
+            if m is not None and m[5] is not None:
+                self._survey()
+        else:
+            m = _OPEN.search(page, at, self.last + 1)
+        if m is None:
+            return self.after(self.last + 1)
+        if not (m[2] or m.re is _TAG and m[5]):  # a comment may go on behind the last ">"
+            return m.start(), m.end() if m.end() <= self.last else _OPEN.match(page, m.start()).end(), False, "", ""
+        if m.re is _TAG:
+            return m.start(), m.end(), bool(m[1] or m[4]), (m[2] or m[5]).lower(), m[3] or m[6] or ""
+        end = self.ends[bisect_left(self.marks, m.end())]
+        if end < 0:
+            end = page.find(">", m.end())
+        return m.start(), end + 1, bool(m[1]), m[2].lower(), page[m.end(): end]
 
 
 def _hints(attributes: str) -> frozenset[str]:
@@ -99,7 +200,10 @@ def _hints(attributes: str) -> frozenset[str]:
 def leaf_blocks(page: str) -> list[Block]:
     """The page's leaf blocks in order."""
     out: list[Block] = []
-    stack: list[tuple[str, frozenset[str], int]] = []
+    place = Place()
+    tags = Tags(page)
+    raw_ends: dict[tuple[str, str], tuple[int, int]] = {}
+    never = len(page) + 1
     parts: list[str] = []
     linked = 0
     in_link = False
@@ -115,42 +219,37 @@ def leaf_blocks(page: str) -> list[Block]:
         if parts:
             text = " ".join(entities.unescape("".join(parts)).split())
             if text:
-                out.append(Block(text, stack, linked, stack[-2][2] if len(stack) > 1 else 0))
+                out.append(Block(text, place, linked))
             parts.clear()
         linked = 0
 
-    def pop_to(names: set[str] | frozenset[str], bounds: set[str] | frozenset[str]) -> None:
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] in names:
-                del stack[k:]
-                return
-            if stack[k][0] in bounds:
-                return
-
     def raw_end(name: str) -> int:
         """Where the text of a raw element ends: behind its end tag, without one at the end of what holds it."""
         bound = "" if name == "script" else "svg|math" if foreign else "head" if in_head else ""
-        stop = re.compile(f"</{name}[^>]*>" + (rf"|(?=</(?:{bound})\b)" if bound else ""), re.I).search(page, at)
-        if stop is None and in_head:
-            stop = _HEAD_END.search(page, at)
+        if raw_ends.get((name, bound), (-1, 0))[0] < at:  # what was found further on, or not at all, still holds
+            holder = rf"(?=</(?:{bound})\b)" if bound else "(?!)"
+            stop = (re.compile(f"</{name}[^>]*>|{holder}", re.I).search(page, at, tags.last + 1)
+                    or re.compile(holder, re.I).search(page, max(at, tags.last + 1)))
+            raw_ends[name, bound] = stop.span() if stop else (never, never)
+        if raw_ends[name, bound][0] < never:
+            return raw_ends[name, bound][1]
+        stop = _HEAD_END.search(page, at) if in_head else None
         return stop.end() if stop else len(page)
 
     while at < len(page):
-        m = _TAG.search(page, at)
-        end = m.start() if m else len(page)
+        found = tags.after(at)
+        end = found[0] if found else len(page)
         if end > at and hidden is None:
             piece = page[at:end]
             parts.append(piece)
             if in_link:
                 linked += len(piece)
-        if m is None:
+        if found is None:
             break
-        at = m.end()
-        name = (m[2] or m[5] or "").lower()
+        _, at, closing, name, attributes = found
         if not name:
             continue
-        closing = bool(m[1] or m[4])
-        empty = (m[3] or m[6] or "").endswith("/")
+        empty = attributes.endswith("/")
         if name in FOREIGN:
             foreign = max(0, foreign + (-1 if closing else 0 if empty else 1))
         elif name == "head" or name in BLOCK and name != "html":
@@ -177,15 +276,14 @@ def leaf_blocks(page: str) -> list[Block]:
             flush()
             in_link = False
             if closing:
-                pop_to({name}, {"table"} if name not in ("table", "body", "html") and any(e[0] == "table" for e in stack) and
-                       name not in ("tr", "td", "th", "tbody", "thead", "tfoot", "caption", "article", "main", "div", "section") else set())
+                place.close((name,), ("table",) if name not in LEAVES_TABLE else ())
             else:
-                pop_to({"p"}, {"table", "td", "th", "li", "div", "section", "article", "blockquote", "body", "main", "aside"})
+                place.close(("p",), KEEPS_P)
                 if name in ENDS:
-                    pop_to(*ENDS[name])
+                    place.close(*ENDS[name])
                 if name not in VOID:
                     serial += 1
-                    stack.append((name, _hints(m[3] or m[6] or ""), serial))
+                    place.push(name, _hints(attributes), serial)
     flush()
     return out
 
@@ -455,7 +553,7 @@ def labelled_pages(pages: list[str], layouts: int = LAYOUTS, seed: int = 5) -> l
 def train(pages: DataFrame, sample: int = TRAIN_PAGES, id_col: str = "page_id", html_col: str = "html") -> Chain:
     """Fit the chain on about ``sample`` pages, those whose id has one of the lowest hashes."""
     # very long pages teach no more than others and would weigh on the driver
-    rows = pages.where(F.length(html_col).between(1, 200_000))
+    rows = pages.where(F.length(html_col).between(1, TRAIN_CHARS))
     share = min(1.0, sample / max(rows.count(), 1))
     low = F.pmod(F.xxhash64(F.col(id_col), F.lit(23)), F.lit(1 << 24)) < math.ceil(share * (1 << 24))
     return Chain.fit(labelled_pages(sorted(r["page"] for r in rows.where(low).select(F.col(html_col).alias("page")).collect())))
