@@ -199,11 +199,11 @@ def as_events(conversations: DataFrame, delta_chars: int = DELTA_CHARS) -> DataF
     nth = F.row_number().over(W.partitionBy("conv_id", "turn").orderBy("role", "text"))
     rows = conversations.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text")).withColumn("_nth", nth)
     msg = F.format_string("%s/%010d", F.coalesce(F.col("turn").cast("string"), F.lit("-")), "_nth")
-    step = F.explode(F.sequence(F.lit(0).cast("bigint"), F.ceil(F.length("text") / delta_chars)))
-    events = rows.withColumn("msg", msg).withColumn("_step", step)
-    piece = F.substring(F.col("text"), ((F.col("_step") - 1) * delta_chars + 1).cast("int"), F.lit(delta_chars))
+    # one pass cuts a text into its deltas; taking each by its position would read the text anew for every one of them
+    pieces = F.concat(F.array(F.lit("")), F.regexp_extract_all("text", F.lit(f"(?s).{{1,{delta_chars}}}"), F.lit(0)))
+    events = rows.withColumn("msg", msg).select("conv_id", "turn", "role", "msg", F.posexplode(pieces).alias("_step", "_piece"))
     opening = F.col("_step") == 0
     # the position of an event: its turn, then its step; a text of 2 GB has fewer steps than that
     seq = F.coalesce(F.col("turn"), F.lit(-(1 << 42))) * (1 << 20) + F.col("_step")
     return events.select("conv_id", "msg", seq.cast("bigint").alias("seq"), F.when(opening, "message").otherwise("delta").alias("kind"),
-                         F.when(opening, F.col("role")).alias("role"), F.when(opening, "").otherwise(piece).alias("text"))
+                         F.when(opening, F.col("role")).alias("role"), F.col("_piece").alias("text"))

@@ -2,6 +2,7 @@
 
 import gzip
 import hashlib
+import time
 
 import pytest
 
@@ -193,6 +194,36 @@ def test_odd_pages_do_not_fail(chain, text):
     assert isinstance(html.main_text(text, chain), str)
 
 
+@pytest.mark.parametrize("make", [
+    lambda n: "<div>x" * n, lambda n: '<div class="ad">x' * n, lambda n: "<section>" * n + "</p>x" * n, lambda n: "<a b='" * n, lambda n: ">" + "<a " * n,
+    lambda n: "<a \"'>'" * n, lambda n: "<head><title><body>x" * n, lambda n: "<script></script" * n, lambda n: "<" + "a" * 5 * n + " ' >" + "<p>y" * n,
+    lambda n: "<table><td>x</b>" * n])
+def test_time_grows_with_the_page_not_with_its_square(make):
+    def seconds(n):
+        page = make(n)
+        started = time.process_time()
+        html.leaf_blocks(page)
+        return time.process_time() - started
+
+    assert seconds(60_000) < 20  # by the square of the page minutes to hours
+    assert seconds(40_000) < 0.5 + 8 * seconds(10_000)
+
+
+def test_a_quote_that_is_never_closed_hides_no_later_tag():
+    blocks = html.leaf_blocks("<p>one</p><div title=\"open><p>two</p><p class='side'>three</p><!-- <p>no</p> > ")
+    assert [(b.text, b.tag, sorted(b.groups)) for b in blocks] == [("one", "p", []), ("two", "p", []), ("three", "p", ["side"])]
+
+
+def test_long_turns_are_cut_once(spark):
+    text = "aé\n𝄞" * 600_000
+    rows = spark.createDataFrame([(1, 0, "user", text), (1, 1, "assistant", "")], "conv_id long, turn long, role string, text string")
+    pieces = chat.as_events(rows).where("msg like '0/%'").orderBy("seq").collect()
+    assert [len(r.text) for r in pieces[:3]] == [0, 512, 512] and "".join(r.text for r in pieces) == text
+    started = time.time()
+    assert chat.digests(chat.render(chat.fold_events(chat.as_events(rows)))).first().n_turns == 2
+    assert time.time() - started < 60
+
+
 def test_chain_beats_a_guess_on_held_out_layouts(spark):
     pages = [r.html for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").orderBy("page_id").collect()]
     chain = html.Chain.fit(html.labelled_pages(pages[:120]))
