@@ -26,21 +26,45 @@ Paths = str | Sequence[str]
 
 
 # -------------------------------------------------------------------------------------------------------------- tables
+#: files whose first line is read at a time
+HEADERS_AT_ONCE = 16
+
+
+def first_line(spark: SparkSession, file: str) -> str | None:
+    """The first line of a text file that is not blank, through whatever its name says it is compressed with; None without any.
+
+    A plain read of the storage, no job: the rest of the file is not touched.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    where = jvm.org.apache.hadoop.fs.Path(file)
+    stream = where.getFileSystem(conf).open(where)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(where)
+        plain = stream if codec is None else codec.createInputStream(stream)
+        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, "UTF-8"))
+        line = lines.readLine()
+        while line is not None and not line.strip():
+            line = lines.readLine()
+        return line
+    finally:
+        stream.close()
+
+
 def scan_csv(spark: SparkSession, paths: Paths, schema: T.StructType) -> DataFrame:
     """CSV files with a header, columns taken by name whatever their order, typed as ``schema``.
 
-    Files are read together with those of the same header: a reader goes by position within what it reads. A file that lacks
-    a column is an error; one without any line has no rows.
+    Files are read together with those of the same header, because a reader goes by position within what it reads: as many
+    scans as there are headers, however many files. A file that lacks a column is an error; one without any line has no rows.
     """
-    reader = spark.read.option("header", True)
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for f in spark.read.text(paths if isinstance(paths, str) else list(paths)).inputFiles():
-        file = unquote(f)
-        columns = tuple(reader.csv(file).columns)  # reads the first line
-        if columns:
-            by_header.setdefault(columns, []).append(file)
+    files = [unquote(f) for f in spark.read.text(paths if isinstance(paths, str) else list(paths)).inputFiles()]
+    by_header: dict[str, list[str]] = {}
+    with ThreadPoolExecutor(HEADERS_AT_ONCE) as pool:
+        for file, header in zip(files, pool.map(lambda f: first_line(spark, f), files)):
+            if header is not None:
+                by_header.setdefault(header, []).append(file)
     if not by_header:
         return spark.createDataFrame([], schema)
+    reader = spark.read.option("header", True)
     return reduce(DataFrame.unionByName, [conform(reader.csv(fs), schema) for fs in by_header.values()])
 
 
