@@ -105,8 +105,8 @@ def _(t):
     return files.read_partitions(t.spark, out).select(*KEY, "month")
 
 
-def _features(t) -> DataFrame:
-    """One GeoJSON feature per supplier, as polygons: a polygon, a multi-polygon where there are two overlapping meadows, every fifth
+def _feature_texts(t) -> DataFrame:
+    """One GeoJSON feature per supplier (s_suppkey, value), as polygons: a polygon, a multi-polygon where there are two overlapping meadows, every fifth
     a geometry collection of a point and the meadows, or (every sixth) only a point; every ninth lies outside the study box; one has no id."""
     rings = t.meadows.selectExpr("pid", "floor(pid/2) as s_suppkey", "transform(rings, r -> transform(r, v -> array(v.lon + case when floor(pid/2)%9 = 0 then 100e0 else 0e0 end, v.lat))) as c")
     parts = rings.groupBy("s_suppkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("pid", "c"))), lambda s: s.c).alias("parts"))
@@ -119,28 +119,54 @@ def _features(t) -> DataFrame:
         F.expr("s_suppkey%5 = 2"), F.concat(F.lit('{"type":"GeometryCollection","geometries":['), point, F.lit(","), members, F.lit("]}"))).otherwise(own)
     key = F.when(F.expr("s_suppkey = 4"), F.lit("")).otherwise(F.concat(F.lit('"objectid":'), F.col("s_suppkey").cast("string")))
     text = F.concat(F.lit('{"type":"Feature","properties":{'), key, F.lit('},"geometry":'), shape, F.lit("}"))
+    return parts.select("s_suppkey", text.alias("value"))
+
+
+_OBJECTID = T.StructType([T.StructField("objectid", T.LongType())])
+
+
+def _features(t) -> DataFrame:
+    """Polygons of the features, from files with one per line."""
     src = scratch_path(t.spark, "geojson")
-    parts.select(text.alias("value")).write.text(src)
-    features = files.read_geojson(t.spark, src, T.StructType([T.StructField("objectid", T.LongType())]), sequence=True)
+    _feature_texts(t).select("value").write.text(src)
+    features = files.read_geojson(t.spark, src, _OBJECTID, sequence=True)
     return cut_lineage(files.polygons_from_geojson(features, "objectid", P))
 
 
 _KEPT = "s_suppkey%6 <> 3 AND s_suppkey%9 <> 0"
 
 
-@query("polygons_from_geojson", f"""SELECT f.pid, f.objectid, r.part, r.ring, m.k, m.lon1 AS lon, m.lat1 AS lat FROM (
+_VERTICES = f"""SELECT f.pid, f.objectid, r.part, r.ring, m.k, m.lon1 AS lon, m.lat1 AS lat FROM (
     SELECT s_suppkey, objectid, CAST(row_number() OVER (ORDER BY objectid NULLS LAST) - 1 AS INT) AS pid FROM (
       SELECT s_suppkey, CASE WHEN s_suppkey <> 4 THEN s_suppkey END AS objectid FROM supplier WHERE {_KEPT})) f
     JOIN (SELECT pid, ring AS own, pid // 2 AS s_suppkey, CAST(pid%2 AS INT) AS part, CAST(row_number() OVER (PARTITION BY pid // 2 ORDER BY pid, ring) - 1 AS INT) AS ring
       FROM (SELECT DISTINCT pid, ring FROM meadow_ring)) r USING (s_suppkey)
-    JOIN meadow_ring m ON m.pid = r.pid AND m.ring = r.own""")
-def _(t):
-    rings = _features(t).select("pid", "objectid", F.posexplode(F.arrays_zip("rings", "parts")).alias("ring", "r"))
+    JOIN meadow_ring m ON m.pid = r.pid AND m.ring = r.own"""
+
+
+def _vertices(polygons: DataFrame) -> DataFrame:
+    rings = polygons.select("pid", "objectid", F.posexplode(F.arrays_zip("rings", "parts")).alias("ring", "r"))
     vertices = rings.select("pid", "objectid", "ring", F.col("r.parts").alias("part"),
                             F.posexplode(F.slice("r.rings", F.lit(1), F.size("r.rings") - 1)).alias("k", "v"))  # the last repeats the first
     return vertices.select("pid", "objectid", "part", "ring", "k", "v.lon", "v.lat")
 
 
+@query("polygons_from_geojson", _VERTICES)
+def _(t):
+    return _vertices(_features(t))
+
+
+@query("polygons_from_collections", _VERTICES)
+def _(t):
+    """The same features from documents that are whole collections, each of a hundred suppliers, with members before and behind."""
+    member = F.sort_array(F.collect_list(F.struct("s_suppkey", "value")))
+    docs = _feature_texts(t).groupBy(F.expr("s_suppkey div 100").alias("doc")).agg(F.transform(member, lambda r: r.value).alias("f"))
+    head = F.lit('{"type":"FeatureCollection","crs":{"type":"name","properties":{"name":"a {\\"brace\\" }"}},"links":[{"type":"text"}], "features": [')
+    src = scratch_path(t.spark, "collections")
+    docs.select(F.concat(head, F.array_join("f", ", "), F.lit('],"note":"]}"}')).alias("value")).write.text(src)
+    return _vertices(cut_lineage(files.polygons_from_geojson(files.read_geojson(t.spark, src, _OBJECTID), "objectid", P)))
+
+
 @query("points_in_collections", f"""SELECT {K}, coalesce(on_meadow, false) AS on_meadow FROM det_xy
     LEFT JOIN (SELECT rid, bool_or(odd OR d2 < 400e0) AS on_meadow FROM (SELECT *, pid // 2 AS s_suppkey FROM det_hit) WHERE {_KEPT} GROUP BY rid) USING (rid)""")
 def _(t):

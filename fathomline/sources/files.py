@@ -21,6 +21,7 @@ from ..functions.predicates import in_box
 from ..functions.scalars import month_of
 from ..runtime import cut_lineage
 from ..schema import DETECTIONS, OVERPASSES, conform
+from .features import collection_features
 
 Paths = str | Sequence[str]
 
@@ -217,15 +218,16 @@ _COORDS3 = "array<array<array<array<double>>>>"
 def read_geojson(spark: SparkSession, paths: Paths, properties: T.StructType, sequence: bool = False) -> DataFrame:
     """Features (properties, geometry) from FeatureCollection files, or from files with one feature per line.
 
-    A collection is a single JSON document and cannot be split; large layers should come one feature per line.
+    A collection is dealt out like text, see ``sources.features``; members of it whose type is not Feature are left out.
     """
     part = T.StructType([T.StructField("type", T.StringType()), T.StructField("coordinates", T.StringType())])
     geometry = T.StructType([*part.fields, T.StructField("geometries", T.ArrayType(part))])
     feature = T.StructType([T.StructField("properties", properties), T.StructField("geometry", geometry)])
     if sequence:
         return spark.read.schema(feature).json(paths)
-    whole = T.StructType([T.StructField("features", T.ArrayType(feature))])
-    return spark.read.schema(whole).option("multiLine", True).json(paths).select(F.explode("features").alias("f")).select("f.*")
+    typed = T.StructType([T.StructField("type", T.StringType()), *feature.fields])
+    parsed = collection_features(spark, paths).select(F.from_json("text", typed).alias("f"))
+    return parsed.where("f.type = 'Feature'").select("f.properties", "f.geometry")
 
 
 def _polygons(geometry: Column) -> Column:
