@@ -48,11 +48,18 @@ def month_filter(df: DataFrame, calendar: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------------------------------------------- months, countries
 def monthly_totals(fact: DataFrame, calendar: DataFrame) -> DataFrame:
+    return fill_totals(total_counts(fact), calendar)
+
+
+def total_counts(fact: DataFrame) -> DataFrame:
     on = F.col("on_meadow")
-    counts = fact.groupBy("month").agg(
+    return fact.groupBy("month").agg(
         F.count(F.lit(1)).alias("anchored_total"),
         F.count_if(on).alias("anchored_on_meadow"),
         F.count_if(on & F.col("large")).alias("large_on_meadow"))
+
+
+def fill_totals(counts: DataFrame, calendar: DataFrame) -> DataFrame:
     return zeros(calendar.select("month").join(counts, "month", "left"),
                  "anchored_total", "anchored_on_meadow", "large_on_meadow")
 
@@ -65,17 +72,24 @@ def ais_monthly_totals(rows: DataFrame, calendar: DataFrame) -> DataFrame:
 
 def country_series(fact: DataFrame, calendar: DataFrame) -> DataFrame:
     """Counts per country and month, zero-filled over the calendar, for countries with at least one row on meadow."""
-    counts = fact.where("on_meadow").groupBy("country", "month").agg(
+    return fill_series(country_counts(fact), calendar)
+
+
+def country_counts(fact: DataFrame) -> DataFrame:
+    return fact.where("on_meadow").groupBy("country", "month").agg(
         F.count(F.lit(1)).alias("anchored_on_meadow"), F.count_if("large").alias("large_on_meadow"))
+
+
+def fill_series(counts: DataFrame, calendar: DataFrame) -> DataFrame:
     frame = every_month(counts.select("country").distinct(), calendar)
     return zeros(frame.join(counts, ["country", "month"], "left"), "anchored_on_meadow", "large_on_meadow")
 
 
 # ------------------------------------------------------------------------------------------------------------- cells
-def cell_months(fact: DataFrame) -> DataFrame:
-    """Seven counters per (cell, month) of the on-meadow rows."""
+def cell_months(fact: DataFrame, *also: str) -> DataFrame:
+    """Seven counters per (cell, month), or finer by other columns, of the on-meadow rows."""
     large, sure, still = F.col("large"), F.col("ais_confident"), F.col("ais_stationary")
-    return fact.where("on_meadow").groupBy("cell", "month").agg(
+    return fact.where("on_meadow").groupBy("cell", "month", *also).agg(
         F.count(F.lit(1)).alias("n"), F.count_if(large).alias("large"),
         F.count_if(sure).alias("ais"), F.count_if(sure & large).alias("ais_large"),
         F.count_if(still).alias("ais_st"), F.count_if(still & large).alias("ais_st_large"),
@@ -84,7 +98,11 @@ def cell_months(fact: DataFrame) -> DataFrame:
 
 def hex_monthly(fact: DataFrame, cells: DataFrame, calendar: DataFrame) -> DataFrame:
     """Sparse counters of the known cells and months."""
-    counted = month_filter(cell_months(fact), calendar)
+    return known_cell_months(cell_months(fact), cells, calendar)
+
+
+def known_cell_months(per_month: DataFrame, cells: DataFrame, calendar: DataFrame) -> DataFrame:
+    counted = month_filter(per_month, calendar)
     return counted.join(cells.select("cell"), "cell", "left_semi").select("cell", "month", *COUNTERS)
 
 
@@ -145,7 +163,12 @@ def all_cells(counted: DataFrame, cells: DataFrame) -> DataFrame:
 
 def aggregate_hexes(fact: DataFrame, cells: DataFrame, overpass: DataFrame, calendar: DataFrame) -> DataFrame:
     """One row per cell over all months: counts, density, area, seasons, peak month."""
-    on = month_filter(cell_months(fact).select("cell", "month", "n", "large"), calendar)
+    return hexes_of(cell_months(fact), cells, overpass, calendar)
+
+
+def hexes_of(per_month: DataFrame, cells: DataFrame, overpass: DataFrame, calendar: DataFrame) -> DataFrame:
+    """The same from counters per cell and month."""
+    on = month_filter(per_month.select("cell", "month", "n", "large"), calendar)
     on = on.withColumn("season", season_of(F.col("month")))
     counts = on.groupBy("cell").agg(
         F.sum("n").alias("on_meadow"), F.sum("large").alias("large_on_meadow"),

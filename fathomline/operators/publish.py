@@ -55,7 +55,10 @@ def publish_countries(fact: DataFrame, calendar: DataFrame, names: DataFrame) ->
 
     There are some 250 countries with twelve values a year each, so numbering them in one task is bounded.
     """
-    series = country_series(fact, calendar)
+    return countries_of(country_series(fact, calendar), names)
+
+
+def countries_of(series: DataFrame, names: DataFrame) -> DataFrame:
     ranked = country_order(series).withColumn("position", F.row_number().over(W.orderBy(F.desc("total"), "country")))
     in_order = lambda c: F.transform(F.array_sort(F.collect_list(F.struct("month", c))), lambda s: s[c])
     arrays = series.groupBy("country").agg(*[in_order(c).alias(c) for c in ("anchored_on_meadow", "large_on_meadow")])

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from ..functions.scalars import season_of
 from ..schema import SEASONS
-from .pressure import density, zeros
+from .pressure import density, every_month, zeros
 
 # Boat classes and the counters they read, of all boats and of large ones.
 BOAT_COUNTERS = {"all": ("n", "large"), "ais": ("ais", "ais_large"), "ais_st": ("ais_st", "ais_st_large")}
@@ -66,6 +69,63 @@ def selection_aggregate(rows: DataFrame, passes: DataFrame, cells: DataFrame, se
     return out.select("cell", "on_meadow", "large_on_meadow", density(F.col("on_meadow"), F.col("clear")).alias("density"))
 
 
+#: what running sums are kept of
+SUMMED = (*dict.fromkeys(c for pair in BOAT_COUNTERS.values() for c in pair), "clear")
+RUNNING = [f"{c}_{s}" for c in SUMMED for s in SEASONS]
+
+
+def _seasonal(rows: DataFrame, passes: DataFrame) -> DataFrame:
+    """(cell, month) with all counters and passes, each in the column of its season and 0 in the others."""
+    both = rows.unionByName(passes, allowMissingColumns=True)
+    season = season_of(F.col("month"))
+    return both.groupBy("cell", "month").agg(
+        *[F.coalesce(F.sum(F.when(season == s, F.col(c))), F.lit(0)).cast("bigint").alias(f"{c}_{s}") for c in SUMMED for s in SEASONS])
+
+
+def running_sums(rows: DataFrame, passes: DataFrame, months: DataFrame) -> DataFrame:
+    """Per month and cell what every counter has come to by the end of that month, season by season.
+
+    ``months`` are those with data; rows of others do not count. To be stored by month: any range is then the difference of two of
+    its partitions, and a new month one more partition (``next_sums``). A cell has rows from its first count on.
+    """
+    own = _seasonal(rows, passes).join(months.select("month"), "month", "left_semi")
+    first = own.groupBy("cell").agg(F.min("month").alias("_first"))
+    frame = every_month(first, months).where("month >= _first").select("cell", "month")
+    upto = W.partitionBy("cell").orderBy("month")
+    dense = zeros(frame.join(own, ["cell", "month"], "left"), *RUNNING)
+    return dense.select("cell", "month", *[F.sum(c).over(upto).alias(c) for c in RUNNING])
+
+
+def next_sums(previous: DataFrame, rows: DataFrame, passes: DataFrame, month: str) -> DataFrame:
+    """The running sums of ``month`` from those of the month with data before it, and the rows of that month alone."""
+    own = _seasonal(*(t.where(F.col("month") == month) for t in (rows, passes)))
+    both = previous.select("cell", *RUNNING).unionByName(own.select("cell", *RUNNING))
+    return both.groupBy("cell").agg(*[F.sum(c).alias(c) for c in RUNNING]).select("cell", F.lit(month).alias("month"), *RUNNING)
+
+
+def selection_between(sums: DataFrame, cells: DataFrame, months: DataFrame, first: str | None = None, last: str | None = None,
+                      season: str | None = None, boats: str = "all") -> DataFrame:
+    """``selection_aggregate`` for a range of months and a season, from stored running sums: two months of them are read, however
+    long the range is, and of these the columns of the season and the class."""
+    known = months.select("month")
+    ends = known.agg(F.max(F.when(F.col("month") <= last, F.col("month")) if last else F.col("month")).alias("upto"),
+                     (F.max(F.when(F.col("month") < first, F.col("month"))) if first else F.lit(None).cast("string")).alias("before")).first()
+    upto, before = ends["upto"], ends["before"]
+    if last is not None and first is not None and last < first:
+        upto = before
+    sign = F.when(F.col("month") == upto, 1).otherwise(0) - F.when(F.col("month") == before, 1).otherwise(0) if before else F.lit(1)
+    read = sums.where(F.col("month").isin([m for m in (upto, before) if m]))
+    names = dict(zip(("on_meadow", "large_on_meadow", "clear"), (*BOAT_COUNTERS[boats], "clear")))
+
+    def total(counter: str) -> Column:
+        of = [F.col(f"{counter}_{s}") for s in (SEASONS if season is None else (season,))]
+        return F.sum(sign * reduce(Column.__add__, of)).cast("bigint")
+
+    out = cells.select("cell").join(read.groupBy("cell").agg(*[total(c).alias(n) for n, c in names.items()]), "cell", "left")
+    out = zeros(out, *names)
+    return out.select("cell", "on_meadow", "large_on_meadow", density(F.col("on_meadow"), F.col("clear")).alias("density"))
+
+
 def season_fallback(hexes: DataFrame, season: str) -> DataFrame:
     """The same answer for one season from the all-months table, when no monthly cell table exists."""
     if season not in SEASONS:

@@ -54,6 +54,34 @@ def fact_table(det: DataFrame, meadows: PolygonIndex | None, zones: ZoneIndex |
     return assign_country(rows, zones, F.col("lon"), F.col("lat"), p, F.col("on_meadow"))
 
 
+@dataclass(frozen=True)
+class Dimensions:
+    meadows: PolygonIndex
+    zones: ZoneIndex | None
+    cells: DataFrame
+
+
+def dimensions(meadows: DataFrame, zones: DataFrame | None, p: Params) -> Dimensions:
+    meadow_index = index_meadows(meadows, p)
+    zone_index = index_zones(zones_in_box(zones, p), p) if zones is not None else None
+    return Dimensions(meadow_index, zone_index, cut_lineage(meadow_cells(meadows, meadow_index, zone_index, p)))
+
+
+@dataclass(frozen=True)
+class Counts:
+    """What the published tables are made of."""
+
+    months: DataFrame  # months with detections, counted or not
+    totals: DataFrame  # month: all, on a meadow, large ones
+    series: DataFrame  # country, month
+    cells: DataFrame  # cell, month: seven counters
+    points: DataFrame  # rows on a meadow, perhaps with others
+
+
+def counts_of(fact: DataFrame, months: DataFrame) -> Counts:
+    return Counts(months, pressure.total_counts(fact), pressure.country_counts(fact), pressure.cell_months(fact), fact)
+
+
 @dataclass(frozen=True)
 class Published:
     meta: DataFrame
@@ -72,7 +100,8 @@ class Published:
 def build(det: DataFrame, overpass: DataFrame, meadows: DataFrame, zones: DataFrame | None, mids: DataFrame, p: Params,
           tolerance_m: float = 30.0, validate: bool = True, target_bytes: int = publish.TARGET_BYTES,
           requested: DataFrame | None = None) -> Published:
-    """``det`` and ``overpass`` are the merged periods; see ``releases.merge_periods``.
+    """``det`` and ``overpass`` are the merged periods; see ``releases.merge_periods``, and ``partials.build_stored`` for a build
+    that reads only what has changed.
 
     ``requested`` (cell) is what ``incremental.requested_cells`` has stored; without it the cells of ``overpass`` stand for it. Cells of
     the meadows that are not among them would count no clear overpass whatever was observed: a warning tells how many, and
@@ -80,30 +109,34 @@ def build(det: DataFrame, overpass: DataFrame, meadows: DataFrame, zones: DataFr
 
     The fact table and the cell tables feed several outputs each and are materialised once.
     """
-    meadow_index = index_meadows(meadows, p)
-    zone_index = index_zones(zones_in_box(zones, p), p) if zones is not None else None
-    cells = cut_lineage(meadow_cells(meadows, meadow_index, zone_index, p))
+    dims = dimensions(meadows, zones, p)
+    fact = cut_lineage(fact_table(det, dims.meadows, dims.zones, p))
+    return published(counts_of(fact, det.select("month")), overpass, dims, meadows, zones, mids, p, tolerance_m, validate, target_bytes, requested)
+
+
+def published(counts: Counts, overpass: DataFrame, dims: Dimensions, meadows: DataFrame, zones: DataFrame | None, mids: DataFrame, p: Params,
+              tolerance_m: float, validate: bool, target_bytes: int, requested: DataFrame | None) -> Published:
+    """All published tables from counts."""
+    cells = dims.cells
     asked = requested if requested is not None else overpass.select(F.col("h3_id").alias("cell"))
     unasked = cut_lineage(pressure.missing_cells(cells, asked), "unasked")
     if (n := elements(unasked)) and not asked.isEmpty():
         warnings.warn(f"overpasses of {n} cells were never asked for; their clear overpasses will be 0", stacklevel=2)
-    calendar = cut_lineage(pressure.calendar_union(det, overpass))
-    fact = cut_lineage(fact_table(det, meadow_index, zone_index, p))
-
-    hexes = cut_lineage(pressure.aggregate_hexes(fact, cells, overpass, calendar))
-    rows = cut_lineage(pressure.hex_monthly(fact, hexes, calendar))
+    calendar = cut_lineage(pressure.calendar_union(counts.months, overpass))
+    hexes = cut_lineage(pressure.hexes_of(counts.cells, cells, overpass, calendar))
+    rows = cut_lineage(pressure.known_cell_months(counts.cells, hexes, calendar))
     clear = pressure.clear_matrix(hexes, overpass, calendar)
-    totals, ais = pressure.monthly_totals(fact, calendar), pressure.ais_monthly_totals(rows, calendar)
+    totals, ais = pressure.fill_totals(counts.totals, calendar), pressure.ais_monthly_totals(rows, calendar)
+    series = pressure.fill_series(counts.series, calendar)
     timeseries = publish.publish_timeseries(totals, ais)
-    names = country_names(zones) if zones is not None else fact.sparkSession.createDataFrame([], "iso3 string, name string")
+    names = country_names(zones) if zones is not None else overpass.sparkSession.createDataFrame([], "iso3 string, name string")
     out = Published(
         meta=publish.meta_row(calendar, p), timeseries=timeseries,
-        countries=publish.publish_countries(fact, calendar, names), hexes=publish.publish_hexes(hexes),
-        hex_monthly=rows, clear=clear, points=publish.publish_points(fact, calendar, mids, p),
+        countries=publish.countries_of(series, names), hexes=publish.publish_hexes(hexes),
+        hex_monthly=rows, clear=clear, points=publish.publish_points(counts.points, calendar, mids, p),
         hotspots=publish.publish_hotspots(ranking.hotspots(hexes, p.hotspots_n), p),
         layer=publish.sized_layer(meadows, tolerance_m, target_bytes)[0], summary=pressure.build_summary(totals, hexes), unasked=unasked)
     if validate:
-        series = pressure.country_series(fact, calendar)
         checks.enforce(
             checks.check_timeseries(timeseries, series, calendar), checks.check_hexes(hexes),
             checks.check_hex_monthly(rows, clear, hexes, calendar), checks.check_points(out.points, calendar, p),

@@ -17,7 +17,7 @@ from ..schema import AIS_COUNTERS, COUNTERS, DETECTIONS, OVERPASSES, SEASONS
 from ..sources import files
 from ..streaming import incremental
 from . import bindings as b
-from . import build
+from . import build, partials
 from . import oracle as o
 from .bindings import Tables
 
@@ -514,6 +514,39 @@ def _(t):
     return t.rows
 
 
+def _stored_months(t: Tables) -> tuple[str, build.Dimensions]:
+    """Detections stored by year until 1997 and by month since, one year of them wrong; their months kept; the year corrected."""
+    out = scratch_path(t.spark, "stored")
+    period = F.when(F.substring("month", 1, 4) <= "1997", F.substring("month", 1, 4)).otherwise(F.replace("month", F.lit("-"), F.lit("")))
+    rows = cut_lineage(t.detections.withColumn("period", period))
+    periods = rows.select("period").distinct()
+    dims = build.Dimensions(t.meadow_index, t.zone_index, t.cells)
+    wrong, path = {"1996"}, f"{out}/detections"
+    first = {r["period"]: rows.where(F.col("period") == r["period"]) for r in periods.collect()}  # some twenty
+    first |= {p: rows.where(F.col("period") == p).withColumn("lat", F.col("lat") + 0.004) for p in wrong}
+    files.publish_versions(t.spark, path, {p: files.write_version(r, path, p) for p, r in first.items()})
+    partials.refresh(t.spark, out, periods, t.meadows, t.zones, dims, P)
+    files.publish_versions(t.spark, path, {p: files.write_version(rows.where(F.col("period") == p), path, p) for p in wrong})
+    again = partials.refresh(t.spark, out, periods, t.meadows, t.zones, dims, P)
+    if {m[:4] for m in again} != wrong or partials.refresh(t.spark, out, periods, t.meadows, t.zones, dims, P):
+        raise AssertionError(f"months made again: {again}")
+    return out, dims
+
+
+@query("stored_hex_monthly", f"SELECT cell, month, {', '.join(COUNTERS)} FROM hexm")
+def _(t):
+    out, dims = _stored_months(t)
+    return pressure.known_cell_months(partials.kept_counts(t.spark, out).cells, dims.cells, t.calendar)
+
+
+@query("stored_totals", """SELECT 'all' AS country, month, anchored_total, anchored_on_meadow, large_on_meadow FROM totals
+    UNION ALL SELECT country, month, NULL, anchored_on_meadow, large_on_meadow FROM series""")
+def _(t):
+    kept = partials.kept_counts(t.spark, _stored_months(t)[0])
+    totals = pressure.fill_totals(kept.totals, t.calendar).withColumn("country", F.lit("all"))
+    return totals.unionByName(pressure.fill_series(kept.series, t.calendar), allowMissingColumns=True)
+
+
 @query("clear_matrix", "SELECT cell, month, clear FROM clear_dense")
 def _(t):
     return t.clear
@@ -545,11 +578,15 @@ def _(t):
     return pressure.country_totals(t.series)
 
 
-_SEL_MONTHS = f"(SELECT month FROM calendar WHERE idx >= 0 AND month BETWEEN '1997-03' AND '2000-10' AND {o.season('month')} IN ('JJA'))"
-_SELECTED = f"""SELECT k.cell, coalesce(n, 0) AS on_meadow, coalesce(l, 0) AS large_on_meadow,
+def _selected(first: str, last: str, seasons: str, on: str, large: str) -> str:
+    months = f"(SELECT month FROM calendar WHERE idx >= 0 AND month BETWEEN '{first}' AND '{last}' AND {o.season('month')} IN ({seasons}))"
+    return f"""SELECT k.cell, coalesce(n, 0) AS on_meadow, coalesce(l, 0) AS large_on_meadow,
     CASE WHEN coalesce(c, 0) > 0 THEN coalesce(n, 0)/CAST(c AS DOUBLE) END AS density FROM cells k
-    LEFT JOIN (SELECT cell, CAST(sum(ais) AS BIGINT) AS n, CAST(sum(ais_large) AS BIGINT) AS l FROM hexm WHERE month IN {_SEL_MONTHS} GROUP BY cell) USING (cell)
-    LEFT JOIN (SELECT cell, CAST(sum(clear) AS BIGINT) AS c FROM clear_dense WHERE month IN {_SEL_MONTHS} GROUP BY cell) USING (cell)"""
+    LEFT JOIN (SELECT cell, CAST(sum({on}) AS BIGINT) AS n, CAST(sum({large}) AS BIGINT) AS l FROM hexm WHERE month IN {months} GROUP BY cell) USING (cell)
+    LEFT JOIN (SELECT cell, CAST(sum(clear) AS BIGINT) AS c FROM clear_dense WHERE month IN {months} GROUP BY cell) USING (cell)"""
+
+
+_SELECTED = _selected("1997-03", "2000-10", "'JJA'", "ais", "ais_large")
 
 
 def _known_calendar(t: Tables) -> DataFrame:
@@ -564,6 +601,18 @@ def _(t):
     return selection.selection_aggregate(t.rows, pressure.clear_months(t.overpass, t.calendar), t.cells, chosen, "ais")
 
 
+@query("selection_between", f"""SELECT 1 AS asked, * FROM ({_SELECTED}) UNION ALL
+    SELECT 2 AS asked, * FROM ({_selected('1993-02', '1998-05', "'DJF', 'MAM', 'JJA', 'SON'", 'n', 'large')})""")
+def _(t):
+    months = _known_calendar(t).where("idx >= 0")
+    path = scratch_path(t.spark, "sums")
+    files.write_by_month(selection.running_sums(t.rows, pressure.clear_months(t.overpass, t.calendar), months), path)
+    sums = files.read_partitions(t.spark, path)
+    asked = [("1997-03", "2000-10", "JJA", "ais"), ("1993-02", "1998-05", None, "all")]
+    one, two = (selection.selection_between(sums, t.cells, months, *a).withColumn("asked", F.lit(i + 1)) for i, a in enumerate(asked))
+    return one.unionByName(two)
+
+
 @query("pressure_rollup", """SELECT CASE WHEN grouping(month) = 1 THEN 'cell' WHEN grouping(country) = 0 THEN 'country_month' WHEN grouping(cell) = 0 THEN 'cell_month' ELSE 'month' END AS grain,
     country, cell, month, count(*) AS on_meadow, count(*) FILTER (WHERE large) AS large_on_meadow FROM fact WHERE on_meadow
     GROUP BY GROUPING SETS ((month), (country, month), (cell, month), (cell))""")

@@ -190,13 +190,15 @@ def ingest_overpasses(spark: SparkSession, uploads: Mapping[str, Paths], cells:
     return _each_period(spark, uploads, out, lambda paths: overpasses_of_cells(scan_csv(spark, paths, OVERPASSES), cells))
 
 
-def read_stored(spark: SparkSession, path: str, schema: T.StructType, by: Sequence[str] = ("month",)) -> DataFrame:
-    """The versions that count: the columns of ``schema`` with those of ``by`` and period. A store whose periods are all empty, or that
-    does not exist yet, has no rows."""
+def read_stored(spark: SparkSession, path: str, schema: T.StructType, by: Sequence[str] = ("month",),
+                versions: Mapping[str, Version] | None = None) -> DataFrame:
+    """The versions that count, or those given: the columns of ``schema`` with those of ``by`` and period. A store whose periods are
+    all empty, or that does not exist yet, has no rows."""
+    named = manifest(spark, path) if versions is None else versions
     keys = [T.StructField(k, T.StringType()) for k in (*by, "period")]
     fields = [f for f in schema.fields if f.name not in (*by, "period")]
     full = T.StructType([*fields, *keys])
-    folders = [f"{path.rstrip('/')}/period={p}/version={v.name}" for p, v in sorted(manifest(spark, path).items()) if v.rows]
+    folders = [f"{path.rstrip('/')}/period={p}/version={v.name}" for p, v in sorted(named.items()) if v.rows]
     if not folders:
         return spark.createDataFrame([], full)
     return spark.read.schema(T.StructType([*full.fields, T.StructField("version", T.StringType())])).option("basePath", path).parquet(*folders).drop("version")
