@@ -11,7 +11,7 @@ from ..functions import geo, outlines
 from ..functions.scalars import ais_class, floor_nd, num, step_round
 from ..runtime import cut_lineage, ship
 from ..sources.files import feature_text
-from .pressure import country_series
+from .pressure import country_series, month_array
 from .ranking import country_order, points_most_recent, with_month_index
 from .spatial import polygon_edges
 
@@ -86,6 +86,13 @@ def publish_hexes(hexes: DataFrame) -> DataFrame:
     return hexes.withColumns({"density": num(F.col("density"), 4), "meadow_km2": num(F.col("meadow_km2"), 3)})
 
 
+def series_of(countries: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Country, month and the two counts again, from the arrays of published countries."""
+    values = countries.select("country", F.posexplode(F.arrays_zip("anchored_on_meadow", "large_on_meadow")).alias("m", "v"))
+    dated = values.withColumn("_months", month_array(calendar))
+    return dated.select("country", F.get("_months", F.col("m")).alias("month"), "v.anchored_on_meadow", "v.large_on_meadow")
+
+
 def meta_row(calendar: DataFrame, p: Params) -> DataFrame:
     """One row with the build's parameters and months."""
     return calendar.agg(F.array_sort(F.collect_set("month")).alias("months")).select(

@@ -13,12 +13,12 @@ from pyspark.sql.window import Window as W
 from ..config import Params
 from ..functions import geo
 from ..functions.scalars import country_names
-from ..operators import checks, pressure, publish, ranking
+from ..operators import checks, pressure, publish, ranking, selection
 from ..operators.country import ZoneIndex, assign_country, index_zones, zones_in_box
 from ..operators.detections import classify
 from ..operators.spatial import PolygonIndex, build_index, cell_area, cells_touching_polygons, planar_edges, polygon_edges
 from ..runtime import cut_lineage, elements, replace_folder
-from ..sources.files import write_columnar_json, write_geojson
+from ..sources.files import read_layer, write_by_month, write_columnar_json, write_geojson
 
 #: side of the bins meadow polygons are indexed by, in metres
 MEADOW_BIN_M = 1000.0
@@ -151,8 +151,9 @@ TABLES = ("meta", "timeseries", "countries", "hexes", "hex_monthly", "clear", "p
 def write_published(out: Published, path: str, p: Params, chunk_rows: int = 100_000) -> None:
     """Write all tables beside ``path``, check the files written, and only then put them in place.
 
-    Tables are parquet; cells, monthly cell counts (coded by cell and month position), clear overpasses, points, time series and
-    hotspots are columnar JSON as well, the meadows GeoJSON.
+    Tables are parquet; cells, monthly cell counts (coded by cell and month position), clear overpasses, points, time series,
+    countries and hotspots are columnar JSON as well, the parameters one JSON object, the meadows GeoJSON. ``running`` holds the running
+    sums by month that ``selection.selection_between`` reads.
     """
     spark = out.hexes.sparkSession
     beside = f"{path.rstrip('/')}.new-{uuid.uuid4().hex[:8]}"
@@ -165,15 +166,18 @@ def write_published(out: Published, path: str, p: Params, chunk_rows: int = 100_
              "hex_monthly": (_numbered(ranking.index_lookup(read["hex_monthly"], read["hexes"], months), "i", "m"), "row"),
              "clear": (_numbered(ranking.index_lookup(read["clear"], read["hexes"], months), "i", "m"), "row"),
              "points": (_numbered(read["points"], *read["points"].columns), "row"),
-             "hotspots": (publish.number_hotspots(read["hotspots"]), "position")}
+             "countries": (read["countries"], "position"), "hotspots": (publish.number_hotspots(read["hotspots"]), "position")}
     for name, (table, index) in coded.items():
         write_columnar_json(table, index, f"{beside}/{name}_json", chunk_rows)
+    read["meta"].write.option("ignoreNullFields", "false").json(f"{beside}/meta_json")
+    write_by_month(selection.running_sums(read["hex_monthly"], read["clear"].where("clear > 0"), months), f"{beside}/running")
     write_geojson(out.layer, f"{beside}/meadows")
     ais = read["timeseries"].select("month", *pressure.AIS_TOTALS)
     checks.enforce(
         checks.check_hexes(read["hexes"]), checks.check_hex_monthly(read["hex_monthly"], read["clear"], read["hexes"], months),
         checks.check_points(read["points"], months, p), checks.check_hotspots(publish.number_hotspots(read["hotspots"]), p),
-        checks.check_totals_reconcile(ais, read["hex_monthly"]))
+        checks.check_totals_reconcile(ais, read["hex_monthly"]), checks.check_polygons(read_layer(spark, f"{beside}/meadows")),
+        checks.check_timeseries(read["timeseries"], publish.series_of(read["countries"], months), months))
     replace_folder(spark, beside, path)
 
 

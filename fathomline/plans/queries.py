@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -514,6 +515,7 @@ def _(t):
     return t.rows
 
 
+@cache
 def _stored_months(t: Tables) -> tuple[str, build.Dimensions]:
     """Detections stored by year until 1997 and by month since, one year of them wrong; their months kept; the year corrected."""
     out = scratch_path(t.spark, "stored")

@@ -310,6 +310,15 @@ def write_geojson(layer: DataFrame, path: str) -> None:
     layer.select(feature_text(layer)).write.mode("overwrite").text(path)
 
 
+def read_layer(spark: SparkSession, path: str) -> DataFrame:
+    """A layer (id, type, rings, parts) as ``write_geojson`` has written it."""
+    features = read_geojson(spark, path, T.StructType([T.StructField("id", T.LongType())]), sequence=True)
+    rows = features.select("properties.id", "geometry.type", _polygons(F.col("geometry")).alias("_polygons"))
+    vertex = lambda v: F.struct(v[0].alias("lon"), v[1].alias("lat"))
+    return rows.select("id", "type", F.transform(F.flatten("_polygons"), lambda r: F.transform(r, vertex)).alias("rings"),
+                       F.flatten(F.transform("_polygons", lambda g, i: F.transform(g, lambda r: i.cast("int")))).alias("parts"))
+
+
 def feature_text(layer: DataFrame) -> Column:
     """Rows of a layer as GeoJSON features; each part's rings stand together, the outer one first."""
     pairs = F.transform("rings", lambda r: F.transform(r, lambda v: F.array(v.lon, v.lat)))

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fathomline.config import DEFAULTS, Params
-from fathomline.operators import checks, country, publish, releases
+from fathomline.operators import checks, country, publish, releases, selection
 from fathomline.plans import build
 from fathomline.plans.bindings import Tables
 from fathomline.runtime import scratch_path
@@ -306,13 +306,22 @@ def test_build_publishes_consistent_tables(spark, tmp_path):
     assert read("hex_monthly").agg(F.sum("n")).first()[0] == read("hexes").agg(F.sum("on_meadow")).first()[0] == s.anchored_on_meadow
     assert read("points").count() == s.anchored_on_meadow and read("hotspots").count() <= 50
     checks.enforce(checks.check_hotspots(publish.number_hotspots(read("hotspots")), DEFAULTS))
-    for name in ("hexes", "hex_monthly", "clear", "points", "timeseries", "hotspots"):
+    for name in ("hexes", "hex_monthly", "clear", "points", "timeseries", "countries", "hotspots"):
         chunks = spark.read.json(f"{tmp_path}/pub/{name}_json").collect()
         arrays = [c for c in chunks[0].asDict() if c != "chunk"]
         assert arrays and all(len({len(r[a]) for a in arrays}) == 1 for r in chunks)
         assert sum(len(r[arrays[0]]) for r in chunks) == read(name).count()
     one = spark.read.json(f"{tmp_path}/pub/hexes_json").first()
     assert len(one.cell) == s.hexes and one.cell == sorted(one.cell)
+    meta = spark.read.json(f"{tmp_path}/pub/meta_json").first()
+    assert meta.months == sorted(r.month for r in read("timeseries").collect()) and meta.bbox == list(DEFAULTS.bbox)
+    layer = lambda df: {r.id: (r.type, [(float(v.lon), float(v.lat)) for ring in r.rings for v in ring], list(r.parts)) for r in df.collect()}
+    assert layer(files.read_layer(spark, f"{tmp_path}/pub/meadows")) == layer(out.layer)
+    series = publish.series_of(read("countries"), read("timeseries")).groupBy("month").agg(F.sum("anchored_on_meadow").alias("n"))
+    assert {r.month: r.n for r in series.collect()} == {r.month: r.anchored_on_meadow for r in read("timeseries").collect()}
+    sums = files.read_partitions(spark, f"{tmp_path}/pub/running")
+    asked = selection.selection_between(sums, read("hexes"), read("timeseries"))
+    assert asked.agg(F.sum("on_meadow")).first()[0] == s.anchored_on_meadow
     feature = spark.read.json(f"{tmp_path}/pub/meadows").first()
     assert feature.geometry.type == "Polygon" and feature.properties.id is not None
 
